@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from postwise import rules as R
 
-# Python's str.isspace() set: Unicode White_Space plus the four separators
-# U+001C..U+001F, which Java's (?U)\s does not include.
-_WS = r"[\s\x{1c}-\x{1f}]"
+# Python's whitespace (str.isspace / re \s / str.strip), derived by rule:
+# every BMP character Python calls whitespace (none lies above U+3000).
+PY_WHITESPACE = "".join(chr(i) for i in range(0x10000) if chr(i).isspace())
+_WS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in PY_WHITESPACE) + "]"
+_OTHER_WS = PY_WHITESPACE.replace(" ", "")
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 
@@ -24,8 +26,9 @@ def _col(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_col(c), r"(?U)^" + _WS + r"+|" + _WS + r"+$", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace
+    (``btrim`` with Python's whitespace set; no regex)."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 def blank_strip(c) -> Column:
@@ -49,9 +52,11 @@ def normalize_text(c, use_nfkc: bool = True) -> Column:
     v = F.coalesce(_col(c), F.lit(""))
     if use_nfkc:
         v = nfkc(v)
-    v = F.regexp_replace(v, "\u00a0", " ")
-    v = strip_ws(v)
-    return F.regexp_replace(v, r"(?U)" + _WS + r"+", " ")
+    # Every whitespace character becomes a blank (NBSP included), so the
+    # strip is a plain trim and only runs of blanks are left to collapse.
+    v = F.translate(v, _OTHER_WS, " " * len(_OTHER_WS))
+    v = F.trim(v)
+    return F.when(F.locate("  ", v) > 0, F.regexp_replace(v, " {2,}", " ")).otherwise(v)
 
 
 def title_case(c) -> Column:
@@ -101,7 +106,7 @@ def standardize_company(c, mode: str = "fixed", use_nfkc: bool = True) -> Column
         v = F.replace(v, F.lit(suffix), F.lit(""))
     v = normalize_text(v, use_nfkc=False)
     if mode != "reference":
-        v = F.regexp_replace(v, r"(?U)[\s.,;:]+$", "")
+        v = F.regexp_replace(v, "[" + _WS[1:-1] + ".,;:]+$", "")
     return title_case(v)
 
 

@@ -57,9 +57,9 @@ def clean_basic(df: DataFrame, rules: R.Rules = R.DEFAULT_RULES, run_date: str =
     location mapped by exact value, salary range parsed from the raw text,
     bad or missing dates -> ``run_date`` with ``date_defaulted`` set.
     """
-    rng = S.salary_range("salary", mode=rules.mode)
     posted = D.parse_date_or("posting_date", run_date)
-    keep = [c for c in df.columns if c not in _POSTING_TEXT]
+    df = S.with_salary_range(df, "salary", mode=rules.mode)
+    keep = [c for c in df.columns if c not in _POSTING_TEXT and c not in ("salary_min", "salary_max")]
     return df.select(
         *keep,
         T.title_case(T.blank_strip("job_title")).alias("job_title"),
@@ -73,8 +73,8 @@ def clean_basic(df: DataFrame, rules: R.Rules = R.DEFAULT_RULES, run_date: str =
         posted["posting_date"].alias("posting_date"),
         posted["date_defaulted"].alias("date_defaulted"),
         T.blank_strip("source_agency").alias("source_agency"),
-        rng["salary_min"].alias("salary_min"),
-        rng["salary_max"].alias("salary_max"),
+        "salary_min",
+        "salary_max",
     )
 
 
@@ -94,33 +94,42 @@ def clean_standard(df: DataFrame, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame
 
     ``hash_dedup`` = sha256 of standard title || standard company ||
     province || ISO posting date ('' when unparsed).
+
+    Two projections: the first normalises each text field once (NFKC runs
+    on the JVM and only for non-ASCII values); the second derives every
+    standard column from those, so no normalisation is repeated per row.
     """
     nf = rules.nfkc
-    title = T.standardize_title("job_title", mode=rules.mode, use_nfkc=nf)
-    loc = T.split_location("location", use_nfkc=nf)
-    sal = S.parse_salary("salary", rules.currency_default, rules.salary_keywords, mode=rules.mode,
-                         rates=rules.currency_rates, use_nfkc=nf)
     keep = [c for c in df.columns if c not in _POSTING_TEXT]
-    out = df.select(
+    norm_cols = ["job_title", "company_name", "industry", "location", "salary", "job_type",
+                 "experience_level", "education_level", "source_agency"]
+    base = df.select(*keep, *[T.normalize_text(c, nf).alias(f"_n_{c}") for c in norm_cols],
+                     F.col("industry").alias("_industry"), F.col("source_agency").alias("_agency"),
+                     F.col("posting_date").alias("_posting_date"))
+    title = T.standardize_title("_n_job_title", mode=rules.mode, use_nfkc=False)
+    loc = T.split_location("_n_location", use_nfkc=False)
+    base = S.with_parsed_salary(base, "_n_salary", rules.currency_default, rules.salary_keywords,
+                                mode=rules.mode, rates=rules.currency_rates, normalized=True)
+    out = base.select(
         *keep,
         title["raw"].alias("job_title_raw"),
         title["std"].alias("job_title_std"),
-        T.normalize_text("company_name", nf).alias("company_name_raw"),
-        T.standardize_company("company_name", mode=rules.mode, use_nfkc=nf).alias("company_name_std"),
-        T.normalize_text("industry", nf).alias("industry_raw"),
-        T.title_case("industry").alias("industry_std"),
+        F.col("_n_company_name").alias("company_name_raw"),
+        T.standardize_company("_n_company_name", mode=rules.mode, use_nfkc=False).alias("company_name_std"),
+        F.col("_n_industry").alias("industry_raw"),
+        T.title_case("_industry").alias("industry_std"),
         loc["province"].alias("province"),
         loc["city"].alias("city"),
-        sal["salary_type"].alias("salary_type"),
-        sal["salary_currency"].alias("salary_currency"),
-        sal["salary_min_usd"].alias("salary_min_usd"),
-        sal["salary_max_usd"].alias("salary_max_usd"),
-        T.normalize_text("job_type", nf).alias("employment_type"),
-        T.experience_band("experience_level", mode=rules.mode, use_nfkc=nf).alias("experience_level_std"),
-        T.education_band("education_level", nf).alias("education_level_std"),
-        D.parse_date("posting_date").alias("posting_date"),
-        T.normalize_text("source_agency", nf).alias("source_agency_raw"),
-        T.title_case("source_agency").alias("source_agency_std"),
+        "salary_type",
+        "salary_currency",
+        "salary_min_usd",
+        "salary_max_usd",
+        F.col("_n_job_type").alias("employment_type"),
+        T.experience_band("_n_experience_level", mode=rules.mode, use_nfkc=False).alias("experience_level_std"),
+        T.education_band("_n_education_level", use_nfkc=False).alias("education_level_std"),
+        D.parse_date("_posting_date").alias("posting_date"),
+        F.col("_n_source_agency").alias("source_agency_raw"),
+        T.title_case("_agency").alias("source_agency_std"),
     )
     return out.withColumn(
         "hash_dedup",

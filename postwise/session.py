@@ -21,6 +21,7 @@ def get_spark(cpus: int | str | None = None, app: str = "postwise", shuffle_part
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
