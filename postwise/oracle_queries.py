@@ -154,3 +154,89 @@ ORACLE["trend_mom"] = A + f"""SELECT industry_name, year, month, job_postings,
   job_postings - lag(job_postings) OVER (PARTITION BY industry_name ORDER BY year, month) AS mom_change
 FROM (SELECT i.industry_name, {_I.format('t.year')} AS year, {_I.format('t.month')} AS month, count(*) AS job_postings
   FROM fact f JOIN dim_time t ON f.time_id = t.time_id JOIN dim_industry i ON f.industry_id = i.industry_id GROUP BY 1, 2, 3)"""
+
+# ---- quality -------------------------------------------------------------------
+
+_REQ = " AND ".join(f"trim({f}) <> ''" for f in R.REQUIRED_FIELDS)
+_DATE = f"(NOT date_defaulted AND posting_date <= DATE {q(R.DEFAULT_RUN_DATE)})"
+_SAL = f"((salary_min IS NULL AND salary_max IS NULL) OR coalesce(salary_min <= salary_max AND salary_min >= {R.MIN_SALARY} AND salary_max <= {R.MAX_SALARY}, false))"
+_LEN = " AND ".join(f"coalesce(length({c}) <= {n}, true)" for c, n in R.STAGING_LENGTHS.items())
+_CHECKS = {"required_fields": f"({_REQ})", "date_valid": _DATE, "salary_valid": _SAL, "length_valid": f"({_LEN})"}
+ORACLE["quality_report"] = A + " UNION ALL ".join(
+    f"SELECT {q(n)} AS \"check\", CAST(sum(CASE WHEN {c} THEN 0 ELSE 1 END) AS BIGINT) AS failed, count(*) AS total FROM staging"
+    for n, c in _CHECKS.items())
+ORACLE["rejects"] = A + "SELECT posting_id, concat_ws(',', " + ", ".join(
+    f"CASE WHEN NOT {c} THEN {q(n)} END" for n, c in _CHECKS.items()) + ") AS reasons FROM staging WHERE NOT (" + \
+    " AND ".join(_CHECKS.values()) + ")"
+ORACLE["reference_check"] = A + " UNION ALL ".join(
+    f"SELECT {q(n)} AS dimension, count(*) AS missing FROM fact f WHERE NOT EXISTS (SELECT 1 FROM {d} d WHERE d.{k} = f.{k})"
+    for n, d, k in [("time", "dim_time", "time_id"), ("company", "dim_company", "company_id"), ("job", "dim_job", "job_id"),
+                    ("industry", "dim_industry", "industry_id"), ("location", "dim_location", "location_id"),
+                    ("source", "dim_source_agency", "source_id")])
+ORACLE["fanout_audit"] = A + """SELECT coalesce(n, 0) AS fact_rows, count(*) AS staging_rows
+FROM staging s LEFT JOIN (SELECT posting_id, count(*) AS n FROM fact GROUP BY 1) f ON s.posting_id = f.posting_id GROUP BY 1"""
+ORACLE["constraint_check"] = A + " UNION ALL ".join(
+    f"SELECT {q(t)} AS \"table\", count(*) AS duplicate_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows "
+    f"FROM (SELECT count(*) AS n FROM {t} GROUP BY {k} HAVING count(*) > 1)"
+    for t, k in [("dim_company", "company_name"), ("dim_time", "posting_date"), ("dim_industry", "industry_name"),
+                 ("dim_source_agency", "agency_name"),
+                 ("fact", "time_id, company_id, job_id, industry_id, location_id, source_id")])
+
+# ---- dedup -----------------------------------------------------------------------
+
+_DEDUP = "deduped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hash_dedup ORDER BY posting_id) AS rn FROM cleaned) WHERE rn = 1)"
+BASE_B_DEDUP = B.rstrip("\n") + ",\n" + _DEDUP + "\n"
+ORACLE["dedup_exact"] = BASE_B_DEDUP + "SELECT posting_id, hash_dedup FROM deduped"
+ORACLE["dedup_fuzzy"] = B.rstrip("\n") + f""",
+fz AS (SELECT posting_id, company_name_std AS co, lower(concat_ws('|', job_title_raw, province, coalesce(city, ''))) AS s,
+  posting_date AS d FROM cleaned)
+SELECT r.posting_id FROM fz r
+WHERE NOT (r.d IS NOT NULL AND EXISTS (
+  SELECT 1 FROM fz x WHERE x.co = r.co AND x.d IS NOT NULL
+    AND (x.d < r.d OR (x.d = r.d AND x.posting_id < r.posting_id)) AND date_diff('day', x.d, r.d) <= {R.TIME_WINDOW_DAYS}
+    AND (CASE WHEN greatest(length(x.s), length(r.s)) = 0 THEN 1.0
+         ELSE 1.0 - levenshtein(x.s, r.s) / greatest(length(x.s), length(r.s)) END) >= {R.SIMILARITY_THRESHOLD}))"""
+
+# ---- star B views ------------------------------------------------------------------
+
+_BF = BASE_B_DEDUP.rstrip("\n") + ",\nbf AS (SELECT * FROM deduped WHERE posting_date IS NOT NULL)\n"
+ORACLE["salary_distribution"] = _BF + """SELECT coalesce(industry_std, '') AS industry_name_std,
+  round(CAST(sum(salary_min_usd) AS DOUBLE) / count(*), 6) AS avg_salary_min_usd,
+  round(CAST(sum(salary_max_usd) AS DOUBLE) / count(*), 6) AS avg_salary_max_usd, count(*) AS postings
+FROM bf WHERE salary_min_usd IS NOT NULL AND salary_max_usd IS NOT NULL GROUP BY 1"""
+ORACLE["demand_by_province"] = _BF + "SELECT province, count(*) AS job_count FROM bf GROUP BY province"
+
+# ---- incremental loads -------------------------------------------------------------
+
+_SPLIT = "DATE '1996-01-01'"
+ORACLE["merge_dimension_incremental"] = A.rstrip("\n") + f""",
+b1 AS (SELECT min(company_name) AS company_name, {O.mk('company_name')} AS k FROM staging WHERE posting_date < {_SPLIT} GROUP BY 2),
+b2 AS (SELECT min(company_name) AS company_name FROM staging WHERE posting_date >= {_SPLIT}
+       AND {O.mk('company_name')} NOT IN (SELECT k FROM b1) GROUP BY {O.mk('company_name')})
+SELECT row_number() OVER (ORDER BY company_name) AS company_id, company_name FROM b1
+UNION ALL
+SELECT (SELECT count(*) FROM b1) + row_number() OVER (ORDER BY company_name), company_name FROM b2"""
+ORACLE["fact_upsert"] = A + f"""SELECT time_id, company_id, job_id, industry_id, location_id, source_id,
+  (array_agg(posting_id ORDER BY batch, posting_id))[1] AS posting_id,
+  (array_agg(salary_min ORDER BY batch DESC, posting_id DESC))[1] AS salary_min,
+  (array_agg(salary_max ORDER BY batch DESC, posting_id DESC))[1] AS salary_max,
+  CAST(((array_agg(salary_min ORDER BY batch DESC, posting_id DESC))[1]
+        + (array_agg(salary_max ORDER BY batch DESC, posting_id DESC))[1]) / 2 AS DECIMAL(10,2)) AS salary_avg
+FROM (SELECT *, CASE WHEN posting_date < {_SPLIT} THEN 1 ELSE 2 END AS batch FROM fact)
+GROUP BY time_id, company_id, job_id, industry_id, location_id, source_id"""
+
+# ---- star aggregates on the order tables -----------------------------------------------
+
+ORACLE["star_bench_by_nation"] = """SELECT n_name AS nation, count(*) AS line_count,
+  round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"""
+ORACLE["star_bench_top_suppliers"] = """SELECT s_name AS supplier, count(*) AS line_count
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_name ORDER BY line_count DESC, supplier LIMIT 20"""
+ORACLE["star_bench_monthly"] = """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+  l_returnflag, round(avg(l_extendedprice), 6) AS avg_price, round(avg(l_discount), 6) AS avg_discount, count(*) AS line_count
+FROM lineitem GROUP BY 1, 2, 3"""
+ORACLE["star_bench_weekly"] = f"""SELECT CAST(year(d) AS INTEGER) AS year, {WEEK1.format(d='d')} AS week_of_year, count(*) AS line_count
+FROM (SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem) GROUP BY 1, 2"""
+ORACLE["star_bench_by_segment"] = """SELECT c_mktsegment AS segment, count(*) AS order_count, round(sum(o_totalprice), 2) AS order_value
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1"""

@@ -204,3 +204,121 @@ for _name in ["jobs_by_industry", "jobs_by_location", "top_companies", "salary_t
         fn.__name__ = fn_name
         return fn
     QUERIES[_name] = _mk(_name)
+
+
+# ---- quality -----------------------------------------------------------------
+
+from postwise.operators import quality as Q  # noqa: E402
+from postwise.operators.dedup import dedup_exact, dedup_fuzzy  # noqa: E402
+from postwise.operators.star_b import build_star_b, demand_by_province, salary_distribution  # noqa: E402
+from postwise.plans import star_bench  # noqa: E402
+
+
+@query("quality_report")
+def q_quality_report(spark, sf):
+    return Q.quality_report(warehouse(spark, sf)["staging"], Q.staging_checks())
+
+
+@query("rejects")
+def q_rejects(spark, sf):
+    _, rej = Q.split_valid(warehouse(spark, sf)["staging"], Q.staging_checks())
+    return rej.select("posting_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("reference_check")
+def q_reference_check(spark, sf):
+    w = warehouse(spark, sf)
+    dims = {"time": (w["dim_time"], "time_id"), "company": (w["dim_company"], "company_id"),
+            "job": (w["dim_job"], "job_id"), "industry": (w["dim_industry"], "industry_id"),
+            "location": (w["dim_location"], "location_id"), "source": (w["dim_source_agency"], "source_id")}
+    return Q.check_references(w["fact"], dims)
+
+
+@query("fanout_audit")
+def q_fanout_audit(spark, sf):
+    w = warehouse(spark, sf)
+    return Q.check_fanout(w["staging"], w["fact"])
+
+
+@query("constraint_check")
+def q_constraint_check(spark, sf):
+    w = warehouse(spark, sf)
+    from postwise.operators.fact import FACT_KEYS
+    parts = [Q.check_unique(w["dim_company"], ["company_name"], "dim_company"),
+             Q.check_unique(w["dim_time"], ["posting_date"], "dim_time"),
+             Q.check_unique(w["dim_industry"], ["industry_name"], "dim_industry"),
+             Q.check_unique(w["dim_source_agency"], ["agency_name"], "dim_source_agency"),
+             Q.check_unique(w["fact"], FACT_KEYS, "fact")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---- dedup ---------------------------------------------------------------------
+
+@query("dedup_exact")
+def q_dedup_exact(spark, sf):
+    return dedup_exact(clean_standard(_raw(spark, sf))).select("posting_id", "hash_dedup")
+
+
+@query("dedup_fuzzy")
+def q_dedup_fuzzy(spark, sf):
+    return dedup_fuzzy(clean_standard(_raw(spark, sf))).select("posting_id")
+
+
+# ---- star B views ----------------------------------------------------------------
+
+@query("salary_distribution")
+def q_salary_distribution(spark, sf):
+    return salary_distribution(build_star_b(clean_standard(_raw(spark, sf))))
+
+
+@query("demand_by_province")
+def q_demand_by_province(spark, sf):
+    return demand_by_province(build_star_b(clean_standard(_raw(spark, sf))))
+
+
+# ---- incremental loads ---------------------------------------------------------
+
+BATCH_SPLIT_DATE = "1996-01-01"
+
+
+def _two_batches(spark, sf):
+    """The staging rows as two load batches: postings dated before
+    ``BATCH_SPLIT_DATE`` first, the rest second. Both batches are loaded,
+    so every row is processed."""
+    st = warehouse(spark, sf)["staging"]
+    early = F.col("posting_date") < F.lit(BATCH_SPLIT_DATE).cast("date")
+    return st.where(early), st.where(~early)
+
+
+@query("merge_dimension_incremental")
+def q_merge_incremental(spark, sf):
+    from postwise.operators.dimensions import merge_dimension
+    b1, b2 = _two_batches(spark, sf)
+    d1 = merge_dimension(None, b1.select("company_name"), ["company_name"], "company_id")
+    d1 = d1.checkpoint(eager=True)
+    d2 = merge_dimension(d1, b2.select("company_name"), ["company_name"], "company_id")
+    return d2
+
+
+@query("fact_upsert")
+def q_fact_upsert(spark, sf):
+    from postwise.operators.fact import build_fact, upsert_fact
+    w = warehouse(spark, sf)
+    dims = {k: w[k] for k in w if k.startswith("dim_")}
+    b1, b2 = _two_batches(spark, sf)
+    f1 = build_fact(b1, dims).withColumn("_batch", F.lit(1))
+    f2 = build_fact(b2, dims).withColumn("_batch", F.lit(2))
+    up = upsert_fact(f1, f2)
+    return up.select("time_id", "company_id", "job_id", "industry_id", "location_id", "source_id",
+                     "posting_id", "salary_min", "salary_max", "salary_avg")
+
+
+# ---- star aggregates on the order tables -------------------------------------------
+
+for _name, _fn in [("star_bench_by_nation", star_bench.by_nation), ("star_bench_top_suppliers", star_bench.top_suppliers),
+                   ("star_bench_monthly", star_bench.monthly_price), ("star_bench_weekly", star_bench.weekly_lines),
+                   ("star_bench_by_segment", star_bench.by_segment)]:
+    QUERIES[_name] = _fn

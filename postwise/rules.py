@@ -209,3 +209,9 @@ class Rules:
 
 
 DEFAULT_RULES = Rules()
+
+# Staging column widths of the original DDL (checked, not truncated).
+STAGING_LENGTHS: dict[str, int] = {
+    "job_title": 255, "company_name": 255, "industry": 255, "location": 100, "salary_range": 100,
+    "job_type": 50, "experience_level": 50, "education_level": 100, "source_agency": 100,
+}
