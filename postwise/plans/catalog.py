@@ -322,3 +322,10 @@ for _name, _fn in [("star_bench_by_nation", star_bench.by_nation), ("star_bench_
                    ("star_bench_monthly", star_bench.monthly_price), ("star_bench_weekly", star_bench.weekly_lines),
                    ("star_bench_by_segment", star_bench.by_segment)]:
     QUERIES[_name] = _fn
+
+
+@query("dedup_documents")
+def q_dedup_documents(spark, sf):
+    from postwise.operators.docdedup import dedup_documents
+    from postwise.sources.tables import read_table
+    return dedup_documents(read_table(spark, sf, "documents"))

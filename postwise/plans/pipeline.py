@@ -1,0 +1,200 @@
+"""The incremental load (K5) and its table maintenance.
+
+One run: purge unprocessed staging batches -> stage the new batch -> merge
+the six dimensions -> build the fact rows -> append or upsert them -> mark
+the batch processed -> log the run -> summary. Re-running a batch changes
+nothing (dimensions are insert-if-absent, the fact is upserted on its
+six-key), and a run that fails before the mark leaves the batch
+unprocessed, so the next run purges and redoes it.
+
+Tables are Parquet folders under a warehouse root on shared storage. A
+table is replaced by writing a sibling folder and renaming it (never
+overwriting a folder that is being read); the fact is partitioned by
+posting year/month and an upsert rewrites only the touched partitions,
+from checkpointed data.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from postwise import rules as R
+from postwise.operators.clean import clean_basic
+from postwise.operators.dimensions import STAR_A, merge_star_a
+from postwise.operators.fact import FACT_KEYS, append_conflicts, build_fact, upsert_fact
+from postwise.plans import olap
+from postwise.session import ensure_checkpoint_dir
+
+
+class Warehouse:
+    """Parquet tables under ``root`` (any Hadoop-compatible file system)."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._Path = jvm.org.apache.hadoop.fs.Path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._Path(self.root).getFileSystem(conf)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def exists(self, name: str) -> bool:
+        return self._fs.exists(self._Path(self.path(name)))
+
+    def read(self, name: str) -> DataFrame | None:
+        return self.spark.read.parquet(self.path(name)) if self.exists(name) else None
+
+    def replace(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
+        tmp = self.path(f"_{name}.next")
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(tmp)
+        if self.exists(name):
+            self._fs.delete(self._Path(self.path(name)), True)
+        self._fs.rename(self._Path(tmp), self._Path(self.path(name)))
+
+    def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
+        w = df.write.mode("append")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(self.path(name))
+
+    def list_dirs(self, name: str) -> list[str]:
+        if not self.exists(name):
+            return []
+        return [st.getPath().getName() for st in self._fs.listStatus(self._Path(self.path(name))) if st.isDirectory()]
+
+    def delete(self, rel: str) -> None:
+        self._fs.delete(self._Path(self.path(rel)), True)
+
+
+def processed_batches(wh: Warehouse) -> set[str]:
+    t = wh.read("processed_batches")
+    return set() if t is None else {r[0] for r in t.select("batch_id").distinct().collect()}
+
+
+def purge_unprocessed(wh: Warehouse) -> list[str]:
+    """Drop staging batches that were never marked processed (whole
+    batch folders; never a rewrite of the staging table)."""
+    done = processed_batches(wh)
+    dropped = []
+    for d in wh.list_dirs("staging"):
+        if d.startswith("batch_id=") and d.split("=", 1)[1] not in done:
+            wh.delete(f"staging/{d}")
+            dropped.append(d)
+    return dropped
+
+
+def stage(wh: Warehouse, postings: DataFrame, batch_id: str, run_ts: str, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
+    """Clean a batch (basic profile) into ``staging/batch_id=...``."""
+    df = postings
+    if "posting_id" not in df.columns:
+        text = [c for c in df.columns if c not in ("_overflow",)]
+        df = df.withColumn("posting_id", F.xxhash64(F.lit(batch_id), *[F.col(c) for c in text]))
+    staged = clean_basic(df, rules, run_ts[:10]).withColumn("timestamp_col", F.lit(run_ts).cast("timestamp"))
+    staged.write.mode("overwrite").parquet(wh.path(f"staging/batch_id={batch_id}"))
+    return wh.spark.read.parquet(wh.path(f"staging/batch_id={batch_id}"))
+
+
+def mark_processed(wh: Warehouse, batch_id: str, run_ts: str) -> None:
+    """Record the batch as processed (append-only)."""
+    row = wh.spark.createDataFrame([(batch_id, run_ts)], "batch_id string, processed_at string") \
+        .withColumn("processed_at", F.col("processed_at").cast("timestamp"))
+    wh.append("processed_batches", row)
+
+
+def log_run(wh: Warehouse, process: str, count: int, status: str, start: _dt.datetime, end: _dt.datetime,
+            error: str | None = None) -> None:
+    """One row in ``etl_logs`` (type, process, count, status, start,
+    end, whole seconds)."""
+    row = wh.spark.createDataFrame(
+        [("INFO" if status == "COMPLETED" else "ERROR", process, int(count), status, error, start, end)],
+        "log_type string, process_name string, record_count int, status string, error_message string, "
+        "start_time timestamp, end_time timestamp")
+    row = row.withColumn("duration_seconds", F.timestamp_diff("SECOND", "start_time", "end_time").cast("int")) \
+        .withColumn("created_at", F.col("end_time"))
+    wh.append("etl_logs", row)
+
+
+def load_fact(wh: Warehouse, new: DataFrame, mode: str = "upsert") -> int:
+    """Append the new fact rows, or upsert them on the six-key
+    rewriting only the touched (year, month) partitions. Returns the number
+    of refused rows in append mode (six-key already present), else 0."""
+    part = ["posting_year", "posting_month"]
+    old = wh.read("fact")
+    if old is None:
+        wh.replace("fact", upsert_fact(None, new.withColumnRenamed("load_seq", "_batch"),
+                                       order_cols=("_batch", "posting_id")).withColumnRenamed("_batch", "load_seq")
+                   if mode == "upsert" else new, part)
+        return 0
+    if mode == "append":
+        conflicts = append_conflicts(old, new).count()
+        wh.append("fact", new.join(old.select(*FACT_KEYS).distinct(), FACT_KEYS, "left_anti"), part)
+        return conflicts
+    touched = [(r[0], r[1]) for r in new.select(*part).distinct().collect()]  # bounded by months
+    cond = F.lit(False)
+    for y, m in touched:
+        cond = cond | ((F.col("posting_year") == y) & (F.col("posting_month") == m))
+    old_part = old.where(cond)
+    merged = upsert_fact(old_part.withColumnRenamed("load_seq", "_batch"), new.withColumnRenamed("load_seq", "_batch"),
+                         order_cols=("_batch", "posting_id")).withColumnRenamed("_batch", "load_seq")
+    merged = merged.checkpoint(eager=True)  # cut the read of the partitions being replaced
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*part) \
+        .parquet(wh.path("fact"))
+    return 0
+
+
+def run_pipeline(spark: SparkSession, postings: DataFrame, root: str, batch_id: str,
+                 run_ts: str | None = None, rules: R.Rules = R.DEFAULT_RULES, mode: str = "upsert") -> DataFrame:
+    """K5: load one batch of raw postings into the star; returns the run
+    summary (metric, label, value)."""
+    ensure_checkpoint_dir(spark)
+    start = _dt.datetime.now().replace(microsecond=0)
+    run_ts = run_ts or start.isoformat(sep=" ")
+    wh = Warehouse(spark, root)
+    try:
+        purge_unprocessed(wh)
+        seq = len(processed_batches(wh)) + 1
+        staging = stage(wh, postings, batch_id, run_ts, rules)
+        current = {name: wh.read(name) for name in STAR_A}
+        dims = merge_star_a(staging, current, run_ts=run_ts)
+        for name, df in dims.items():
+            wh.replace(name, df.checkpoint(eager=True))
+        dims = {name: wh.read(name) for name in STAR_A}
+        fact = build_fact(staging, dims, run_ts=run_ts).withColumn("load_seq", F.lit(seq))
+        fact = fact.checkpoint(eager=True)
+        loaded = fact.count()
+        load_fact(wh, fact, mode)
+        mark_processed(wh, batch_id, run_ts)
+        log_run(wh, "ETL Pipeline", loaded, "COMPLETED", start, _dt.datetime.now().replace(microsecond=0))
+    except Exception as e:  # noqa: BLE001 - logged, then re-raised
+        log_run(wh, "ETL Pipeline", 0, "FAILED", start, _dt.datetime.now().replace(microsecond=0), str(e)[:1000])
+        raise
+    return olap.run_summary(tables(wh))
+
+
+def tables(wh: Warehouse) -> dict[str, DataFrame]:
+    out = {name: wh.read(name) for name in STAR_A}
+    out["fact"] = wh.read("fact")
+    return out
+
+
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """Temp views over the warehouse tables and the named views."""
+    wh = Warehouse(spark, root)
+    t = tables(wh)
+    names = []
+    for name, df in t.items():
+        if df is not None:
+            df.createOrReplaceTempView(name)
+            names.append(name)
+    if t.get("fact") is not None:
+        olap.job_summary(t).createOrReplaceTempView("vw_job_summary")
+        olap.industry_analysis(t).createOrReplaceTempView("vw_industry_analysis")
+        names += ["vw_job_summary", "vw_industry_analysis"]
+    return names

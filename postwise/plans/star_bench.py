@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from postwise.functions.dates import week_mode1
 from postwise.sources.tables import read_table
 
-REVENUE = F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))
+def _revenue():
+    return F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))
 
 
 def _t(spark, sf, name):
@@ -24,7 +25,7 @@ def _t(spark, sf, name):
 
 def by_nation(spark: SparkSession, sf: str) -> DataFrame:
     """A1/A2 shape: lines and revenue by customer nation."""
-    li = _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("_n"), F.sum(REVENUE).alias("_rev"))
+    li = _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("_n"), F.sum(_revenue()).alias("_rev"))
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
     per_cust = li.join(o, li.l_orderkey == o.o_orderkey).groupBy("o_custkey").agg(
         F.sum("_n").alias("_n"), F.sum("_rev").alias("_rev"))
