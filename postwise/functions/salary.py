@@ -43,6 +43,11 @@ def salary_range(c, mode: str = "fixed", translated: bool = False) -> Column:
         skip = skip | t.contains(tok)
     empty = F.struct(F.lit(None).cast(SALARY_TYPE).alias("salary_min"),
                      F.lit(None).cast(SALARY_TYPE).alias("salary_max"))
+    # Every pattern needs the literal "USD": a plain substring test spares
+    # the regex engine on all other rows.
+    needs = "USD" if all("USD" in p for p in patterns) else None
+    if needs:
+        skip = skip | ~t.contains(needs)
     return F.when(t.isNull() | skip, empty).otherwise(F.coalesce(hit, empty))
 
 

@@ -108,18 +108,30 @@ def staging_members(staging: DataFrame, name: str) -> DataFrame:
 
 
 def merge_star_a(staging: DataFrame, current: dict[str, DataFrame | None], run_ts=None,
-                 seeds: bool = True) -> dict[str, DataFrame]:
-    """Load the six star-A dimensions from a staging batch (insert-if-absent)."""
+                 seeds: bool = True, parallel: bool = True) -> dict[str, DataFrame]:
+    """Load the six star-A dimensions from a staging batch (insert-if-absent).
+
+    The six merges are independent, so with ``parallel`` they are submitted
+    from driver threads as concurrent Spark jobs and share the executors.
+    """
     spark = staging.sparkSession
-    out = {}
-    for name, spec in STAR_A.items():
+
+    def one(name: str) -> DataFrame:
+        spec = STAR_A[name]
         old = current.get(name)
         if old is None and seeds and name in ("dim_location", "dim_source_agency"):
             old = seed_dimension(spark, name)
         src = staging_members(staging, name)
-        out[name] = merge_dimension(old, src, spec["keys"], spec["id"], _attrs_a(name, run_ts),
-                                    match_cols=spec.get("match"), collated=name != "dim_time")
-    return out
+        return merge_dimension(old, src, spec["keys"], spec["id"], _attrs_a(name, run_ts),
+                               match_cols=spec.get("match"), collated=name != "dim_time")
+
+    if not parallel:
+        return {name: one(name) for name in STAR_A}
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(STAR_A)) as pool:
+        futures = {name: pool.submit(one, name) for name in STAR_A}
+        return {name: f.result() for name, f in futures.items()}
 
 
 def enrich_dimension(dim: DataFrame, lookup: DataFrame, key: str, collated: bool = True) -> DataFrame:

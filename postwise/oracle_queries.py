@@ -240,3 +240,7 @@ ORACLE["star_bench_weekly"] = f"""SELECT CAST(year(d) AS INTEGER) AS year, {WEEK
 FROM (SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem) GROUP BY 1, 2"""
 ORACLE["star_bench_by_segment"] = """SELECT c_mktsegment AS segment, count(*) AS order_count, round(sum(o_totalprice), 2) AS order_value
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1"""
+
+# ---- streaming ----------------------------------------------------------------------
+
+ORACLE["stream_distinct_events"] = "SELECT DISTINCT user_id, event_type FROM events"

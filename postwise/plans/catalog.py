@@ -329,3 +329,9 @@ def q_dedup_documents(spark, sf):
     from postwise.operators.docdedup import dedup_documents
     from postwise.sources.tables import read_table
     return dedup_documents(read_table(spark, sf, "documents"))
+
+
+@query("stream_distinct_events")
+def q_stream_distinct_events(spark, sf):
+    from postwise.streaming.ingest import stream_distinct_events
+    return stream_distinct_events(spark, sf)

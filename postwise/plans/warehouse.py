@@ -48,8 +48,10 @@ def build_warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_
     _write(staging, f"{root}/staging")
     staging = spark.read.parquet(f"{root}/staging")
     dims = merge_star_a(staging, {}, run_ts=f"{run_date} 00:00:00")
-    for name, df in dims.items():
-        _write(df, f"{root}/{name}")
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+        list(pool.map(lambda kv: _write(kv[1], f"{root}/{kv[0]}"), dims.items()))
     dims = {name: spark.read.parquet(f"{root}/{name}") for name in dims}
     fact = build_fact(staging, dims, run_ts=f"{run_date} 00:00:00")
     _write(fact, f"{root}/fact", ["posting_year", "posting_month"])
