@@ -11,11 +11,27 @@ from postwise import rules as R
 from postwise.functions.text import _col, strip_ws
 
 
+def _shape(fmt: str) -> str:
+    """A regex every string parseable by ``fmt`` matches (digit runs of the
+    pattern's letters, separators kept). It lets a format be skipped without
+    a parse attempt, whose failure costs an exception per row."""
+    import re
+
+    def run(m):
+        letters = m.group(0)
+        n = len(letters)
+        return r"\d{1,%d}" % max(n, 2) if letters[0] != "y" else r"\d{%d}" % n
+
+    body = re.sub(r"([A-Za-z])\1*", run, fmt.replace(".", r"\."))
+    return "^" + body + "$"
+
+
 def parse_date(c, formats: list[str] | None = None) -> Column:
     """First format that parses the whole text wins, else NULL."""
     c = _col(c)
     fmts = formats or R.DATE_FORMATS
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in fmts]).cast("date")
+    tries = [F.when(c.rlike(_shape(f)), F.try_to_timestamp(c, F.lit(f))) for f in fmts]
+    return F.coalesce(*tries).cast("date")
 
 
 def parse_date_or(c, run_date: str | _dt.date, formats: list[str] | None = None) -> Column:

@@ -10,7 +10,9 @@ Neither ever collects a group: D1 is an aggregate with map-side partial
 combine (``min_by``), so a hash holding a third of the rows is reduced in
 every task before the shuffle. D2 first collapses identical texts to one
 line per (company, text, day), so a hot group costs one line per day;
-only distinct texts are paired, within a company and a 7-day bucket pair.
+only distinct texts are paired, within a company and a pair of adjacent
+8-day buckets; blocks above ``SMALL_BLOCK`` lines pair only texts sharing
+one of their rarest q-grams (an exact count filter, see ``_qgram_pairs``).
 """
 
 from __future__ import annotations
@@ -54,8 +56,48 @@ def fuzzy_text(df: DataFrame) -> DataFrame:
     )
 
 
+SMALL_BLOCK = 64  # day lines per (company, bucket) paired directly
+_Q = 2            # q-gram length of the large-block filter
+
+
+def _direct_pairs(y: DataFrame, x: DataFrame) -> DataFrame:
+    """Candidate (y, x) line pairs of the same company and bucket."""
+    return y.join(x, ["_co", "_b"])
+
+
+def _qgram_pairs(y: DataFrame, x: DataFrame, threshold: float) -> DataFrame:
+    """Candidate pairs through the q-gram count filter (exact).
+
+    A line y can only be similar to x with at most
+    K = floor((1 - t) / t * len(y)) edits; then x contains at least
+    |Q(y)| - q*K of y's positional q-grams (each edit destroys at most q),
+    so any q*K + 1 of y's q-grams include one of x's. y keeps its q*K + 1
+    rarest q-grams (the prefix); x keeps all of its q-grams; pairs must
+    share a q-gram. Common q-grams sort last in every prefix, so a hot
+    block does not pair everything with everything.
+    """
+    def grams(df, text):
+        n = F.length(text) - F.lit(_Q - 1)
+        g = df.select("*", F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).alias("_i")) \
+            .select("*", F.substring(text, F.col("_i"), _Q).alias("_g"))
+        occ = F.row_number().over(Window.partitionBy("_co", text, "_g").orderBy("_i"))
+        return g.withColumn("_gk", F.concat(F.col("_g"), F.lit("#"), occ.cast("string"))).drop("_i", "_g")
+
+    ytexts = grams(y.select("_co", "_s").distinct(), F.col("_s"))
+    freq = ytexts.groupBy("_gk").agg(F.count("*").alias("_f"))
+    k = F.floor(F.length("_s") * F.lit((1.0 - threshold) / threshold) + F.lit(1e-9))
+    rank = F.row_number().over(Window.partitionBy("_co", "_s").orderBy("_f", "_gk"))
+    prefix = ytexts.join(freq, "_gk").withColumn("_r", rank).where(F.col("_r") <= F.lit(_Q) * k + 1) \
+        .select("_co", "_s", "_gk")
+    xg = grams(x.select("_co", "_xs").distinct(), F.col("_xs")).select("_co", "_xs", "_gk")
+    yp = y.join(prefix, ["_co", "_s"])
+    xp = x.join(xg, ["_co", "_xs"])
+    cand = yp.join(xp, ["_co", "_b", "_gk"]).drop("_gk")
+    return cand.dropDuplicates(["_co", "_b", "_s", "_d", "_xs", "_xd"])
+
+
 def fuzzy_duplicates(rows: DataFrame, threshold: float = R.SIMILARITY_THRESHOLD,
-                     days: int = R.TIME_WINDOW_DAYS) -> DataFrame:
+                     days: int = R.TIME_WINDOW_DAYS, small_block: int = SMALL_BLOCK) -> DataFrame:
     """D2 core on (posting_id, _co, _s, _d): the ids that are duplicates."""
     dated = rows.where(F.col("_d").isNotNull())
     # One line per (company, text, day): smallest id and the ids above it.
@@ -65,16 +107,26 @@ def fuzzy_duplicates(rows: DataFrame, threshold: float = R.SIMILARITY_THRESHOLD,
     w = Window.partitionBy("_co", "_s").orderBy("_d")
     day = day.withColumn("_prev_d", F.lag("_d").over(w))
     same_text_day_dup = day.where(F.datediff("_d", "_prev_d") <= days).select("_co", "_s", "_d")
-    # Distinct texts: pair day lines of one company whose 7-day buckets are
-    # equal or adjacent (x earlier), then check the window and similarity.
+    # Distinct texts: pair day lines of one company whose buckets (days+1
+    # days wide) are equal or adjacent (x earlier), then check the window
+    # and the similarity. Small blocks pair directly; large blocks go
+    # through the q-gram filter.
     bucket = F.floor(F.datediff(F.col("_d"), F.lit("1970-01-01")) / F.lit(days + 1))
     day = day.withColumn("_b", bucket).withColumn("_len", F.length("_s"))
+    sizes = day.groupBy("_co", "_b").agg(F.count("*").alias("_bn"))
+    day = day.join(sizes, ["_co", "_b"])
     x = day.select(F.col("_co"), F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_b"),
                    F.col("_s").alias("_xs"), F.col("_d").alias("_xd"), F.col("_min_id").alias("_x_id"),
                    F.col("_len").alias("_xlen"))
-    y = day.select("_co", "_b", "_s", "_d", "_len")
+    y = day.select("_co", "_b", "_s", "_d", "_len", "_bn")
+    # The q-gram filter is sound only when y keeps at least one guaranteed
+    # shared q-gram: |Q(y)| - q*K >= 1. Other lines pair directly.
+    k = F.floor(F.length("_s") * F.lit((1.0 - threshold) / threshold) + F.lit(1e-9))
+    filterable = (F.length("_s") - F.lit(_Q - 1)) - F.lit(_Q) * k >= 1
+    big_y = (F.col("_bn") > small_block) & filterable
+    cand = _direct_pairs(y.where(~big_y), x).unionByName(_qgram_pairs(y.where(big_y), x, threshold))
     slack = 1.0 - threshold
-    cand = y.join(x, ["_co", "_b"]).where(
+    cand = cand.where(
         (F.col("_xs") != F.col("_s")) & (F.col("_xd") <= F.col("_d"))
         & (F.datediff(F.col("_d"), F.col("_xd")) <= days)
         & (F.abs(F.col("_len") - F.col("_xlen")) <= F.greatest(F.col("_len"), F.col("_xlen")) * slack + 1e-9)

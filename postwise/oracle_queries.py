@@ -244,3 +244,10 @@ FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1"""
 # ---- streaming ----------------------------------------------------------------------
 
 ORACLE["stream_distinct_events"] = "SELECT DISTINCT user_id, event_type FROM events"
+
+# ---- raw landing ------------------------------------------------------------------------
+
+ORACLE["land_raw"] = RAW + """SELECT TIMESTAMP '2025-01-01 00:00:00' AS load_timestamp, job_title, company_name,
+  location AS location_raw, salary AS salary_raw, posting_date AS posting_date_raw, source_agency,
+  '{"posting_id":' || CAST(posting_id AS VARCHAR) || ',"posting_ref":"' || CAST(posting_id AS VARCHAR) || '"}' AS extra
+FROM raw"""

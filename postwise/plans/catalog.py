@@ -327,11 +327,20 @@ for _name, _fn in [("star_bench_by_nation", star_bench.by_nation), ("star_bench_
 @query("dedup_documents")
 def q_dedup_documents(spark, sf):
     from postwise.operators.docdedup import dedup_documents
-    from postwise.sources.tables import read_table
-    return dedup_documents(read_table(spark, sf, "documents"))
+    from postwise.sources.tables import read_table, spread
+    return dedup_documents(spread(read_table(spark, sf, "documents").select("doc_id", "text")))
 
 
 @query("stream_distinct_events")
 def q_stream_distinct_events(spark, sf):
     from postwise.streaming.ingest import stream_distinct_events
     return stream_distinct_events(spark, sf)
+
+
+@query("land_raw")
+def q_land_raw(spark, sf):
+    from postwise.sources.csv import land_raw
+    r = _raw(spark, sf).withColumn("posting_ref", F.col("posting_id").cast("string"))
+    out = land_raw(r, "2025-01-01 00:00:00")
+    return out.select("load_timestamp", "job_title", "company_name", "location_raw", "salary_raw",
+                      "posting_date_raw", "source_agency", "extra")

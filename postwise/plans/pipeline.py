@@ -52,7 +52,7 @@ class Warehouse:
         tmp = self.path(f"_{name}.next")
         w = df.write.mode("overwrite")
         if partition_by:
-            w = w.partitionBy(*partition_by)
+            w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
         w.parquet(tmp)
         if self.exists(name):
             self._fs.delete(self._Path(self.path(name)), True)
@@ -61,7 +61,7 @@ class Warehouse:
     def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
         w = df.write.mode("append")
         if partition_by:
-            w = w.partitionBy(*partition_by)
+            w = df.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by)
         w.parquet(self.path(name))
 
     def list_dirs(self, name: str) -> list[str]:
@@ -144,8 +144,8 @@ def load_fact(wh: Warehouse, new: DataFrame, mode: str = "upsert") -> int:
     merged = upsert_fact(old_part.withColumnRenamed("load_seq", "_batch"), new.withColumnRenamed("load_seq", "_batch"),
                          order_cols=("_batch", "posting_id")).withColumnRenamed("_batch", "load_seq")
     merged = merged.checkpoint(eager=True)  # cut the read of the partitions being replaced
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*part) \
-        .parquet(wh.path("fact"))
+    merged.hint("rebalance", *part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*part).parquet(wh.path("fact"))
     return 0
 
 

@@ -23,7 +23,7 @@ from postwise.operators.fact import build_fact
 from postwise.session import scratch_path
 from postwise.sources.fixture import raw_postings
 
-_BUILT: dict[tuple, str] = {}
+_BUILT: dict[tuple, dict[str, DataFrame]] = {}
 
 STAR_A_TABLES = ["staging", *STAR_A.keys(), "fact"]
 
@@ -34,9 +34,12 @@ def _root(spark: SparkSession, sf_dir: str, run_date: str, tag: str) -> str:
 
 
 def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Overwrite ``path``; a partitioned table is rebalanced on its partition
+    columns first (AQE merges small and splits skewed partitions), so each
+    month gets few files and a hot month is still spread over tasks."""
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     w.parquet(path)
 
 
@@ -62,11 +65,12 @@ def warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_RUN_DA
               rules: R.Rules = R.DEFAULT_RULES) -> dict[str, DataFrame]:
     """The star-A tables for ``sf_dir`` (built once per session)."""
     key = (id(spark.sparkContext._jsc), os.path.abspath(sf_dir), run_date, repr(rules))
-    root = _BUILT.get(key)
-    if root is None:
+    tables = _BUILT.get(key)
+    if tables is None:
         root = build_warehouse(spark, sf_dir, run_date, rules)
-        _BUILT[key] = root
-    return {name: spark.read.parquet(f"{root}/{name}") for name in STAR_A_TABLES}
+        tables = {name: spark.read.parquet(f"{root}/{name}") for name in STAR_A_TABLES}
+        _BUILT[key] = tables
+    return dict(tables)
 
 
 def cleaned_standard(spark: SparkSession, sf_dir: str, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:

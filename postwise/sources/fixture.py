@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postwise.sources.tables import read_table
+from postwise.sources.tables import read_table, spread
 
 POSTING_COLUMNS = ["job_title", "company_name", "industry", "location", "salary", "job_type",
                    "experience_level", "education_level", "posting_date", "source_agency"]
@@ -48,6 +48,7 @@ FIXTURE_SQL_DUCKDB = _FIXTURE_SQL.replace("{orders}", "orders").replace("{custom
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings derived from orders x customer (one row per order)."""
-    orders = read_table(spark, sf_dir, "orders")
+    orders = spread(read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
     customer = read_table(spark, sf_dir, "customer")
     return spark.sql(_FIXTURE_SQL, orders=orders, customer=customer)

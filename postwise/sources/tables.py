@@ -11,3 +11,18 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Catalyst prunes columns and pushes filters into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give heavy per-row work at least one partition per core.
+
+    A source with fewer partitions than the cluster's default parallelism
+    (a small file, or a file of one Parquet row group) would run all
+    downstream per-row work in that many tasks; it is round-robin
+    repartitioned. Sources already split into enough partitions (the
+    normal case on a cluster) are left alone, so this adds no shuffle there.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -94,3 +94,35 @@ def test_quality_report_and_split(spark):
 def test_seed_location_mapped(spark):
     cities = [r["city"] for r in seed_dimension(spark, "dim_location").orderBy("location_id").collect()]
     assert "Sihanoukville" in cities and "Preah Sihanouk" not in cities
+
+
+def test_fuzzy_large_block_filter_is_exact(spark):
+    """The q-gram path (forced with small_block=0) finds the same duplicates
+    as direct pairing, on the fixture's cleaned postings."""
+    from postwise.operators.clean import clean_standard
+    from postwise.operators.dedup import fuzzy_duplicates, fuzzy_text
+    from postwise.sources.fixture import raw_postings
+    from tests.conftest import SF_SMALL
+
+    rows = fuzzy_text(clean_standard(raw_postings(spark, SF_SMALL)))
+    # Make near-duplicates: the same rows with one character changed, 2 days later.
+    near = rows.select((F.col("posting_id") + 10_000_000).alias("posting_id"), "_co",
+                       F.concat(F.col("_s"), F.lit("x")).alias("_s"), F.date_add("_d", 2).alias("_d"))
+    both = rows.unionByName(near)
+    direct = {r[0] for r in fuzzy_duplicates(both, small_block=10**9).collect()}
+    qgram = {r[0] for r in fuzzy_duplicates(both, small_block=0).collect()}
+    assert direct == qgram
+    assert len(direct) > 100
+
+
+def test_fuzzy_low_threshold_routes_direct(spark):
+    """At a low threshold the q-gram filter cannot apply; results must still
+    equal direct pairing."""
+    from postwise.operators.dedup import fuzzy_duplicates
+    rows = spark.createDataFrame(
+        [(1, "c", "abcd", dt.date(2024, 1, 1)), (2, "c", "wxyz", dt.date(2024, 1, 2)),
+         (3, "c", "abxy", dt.date(2024, 1, 3)), (4, "c", "zzzz", dt.date(2024, 1, 4))],
+        "posting_id long, _co string, _s string, _d date")
+    direct = {r[0] for r in fuzzy_duplicates(rows, threshold=0.4, small_block=10**9).collect()}
+    qgram = {r[0] for r in fuzzy_duplicates(rows, threshold=0.4, small_block=0).collect()}
+    assert direct == qgram == {3}
