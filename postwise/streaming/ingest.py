@@ -18,6 +18,7 @@ from postwise import rules as R
 from postwise.operators.clean import clean_standard
 from postwise.session import scratch_path
 from postwise.sources.csv import csv_schema, null_tokens
+from postwise.sources.fixture import POSTING_COLUMNS
 
 
 def dedup_stream(stream: DataFrame, key_cols: list[str], event_time: str,
@@ -34,11 +35,13 @@ def postings_stream(spark: SparkSession, src_dir: str, max_files: int | None = N
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     raw = null_tokens(reader.csv(src_dir)).where(F.col("_overflow").isNull()).drop("_overflow")
-    raw = raw.withColumn("posting_id", F.xxhash64(*[F.col(c) for c in raw.columns]))
-    cleaned = clean_standard(raw).select("posting_id", "hash_dedup", "posting_date")
-    tagged = raw.join(cleaned, "posting_id")
+    # Carry the raw text through the cleaning projections under aliases:
+    # one projection chain, no join of the stream with itself.
+    carried = raw.select("*", *[F.col(c).alias(f"_raw_{c}") for c in POSTING_COLUMNS])
+    cleaned = clean_standard(carried)
     event = F.coalesce(F.col("posting_date").cast("timestamp"), F.current_timestamp())
-    return tagged.withColumn("_event_time", event).drop("posting_date")
+    return cleaned.select(*[F.col(f"_raw_{c}").alias(c) for c in POSTING_COLUMNS], "hash_dedup",
+                          event.alias("_event_time"))
 
 
 def run_ingest(spark: SparkSession, src_dir: str, root: str, checkpoint: str, rules: R.Rules = R.DEFAULT_RULES,
@@ -50,7 +53,7 @@ def run_ingest(spark: SparkSession, src_dir: str, root: str, checkpoint: str, ru
     deduped = dedup_stream(postings_stream(spark, src_dir), ["hash_dedup"], "_event_time", rules.time_window_days)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        rows = batch.drop("hash_dedup", "_event_time", "posting_id")
+        rows = batch.drop("hash_dedup", "_event_time")
         run_pipeline(batch.sparkSession, rows, root, f"stream-{epoch}", rules=rules)
 
     w = deduped.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
