@@ -46,8 +46,10 @@ def assign_dense_ids(df: DataFrame, order_cols: list[str], id_col: str, start: i
     """K1: ids ``start, start+1, ...`` in ``order_cols`` order (must be unique)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # Without an explicit count AQE may merge adjacent small range
+    # partitions (order is kept), so a small dimension uses few tasks.
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    ordered = ranged.sortWithinPartitions(*order_cols)
     tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
                             F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
     counts = sorted((r["_pid"], r["n"]) for r in tagged.groupBy("_pid").agg(F.count("*").alias("n")).collect())

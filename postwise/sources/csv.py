@@ -68,8 +68,8 @@ def land_raw(df: DataFrame, run_ts: str, mapped: list[str] | None = None) -> Dat
     extra = F.to_json(F.struct(*extra_cols)) if extra_cols else F.lit(None).cast("string")
     src = F.col("source_file") if "source_file" in df.columns else F.lit(None).cast("string")
     return df.select(
-        src.alias("source_file"), F.lit(run_ts).cast("timestamp").alias("load_timestamp"),
-        F.lit(None).cast("timestamp").alias("timestamp_collected"),
+        src.alias("source_file"), F.lit(run_ts).cast("timestamp_ntz").alias("load_timestamp"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp_collected"),
         F.col("job_title"), F.col("company_name"), F.col("industry"), F.col("location").alias("location_raw"),
         F.col("salary").alias("salary_raw"), F.col("job_type"), F.col("experience_level"),
         F.col("education_level"), F.col("posting_date").alias("posting_date_raw"), F.col("source_agency"),
