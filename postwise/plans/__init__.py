@@ -1 +1 @@
-"""Plans: the warehouse build, OLAP queries, run summary and the pipeline."""
+"""Plans: the warehouse build, OLAP queries, run summary and the incremental load."""

@@ -23,7 +23,8 @@ from postwise.operators.fact import build_fact
 from postwise.session import scratch_path
 from postwise.sources.fixture import raw_postings
 
-_BUILT: dict[tuple, dict[str, DataFrame]] = {}
+_ROOTS: dict[tuple, str] = {}                      # per SparkContext: written tables
+_TABLES: dict[tuple, dict[str, DataFrame]] = {}    # per SparkSession: DataFrames over them
 
 STAR_A_TABLES = ["staging", *STAR_A.keys(), "fact"]
 
@@ -64,12 +65,16 @@ def build_warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_
 def warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_RUN_DATE,
               rules: R.Rules = R.DEFAULT_RULES) -> dict[str, DataFrame]:
     """The star-A tables for ``sf_dir`` (built once per session)."""
-    key = (id(spark.sparkContext._jsc), os.path.abspath(sf_dir), run_date, repr(rules))
-    tables = _BUILT.get(key)
+    build_key = (id(spark.sparkContext._jsc), os.path.abspath(sf_dir), run_date, repr(rules))
+    session_key = (id(spark._jsparkSession),) + build_key
+    tables = _TABLES.get(session_key)
     if tables is None:
-        root = build_warehouse(spark, sf_dir, run_date, rules)
+        root = _ROOTS.get(build_key)
+        if root is None:
+            root = build_warehouse(spark, sf_dir, run_date, rules)
+            _ROOTS[build_key] = root
         tables = {name: spark.read.parquet(f"{root}/{name}") for name in STAR_A_TABLES}
-        _BUILT[key] = tables
+        _TABLES[session_key] = tables
     return dict(tables)
 
 

@@ -3,7 +3,7 @@
 New posting files are picked up by a file stream, duplicates (same record
 hash) arriving within ``time_window_days`` of each other are dropped with
 ``dropDuplicatesWithinWatermark`` (state is bounded by the watermark), and
-each micro-batch is loaded through the batch pipeline in ``foreachBatch``
+each micro-batch is loaded through the incremental batch load in ``foreachBatch``
 (idempotent per batch id, so a replayed micro-batch changes nothing).
 """
 
@@ -48,7 +48,7 @@ def run_ingest(spark: SparkSession, src_dir: str, root: str, checkpoint: str, ru
                available_now: bool = True):
     """Start the ingest: dedup within the window, then ``run_pipeline`` per
     micro-batch (batch id = ``stream-<epoch>``)."""
-    from postwise.plans.pipeline import run_pipeline
+    from postwise.plans.incremental import run_pipeline
 
     deduped = dedup_stream(postings_stream(spark, src_dir), ["hash_dedup"], "_event_time", rules.time_window_days)
 

@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from postwise.plans.pipeline import Warehouse, register_views, run_pipeline, tables
+from postwise.plans.incremental import Warehouse, register_views, run_pipeline, tables
 from postwise.sources.csv import land_raw, null_tokens, read_postings_csv, split_overlong, write_postings_csv
 from postwise.sources.fixture import raw_postings
 from tests.conftest import SF_SMALL

@@ -1,4 +1,4 @@
-"""Streaming ingest into the pipeline (E2) and dimension enrichment (K7)."""
+"""Streaming ingest into the incremental load (E2) and dimension enrichment (K7)."""
 
 import os
 import shutil
@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from postwise.operators.dimensions import enrich_dimension
-from postwise.plans.pipeline import Warehouse, tables
+from postwise.plans.incremental import Warehouse, tables
 from postwise.sources.csv import write_postings_csv
 from postwise.sources.fixture import raw_postings
 from postwise.streaming.ingest import run_ingest
