@@ -2,9 +2,9 @@
 
 Key lookup resolves each distinct spelling to a member id first (a small
 table per dimension), so the fact join is six plain equi-joins on the
-staging columns. Joins are left to the planner: with AQE a dimension map is
-broadcast when its measured size is under the broadcast threshold and
-shuffled otherwise, so nothing unbounded is broadcast.
+staging columns. Each lookup is materialised and counted: one within
+``BROADCAST_ROWS`` is broadcast (the staging rows are then never shuffled
+for that dimension), a larger one stays a shuffle join.
 """
 
 from __future__ import annotations
@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from postwise.functions.salary import has_salary, salary_avg
 from postwise.operators.dimensions import STAR_A
-from postwise.operators.keys import resolve_members
+from postwise.operators.keys import broadcast_if_small, resolve_members
 
 FACT_KEYS = ["time_id", "company_id", "job_id", "industry_id", "location_id", "source_id"]
 
 
-def resolve_keys(staging: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def resolve_keys(staging: DataFrame, dims: dict[str, DataFrame], max_broadcast_rows: int | None = None) -> DataFrame:
     """Staging rows with the six member ids (inner joins, one row each).
 
     The job key uses all four job attributes and the location key matches
@@ -38,14 +38,17 @@ def resolve_keys(staging: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
             mapping = resolve_members(values, dims[name], [f"_v{i}" for i in range(len(src_cols))], spec["id"],
                                       dim_cols)
             mapping = mapping.select(*[F.col(f"_v{i}").alias(s) for i, s in enumerate(src_cols)], spec["id"])
+        kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
+        mapping, _ = broadcast_if_small(mapping, **kw)
         out = out.join(mapping, src_cols, "inner")
     return out
 
 
-def build_fact(staging: DataFrame, dims: dict[str, DataFrame], run_ts=None) -> DataFrame:
+def build_fact(staging: DataFrame, dims: dict[str, DataFrame], run_ts=None,
+               max_broadcast_rows: int | None = None) -> DataFrame:
     """K3: fact rows for a staging batch (job_count 1, stored salary_avg and
     has_salary, load timestamp, posting year/month for partitioning)."""
-    r = resolve_keys(staging, dims)
+    r = resolve_keys(staging, dims, max_broadcast_rows)
     ts = F.lit(run_ts).cast("timestamp") if run_ts is not None else F.lit(None).cast("timestamp")
     return r.select(
         "posting_id", *FACT_KEYS,

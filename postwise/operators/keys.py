@@ -107,3 +107,18 @@ def resolve_members(values: DataFrame, dim: DataFrame, key_cols: list[str], id_c
     d = dim.select(F.col(id_col).alias("_id"), *[F.col(c).alias(f"_d{i}") for i, c in enumerate(dim_cols)])
     cond = _match_condition(variants, d, key_cols, [f"_d{i}" for i in range(len(dim_cols))])
     return variants.join(d, cond, "inner").groupBy(*key_cols).agg(F.min("_id").alias(id_col))
+
+
+# Largest lookup (rows) broadcast to every task once its size is known.
+BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Materialise ``df`` in the checkpoint folder, count it, and mark it for
+    broadcast only when it has at most ``max_rows`` rows; otherwise it stays
+    a shuffle-join side. Returns (frame, broadcast?)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    m = df.checkpoint(eager=True)
+    if m.count() <= max_rows:
+        return F.broadcast(m), True
+    return m, False
