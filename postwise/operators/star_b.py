@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from postwise import rules as R
 from postwise.operators.dedup import dedup_exact
 from postwise.operators.dimensions import merge_dimension
+from postwise.operators.keys import broadcast_if_small
 from postwise.session import ensure_checkpoint_dir
 
 
@@ -37,7 +38,8 @@ def build_star_b(cleaned: DataFrame, existing: dict[str, DataFrame] | None = Non
             for name, (id_col, keys) in specs.items()}
     fact = rows
     for name, (id_col, keys) in specs.items():
-        d = dims[name].select(id_col, *keys)
+        # Broadcast a dimension only after counting it (see broadcast_if_small).
+        d, _ = broadcast_if_small(dims[name].select(id_col, *keys))
         fact = fact.join(d, [fact[k].eqNullSafe(d[k]) for k in keys], "inner").drop(*[d[k] for k in keys])
     fact = fact.select(
         F.col("posting_date").alias("time_key"), *[spec[0] for spec in specs.values()],
