@@ -19,10 +19,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A source with fewer partitions than the cluster's default parallelism
     (a small file, or a file of one Parquet row group) would run all
     downstream per-row work in that many tasks; it is round-robin
-    repartitioned. Sources already split into enough partitions (the
-    normal case on a cluster) are left alone, so this adds no shuffle there.
+    repartitioned (to at most ``spark.sql.shuffle.partitions`` tasks, so a
+    small file does not become thousands of tiny tasks on a big cluster).
+    Sources already split into enough partitions (the normal case on a
+    cluster) are left alone, so this adds no shuffle there.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    target = min_partitions or min(spark.sparkContext.defaultParallelism,
+                                   int(spark.conf.get("spark.sql.shuffle.partitions")))
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
