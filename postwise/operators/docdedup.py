@@ -26,14 +26,15 @@ from postwise.session import ensure_checkpoint_dir
 
 
 def shingles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5) -> DataFrame:
-    """(id, h): distinct hashed word n-grams; texts shorter than n words give
-    one shingle of all their words."""
+    """(id, h): hashed word n-grams (repeats kept: both consumers, the
+    per-bin minimum and ``collect_set``, ignore them, so no shuffle is spent
+    removing them); texts shorter than n words give one shingle."""
     words = F.filter(F.split(F.lower(F.col(text_col)), r"\s+"), lambda w: w != "")
     sized = df.select(F.col(id_col).alias("_id"), words.alias("_w")).withColumn("_k", F.size("_w"))
     cols = [F.slice("_w", i + 1, F.greatest(F.col("_k") - n + 1, F.lit(1))) for i in range(n)]
     grams = sized.select("_id", F.explode_outer(F.arrays_zip(*cols)).alias("_g"))
     h = F.xxhash64(*[F.col("_g")[str(i)] for i in range(n)])
-    return grams.where(F.col("_g").isNotNull()).select(F.col("_id").alias(id_col), h.alias("h")).distinct()
+    return grams.where(F.col("_g").isNotNull()).select(F.col("_id").alias(id_col), h.alias("h"))
 
 
 def minhash_lsh_pairs(sh: DataFrame, id_col: str = "doc_id", num_perm: int = 64, bands: int = 16) -> DataFrame:
