@@ -9,8 +9,6 @@ rows put their extra field into ``_overflow`` and go to the rejects.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,6 +113,3 @@ def read_jdbc(spark: SparkSession, options: dict, partition_column: str | None =
             .option("upperBound", upper).option("numPartitions", num_partitions)
     return r.load()
 
-
-def describe(df: DataFrame) -> str:
-    return json.dumps([f.name for f in df.schema.fields])
