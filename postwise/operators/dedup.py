@@ -2,7 +2,8 @@
 
 D1 keeps the earliest row per record hash. D2 drops a row when an earlier
 row of the same company, at most ``days`` days before it, is similar enough
-(normalised Levenshtein on the compared text). It compares against all
+(normalised Levenshtein on the compared text). "Earlier" orders by (date,
+id); rows without a date are never compared, so they are always kept. It compares against all
 earlier rows, not only against survivors, so chains A~B~C drop B and C even
 when A and C are not similar.
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from postwise.sources.fixture import raw_postings
 
 _ROOTS: dict[tuple, str] = {}                      # per SparkContext: written tables
 _TABLES: dict[tuple, dict[str, DataFrame]] = {}    # per SparkSession: DataFrames over them
+_LOCK = threading.Lock()                           # one build per root, even from threads
 
 STAR_A_TABLES = ["staging", *STAR_A.keys(), "fact"]
 
@@ -67,14 +69,15 @@ def warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_RUN_DA
     """The star-A tables for ``sf_dir`` (built once per session)."""
     build_key = (id(spark.sparkContext._jsc), os.path.abspath(sf_dir), run_date, repr(rules))
     session_key = (id(spark._jsparkSession),) + build_key
-    tables = _TABLES.get(session_key)
-    if tables is None:
-        root = _ROOTS.get(build_key)
-        if root is None:
-            root = build_warehouse(spark, sf_dir, run_date, rules)
-            _ROOTS[build_key] = root
-        tables = {name: spark.read.parquet(f"{root}/{name}") for name in STAR_A_TABLES}
-        _TABLES[session_key] = tables
+    with _LOCK:
+        tables = _TABLES.get(session_key)
+        if tables is None:
+            root = _ROOTS.get(build_key)
+            if root is None:
+                root = build_warehouse(spark, sf_dir, run_date, rules)
+                _ROOTS[build_key] = root
+            tables = {name: spark.read.parquet(f"{root}/{name}") for name in STAR_A_TABLES}
+            _TABLES[session_key] = tables
     return dict(tables)
 
 
