@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postwise import rules as R
+from postwise.session import ensure_checkpoint_dir
 
 
 def dedup_exact(df: DataFrame, key: str = "hash_dedup", order: str = "posting_id",
@@ -100,7 +101,10 @@ def _qgram_pairs(y: DataFrame, x: DataFrame, threshold: float) -> DataFrame:
 def fuzzy_duplicates(rows: DataFrame, threshold: float = R.SIMILARITY_THRESHOLD,
                      days: int = R.TIME_WINDOW_DAYS, small_block: int = SMALL_BLOCK) -> DataFrame:
     """D2 core on (posting_id, _co, _s, _d): the ids that are duplicates."""
-    dated = rows.where(F.col("_d").isNotNull())
+    ensure_checkpoint_dir(rows.sparkSession)
+    # Both tables below feed several branches; materialise them once
+    # instead of recomputing the cleaning lineage per branch.
+    dated = rows.where(F.col("_d").isNotNull()).checkpoint(eager=True)
     # One line per (company, text, day): smallest id and the ids above it.
     day = dated.groupBy("_co", "_s", "_d").agg(F.min("posting_id").alias("_min_id"))
     # Identical text: a day's first row is a duplicate when the same text
@@ -115,7 +119,7 @@ def fuzzy_duplicates(rows: DataFrame, threshold: float = R.SIMILARITY_THRESHOLD,
     bucket = F.floor(F.datediff(F.col("_d"), F.lit("1970-01-01")) / F.lit(days + 1))
     day = day.withColumn("_b", bucket).withColumn("_len", F.length("_s"))
     sizes = day.groupBy("_co", "_b").agg(F.count("*").alias("_bn"))
-    day = day.join(sizes, ["_co", "_b"])
+    day = day.join(sizes, ["_co", "_b"]).checkpoint(eager=True)
     x = day.select(F.col("_co"), F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_b"),
                    F.col("_s").alias("_xs"), F.col("_d").alias("_xd"), F.col("_min_id").alias("_x_id"),
                    F.col("_len").alias("_xlen"))
