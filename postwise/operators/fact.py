@@ -19,28 +19,37 @@ from postwise.operators.keys import broadcast_if_small, resolve_members
 FACT_KEYS = ["time_id", "company_id", "job_id", "industry_id", "location_id", "source_id"]
 
 
+def key_lookup(staging: DataFrame, dims: dict[str, DataFrame], name: str,
+               max_broadcast_rows: int | None = None) -> DataFrame:
+    """The (staging spelling(s) -> member id) table of one dimension, sized
+    and marked for broadcast when small enough."""
+    spec = STAR_A[name]
+    src_cols = list(spec["src"].values())
+    if name == "dim_time":
+        return dims[name].select(F.col("posting_date"), F.col(spec["id"]))
+    dim_cols = ["city"] if name == "dim_location" else list(spec["src"].keys())
+    values = staging.select(*[F.col(s).alias(f"_v{i}") for i, s in enumerate(src_cols)])
+    mapping = resolve_members(values, dims[name], [f"_v{i}" for i in range(len(src_cols))], spec["id"], dim_cols)
+    mapping = mapping.select(*[F.col(f"_v{i}").alias(s) for i, s in enumerate(src_cols)], spec["id"])
+    kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
+    return broadcast_if_small(mapping, **kw)[0]
+
+
 def resolve_keys(staging: DataFrame, dims: dict[str, DataFrame], max_broadcast_rows: int | None = None) -> DataFrame:
     """Staging rows with the six member ids (inner joins, one row each).
 
     The job key uses all four job attributes and the location key matches
     the city null-safely, so a staging row maps to exactly one fact row.
+    The lookups are independent and are prepared as concurrent Spark jobs.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(STAR_A)) as pool:
+        futures = {name: pool.submit(key_lookup, staging, dims, name, max_broadcast_rows) for name in STAR_A}
+        lookups = {name: f.result() for name, f in futures.items()}
     out = staging
     for name, spec in STAR_A.items():
-        src_cols = list(spec["src"].values())
-        dim_cols = list(spec["src"].keys())
-        if name == "dim_location":
-            dim_cols = ["city"]
-        if name == "dim_time":
-            mapping = dims[name].select(F.col("posting_date"), F.col(spec["id"]))
-        else:
-            values = staging.select(*[F.col(s).alias(f"_v{i}") for i, s in enumerate(src_cols)])
-            mapping = resolve_members(values, dims[name], [f"_v{i}" for i in range(len(src_cols))], spec["id"],
-                                      dim_cols)
-            mapping = mapping.select(*[F.col(f"_v{i}").alias(s) for i, s in enumerate(src_cols)], spec["id"])
-        kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-        mapping, _ = broadcast_if_small(mapping, **kw)
-        out = out.join(mapping, src_cols, "inner")
+        out = out.join(lookups[name], list(spec["src"].values()), "inner")
     return out
 
 

@@ -55,14 +55,15 @@ def assign_dense_ids(df: DataFrame, order_cols: list[str], id_col: str, start: i
     counts = sorted((r["_pid"], r["n"]) for r in tagged.groupBy("_pid").agg(F.count("*").alias("n")).collect())
     if not counts:
         return tagged.drop("_pid", "_mid").withColumn(id_col, F.lit(None).cast("long"))
-    pairs, acc = [], 0
+    rows, acc = [], 0
     for pid, cnt in counts:
-        pairs += [F.lit(pid), F.lit(acc)]
+        rows.append((pid, acc))
         acc += cnt
-    offsets = F.create_map(*pairs)
+    # One row per partition: a size bound known before the broadcast.
+    offsets = F.broadcast(spark.createDataFrame(rows, "_pid int, _off long"))
     row_in_part = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _ROW_BITS)
-    dense = F.lit(start).cast("long") + F.element_at(offsets, F.col("_pid")) + row_in_part
-    return tagged.select(dense.alias(id_col), *[c for c in df.columns])
+    dense = F.lit(start).cast("long") + F.col("_off") + row_in_part
+    return tagged.join(offsets, "_pid").select(dense.alias(id_col), *[c for c in df.columns])
 
 
 def distinct_members(src: DataFrame, key_cols: list[str]) -> DataFrame:
