@@ -67,8 +67,8 @@ def build_warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_
 def warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_RUN_DATE,
               rules: R.Rules = R.DEFAULT_RULES) -> dict[str, DataFrame]:
     """The star-A tables for ``sf_dir`` (built once per session)."""
-    build_key = (id(spark.sparkContext._jsc), os.path.abspath(sf_dir), run_date, repr(rules))
-    session_key = (id(spark._jsparkSession),) + build_key
+    build_key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), run_date, repr(rules))
+    session_key = (spark._jsparkSession.sessionUUID(),) + build_key
     with _LOCK:
         tables = _TABLES.get(session_key)
         if tables is None:
