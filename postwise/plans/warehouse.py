@@ -67,8 +67,12 @@ def build_warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_
 def warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_RUN_DATE,
               rules: R.Rules = R.DEFAULT_RULES) -> dict[str, DataFrame]:
     """The star-A tables for ``sf_dir`` (built once per session)."""
-    build_key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), run_date, repr(rules))
-    session_key = (spark._jsparkSession.sessionUUID(),) + build_key
+    try:
+        app, session = spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
+    except Exception:  # noqa: BLE001 - sessions without JVM handles
+        app = session = spark.conf.get("spark.app.id", None) or str(id(spark))
+    build_key = (app, os.path.abspath(sf_dir), run_date, repr(rules))
+    session_key = (session,) + build_key
     with _LOCK:
         tables = _TABLES.get(session_key)
         if tables is None:

@@ -45,7 +45,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is. Only when nothing is configured (local tests) is a fresh
     temporary folder created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no driver-side context: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
