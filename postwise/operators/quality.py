@@ -93,3 +93,14 @@ def check_fanout(staging: DataFrame, fact: DataFrame, id_col: str = "posting_id"
     joined = staging.select(id_col).join(per, id_col, "left")
     return joined.groupBy(F.coalesce(F.col("fact_rows"), F.lit(0)).alias("fact_rows")) \
         .agg(F.count("*").alias("staging_rows"))
+
+
+def check_not_null(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """DQ6: (table, column, nulls) for every declared NOT NULL column, one
+    aggregation pass per table."""
+    parts = []
+    for name, (df, cols) in tables.items():
+        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in cols]))
+        parts.append(counts.select(rows.alias("r")).select(F.lit(name).alias("table"), "r.column", "r.nulls"))
+    return reduce(lambda a, b: a.unionByName(b), parts)

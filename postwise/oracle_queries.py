@@ -251,3 +251,13 @@ ORACLE["land_raw"] = RAW + """SELECT TIMESTAMP '2025-01-01 00:00:00' AS load_tim
   location AS location_raw, salary AS salary_raw, posting_date AS posting_date_raw, source_agency,
   '{"posting_id":' || CAST(posting_id AS VARCHAR) || ',"posting_ref":"' || CAST(posting_id AS VARCHAR) || '"}' AS extra
 FROM raw"""
+
+# ---- NOT NULL audit ----------------------------------------------------------------------
+
+_NN = [("dim_time", ["time_id", "posting_date"]), ("dim_company", ["company_id", "company_name"]),
+       ("dim_job", ["job_id", "job_title"]), ("dim_industry", ["industry_id", "industry_name"]),
+       ("dim_location", ["location_id", "city"]), ("dim_source_agency", ["source_id", "agency_name"]),
+       ("fact", ["time_id", "company_id", "job_id", "industry_id", "location_id", "source_id"])]
+ORACLE["not_null_check"] = A + " UNION ALL ".join(
+    f"SELECT {q(t)} AS \"table\", {q(c)} AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM {t}"
+    for t, cols in _NN for c in cols)

@@ -344,3 +344,18 @@ def q_land_raw(spark, sf):
     out = land_raw(r, "2025-01-01 00:00:00")
     return out.select("load_timestamp", "job_title", "company_name", "location_raw", "salary_raw",
                       "posting_date_raw", "source_agency", "extra")
+
+
+@query("not_null_check")
+def q_not_null_check(spark, sf):
+    from postwise.operators.fact import FACT_KEYS
+    w = warehouse(spark, sf)
+    return Q.check_not_null({
+        "dim_time": (w["dim_time"], ["time_id", "posting_date"]),
+        "dim_company": (w["dim_company"], ["company_id", "company_name"]),
+        "dim_job": (w["dim_job"], ["job_id", "job_title"]),
+        "dim_industry": (w["dim_industry"], ["industry_id", "industry_name"]),
+        "dim_location": (w["dim_location"], ["location_id", "city"]),
+        "dim_source_agency": (w["dim_source_agency"], ["source_id", "agency_name"]),
+        "fact": (w["fact"], FACT_KEYS),
+    })

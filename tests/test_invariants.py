@@ -28,3 +28,12 @@ def test_dimension_keys_dense_and_unique(spark):
         r = w[name].agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count("*").alias("n"),
                         F.count_distinct(key).alias("d")).collect()[0]
         assert (r["lo"], r["hi"], r["d"]) == (1, r["n"], r["n"]), name
+
+
+def test_approx_distinct_close(spark):
+    w = warehouse(spark, SF_SMALL)
+    exact = {r["industry_name"]: r["unique_companies"] for r in olap.industry_analysis(w).collect()}
+    approx = {r["industry_name"]: r["unique_companies"] for r in olap.industry_analysis(w, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k in exact:
+        assert abs(approx[k] - exact[k]) <= max(2, 0.06 * exact[k])
