@@ -48,3 +48,49 @@ def test_pipeline_idempotent(spark):
     assert wh.read("etl_logs").where("status = 'COMPLETED'").count() == 2
     assert "vw_job_summary" in register_views(spark, d + "/wh")
     assert spark.table("vw_job_summary").count() == counts1["fact"]
+
+
+def _batch(spark):
+    return raw_postings(spark, SF_SMALL).drop("posting_id")
+
+
+def test_upsert_updates_salaries_in_touched_partitions(spark):
+    d = tempfile.mkdtemp(prefix="pw-up-", dir="/tmp")
+    ts = "2025-01-01 00:00:00"
+    first = _batch(spark)
+    run_pipeline(spark, first, d + "/wh", "b1", ts)
+    wh = Warehouse(spark, d + "/wh")
+    before = wh.read("fact").count()
+    # Same postings, every salary raised: each six-key is replaced, none added.
+    second = first.withColumn("salary", F.lit("USD 4000 - 4500"))
+    run_pipeline(spark, second, d + "/wh", "b2", ts)
+    fact = Warehouse(spark, d + "/wh").read("fact")
+    assert fact.count() == before
+    assert fact.where("salary_min = 4000 AND salary_max = 4500").count() == before
+    assert fact.where("load_seq = 2").count() == before
+
+
+def test_append_mode_refuses_repeated_keys(spark):
+    from postwise.plans.incremental import load_fact
+    d = tempfile.mkdtemp(prefix="pw-app-", dir="/tmp")
+    ts = "2025-01-01 00:00:00"
+    run_pipeline(spark, _batch(spark), d + "/wh", "b1", ts, mode="append")
+    wh = Warehouse(spark, d + "/wh")
+    fact = wh.read("fact")
+    n = fact.count()
+    again = fact.limit(10).checkpoint(eager=True)
+    assert load_fact(wh, again, mode="append") == 10
+    assert Warehouse(spark, d + "/wh").read("fact").count() == n
+
+
+def test_failed_batch_is_purged(spark):
+    from postwise.plans.incremental import processed_batches, purge_unprocessed, stage
+    d = tempfile.mkdtemp(prefix="pw-purge-", dir="/tmp")
+    ts = "2025-01-01 00:00:00"
+    run_pipeline(spark, _batch(spark), d + "/wh", "good", ts)
+    wh = Warehouse(spark, d + "/wh")
+    stage(wh, _batch(spark), "crashed", ts)  # staged, never marked processed
+    assert "batch_id=crashed" in wh.list_dirs("staging")
+    assert purge_unprocessed(wh) == ["batch_id=crashed"]
+    assert wh.list_dirs("staging") == ["batch_id=good"]
+    assert processed_batches(wh) == {"good"}
