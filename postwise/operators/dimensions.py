@@ -24,14 +24,15 @@ def _max_id(df: DataFrame | None, id_col: str) -> int:
 
 def merge_dimension(old: DataFrame | None, src: DataFrame, key_cols: list[str], id_col: str,
                     attrs: dict[str, Column] | None = None, match_cols: list[str] | None = None,
-                    collated: bool = True) -> DataFrame:
+                    collated: bool = True, new_only: bool = False) -> DataFrame:
     """K2: stored members plus new members of ``src`` with dense ids.
 
     ``key_cols`` name the member columns in ``src``; ``match_cols`` (default
     all keys) decide whether a member is already stored. ``attrs`` adds
     attribute columns computed from the keys (defaults, dates parts, ...).
     ``collated=False`` uses exact binary equality instead of the original
-    server's case/accent-insensitive one.
+    server's case/accent-insensitive one. ``new_only=True`` returns just the
+    new members (stored members never change, so a table can be appended).
     """
     match_cols = match_cols or key_cols
     if collated:
@@ -53,7 +54,7 @@ def merge_dimension(old: DataFrame | None, src: DataFrame, key_cols: list[str],
     fresh = assign_dense_ids(members.select(*key_cols), key_cols, id_col, start)
     extra = [col.alias(name) for name, col in (attrs or {}).items()]
     fresh = fresh.select(id_col, *key_cols, *extra)
-    if old is None:
+    if old is None or new_only:
         return fresh
     return old.unionByName(fresh, allowMissingColumns=True)
 
@@ -108,11 +109,13 @@ def staging_members(staging: DataFrame, name: str) -> DataFrame:
 
 
 def merge_star_a(staging: DataFrame, current: dict[str, DataFrame | None], run_ts=None,
-                 seeds: bool = True, parallel: bool = True) -> dict[str, DataFrame]:
+                 seeds: bool = True, parallel: bool = True, new_only: bool = False) -> dict[str, DataFrame]:
     """Load the six star-A dimensions from a staging batch (insert-if-absent).
 
     The six merges are independent, so with ``parallel`` they are submitted
     from driver threads as concurrent Spark jobs and share the executors.
+    With ``new_only`` a dimension already stored returns only its new
+    members; a dimension not stored yet returns everything (seeds included).
     """
     spark = staging.sparkSession
 
@@ -123,7 +126,8 @@ def merge_star_a(staging: DataFrame, current: dict[str, DataFrame | None], run_t
             old = seed_dimension(spark, name)
         src = staging_members(staging, name)
         return merge_dimension(old, src, spec["keys"], spec["id"], _attrs_a(name, run_ts),
-                               match_cols=spec.get("match"), collated=name != "dim_time")
+                               match_cols=spec.get("match"), collated=name != "dim_time",
+                               new_only=new_only and current.get(name) is not None)
 
     if not parallel:
         return {name: one(name) for name in STAR_A}

@@ -1,8 +1,9 @@
 """The incremental load (K5) and its table maintenance.
 
 One run: purge unprocessed staging batches -> stage the new batch -> merge
-the six dimensions -> build the fact rows -> append or upsert them -> mark
-the batch processed -> log the run -> summary. Re-running a batch changes
+the six dimensions (only new members are appended; stored members never
+change) -> build the fact rows -> append or upsert them -> mark the batch
+processed -> log the run -> summary. Re-running a batch changes
 nothing (dimensions are insert-if-absent, the fact is upserted on its
 six-key), and a run that fails before the mark leaves the batch
 unprocessed, so the next run purges and redoes it.
@@ -162,9 +163,12 @@ def run_pipeline(spark: SparkSession, postings: DataFrame, root: str, batch_id:
         seq = len(processed_batches(wh)) + 1
         staging = stage(wh, postings, batch_id, run_ts, rules)
         current = {name: wh.read(name) for name in STAR_A}
-        dims = merge_star_a(staging, current, run_ts=run_ts)
+        dims = merge_star_a(staging, current, run_ts=run_ts, new_only=True)
         for name, df in dims.items():
-            wh.replace(name, df.checkpoint(eager=True))
+            if current[name] is None:
+                wh.replace(name, df.checkpoint(eager=True))      # first load: seeds + members
+            else:
+                wh.append(name, df.checkpoint(eager=True))       # later loads: new members only
         dims = {name: wh.read(name) for name in STAR_A}
         fact = build_fact(staging, dims, run_ts=run_ts).withColumn("load_seq", F.lit(seq))
         fact = fact.checkpoint(eager=True)
