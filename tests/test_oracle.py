@@ -16,6 +16,10 @@ def con():
     return duck(SF_SMALL)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
@@ -25,6 +29,10 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(cols) == sorted(dcols)
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert dtypes[f.name] == (t.upper() if t.startswith("decimal") else SPARK_TO_DUCK[t]), f.name
     assert len(srows) == len(drows)
     assert rows_key(srows, cols) == rows_key(drows, dcols)
 
