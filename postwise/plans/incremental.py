@@ -135,7 +135,10 @@ def load_fact(wh: Warehouse, new: DataFrame, mode: str = "upsert") -> int:
         return 0
     if mode == "append":
         conflicts = append_conflicts(old, new).count()
-        wh.append("fact", new.join(old.select(*FACT_KEYS).distinct(), FACT_KEYS, "left_anti"), part)
+        # A unique key keeps one row per six-key: the first (smallest id) of
+        # the batch, and none whose key is already stored.
+        first = new.groupBy(*FACT_KEYS).agg(F.min_by(F.struct(*new.columns), "posting_id").alias("_r")).select("_r.*")
+        wh.append("fact", first.join(old.select(*FACT_KEYS).distinct(), FACT_KEYS, "left_anti"), part)
         return conflicts
     touched = [(r[0], r[1]) for r in new.select(*part).distinct().collect()]  # bounded by months
     cond = F.lit(False)

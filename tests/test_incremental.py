@@ -117,3 +117,21 @@ def test_two_batches_equal_one_shot(spark):
         ids = inc[name].agg(F.count("*"), F.count_distinct(inc[name].columns[0]), F.max(inc[name].columns[0])).collect()[0]
         assert ids[0] == ids[1] == ids[2], name
     assert inc["fact"].select("posting_id").distinct().count() == raw.count()
+
+
+def test_append_keeps_one_row_per_key_within_batch(spark):
+    from postwise.plans.incremental import load_fact
+    d = tempfile.mkdtemp(prefix="pw-app2-", dir="/tmp")
+    ts = "2025-01-01 00:00:00"
+    run_pipeline(spark, _batch(spark).limit(5), d + "/wh", "b1", ts, mode="append")
+    wh = Warehouse(spark, d + "/wh")
+    fact = wh.read("fact")
+    n = fact.count()
+    # New keys (time_id shifted), each twice in the batch.
+    twice = fact.withColumn("time_id", F.col("time_id") + 100000)
+    batch = twice.unionByName(twice.withColumn("posting_id", F.col("posting_id") + 1)).checkpoint(eager=True)
+    assert load_fact(wh, batch, mode="append") == 2 * n
+    after = Warehouse(spark, d + "/wh").read("fact")
+    assert after.count() == 2 * n
+    assert after.groupBy("time_id", "company_id", "job_id", "industry_id", "location_id", "source_id").count() \
+        .where("count > 1").count() == 0
