@@ -126,3 +126,15 @@ def test_fuzzy_low_threshold_routes_direct(spark):
     direct = {r[0] for r in fuzzy_duplicates(rows, threshold=0.4, small_block=10**9).collect()}
     qgram = {r[0] for r in fuzzy_duplicates(rows, threshold=0.4, small_block=0).collect()}
     assert direct == qgram == {3}
+
+
+def test_map_values_join_path_equals_case_path(spark):
+    from postwise.operators.clean import map_column, map_values
+    mapping = {f"k{i}": f"v{i}" for i in range(300)}  # over the inline limit -> join
+    df = spark.createDataFrame([(i, f"k{i}" if i % 3 else f"other{i}") for i in range(400)], "id long, c string")
+    joined = {r["id"]: r["c"] for r in map_values(df, "c", mapping).collect()}
+    small = dict(list(mapping.items())[:150])
+    inline = {r["id"]: r["c"] for r in df.select("id", map_column("c", mapping).alias("c")).collect()}
+    assert joined == inline
+    assert {r["id"]: r["c"] for r in map_values(df, "c", small).collect()} == \
+        {r["id"]: r["c"] for r in df.select("id", map_column("c", small).alias("c")).collect()}
