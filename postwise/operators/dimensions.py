@@ -108,6 +108,19 @@ def staging_members(staging: DataFrame, name: str) -> DataFrame:
     return staging.select(*[F.col(s).alias(k) for k, s in spec["src"].items()])
 
 
+def merge_one_a(staging: DataFrame, current: dict[str, DataFrame | None], name: str, run_ts=None,
+                seeds: bool = True, new_only: bool = False) -> DataFrame:
+    """One star-A dimension merged from a staging batch (see merge_star_a)."""
+    spec = STAR_A[name]
+    old = current.get(name)
+    if old is None and seeds and name in ("dim_location", "dim_source_agency"):
+        old = seed_dimension(staging.sparkSession, name)
+    src = staging_members(staging, name)
+    return merge_dimension(old, src, spec["keys"], spec["id"], _attrs_a(name, run_ts),
+                           match_cols=spec.get("match"), collated=name != "dim_time",
+                           new_only=new_only and current.get(name) is not None)
+
+
 def merge_star_a(staging: DataFrame, current: dict[str, DataFrame | None], run_ts=None,
                  seeds: bool = True, parallel: bool = True, new_only: bool = False) -> dict[str, DataFrame]:
     """Load the six star-A dimensions from a staging batch (insert-if-absent).
@@ -117,17 +130,8 @@ def merge_star_a(staging: DataFrame, current: dict[str, DataFrame | None], run_t
     With ``new_only`` a dimension already stored returns only its new
     members; a dimension not stored yet returns everything (seeds included).
     """
-    spark = staging.sparkSession
-
     def one(name: str) -> DataFrame:
-        spec = STAR_A[name]
-        old = current.get(name)
-        if old is None and seeds and name in ("dim_location", "dim_source_agency"):
-            old = seed_dimension(spark, name)
-        src = staging_members(staging, name)
-        return merge_dimension(old, src, spec["keys"], spec["id"], _attrs_a(name, run_ts),
-                               match_cols=spec.get("match"), collated=name != "dim_time",
-                               new_only=new_only and current.get(name) is not None)
+        return merge_one_a(staging, current, name, run_ts, seeds, new_only)
 
     if not parallel:
         return {name: one(name) for name in STAR_A}

@@ -35,18 +35,20 @@ def key_lookup(staging: DataFrame, dims: dict[str, DataFrame], name: str,
     return broadcast_if_small(mapping, **kw)[0]
 
 
-def resolve_keys(staging: DataFrame, dims: dict[str, DataFrame], max_broadcast_rows: int | None = None) -> DataFrame:
+def resolve_keys(staging: DataFrame, dims: dict[str, DataFrame], max_broadcast_rows: int | None = None,
+                 lookups: dict[str, DataFrame] | None = None) -> DataFrame:
     """Staging rows with the six member ids (inner joins, one row each).
 
     The job key uses all four job attributes and the location key matches
     the city null-safely, so a staging row maps to exactly one fact row.
     The lookups are independent and are prepared as concurrent Spark jobs.
     """
-    from concurrent.futures import ThreadPoolExecutor
+    if lookups is None:
+        from concurrent.futures import ThreadPoolExecutor
 
-    with ThreadPoolExecutor(max_workers=len(STAR_A)) as pool:
-        futures = {name: pool.submit(key_lookup, staging, dims, name, max_broadcast_rows) for name in STAR_A}
-        lookups = {name: f.result() for name, f in futures.items()}
+        with ThreadPoolExecutor(max_workers=len(STAR_A)) as pool:
+            futures = {name: pool.submit(key_lookup, staging, dims, name, max_broadcast_rows) for name in STAR_A}
+            lookups = {name: f.result() for name, f in futures.items()}
     out = staging
     for name, spec in STAR_A.items():
         out = out.join(lookups[name], list(spec["src"].values()), "inner")
@@ -54,10 +56,10 @@ def resolve_keys(staging: DataFrame, dims: dict[str, DataFrame], max_broadcast_r
 
 
 def build_fact(staging: DataFrame, dims: dict[str, DataFrame], run_ts=None,
-               max_broadcast_rows: int | None = None) -> DataFrame:
+               max_broadcast_rows: int | None = None, lookups: dict[str, DataFrame] | None = None) -> DataFrame:
     """K3: fact rows for a staging batch (job_count 1, stored salary_avg and
     has_salary, load timestamp, posting year/month for partitioning)."""
-    r = resolve_keys(staging, dims, max_broadcast_rows)
+    r = resolve_keys(staging, dims, max_broadcast_rows, lookups)
     ts = F.lit(run_ts).cast("timestamp") if run_ts is not None else F.lit(None).cast("timestamp")
     return r.select(
         "posting_id", *FACT_KEYS,

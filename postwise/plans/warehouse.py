@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from postwise import rules as R
 from postwise.operators.clean import clean_basic, clean_standard
-from postwise.operators.dimensions import STAR_A, merge_star_a
-from postwise.operators.fact import build_fact
+from postwise.operators.dimensions import STAR_A, merge_one_a
+from postwise.operators.fact import build_fact, key_lookup
 from postwise.session import scratch_path
 from postwise.sources.fixture import raw_postings
 
@@ -53,13 +53,20 @@ def build_warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_
     staging = clean_basic(raw_postings(spark, sf_dir), rules, run_date)
     _write(staging, f"{root}/staging")
     staging = spark.read.parquet(f"{root}/staging")
-    dims = merge_star_a(staging, {}, run_ts=f"{run_date} 00:00:00")
+    run_ts = f"{run_date} 00:00:00"
+
+    def one(name: str):
+        # merge -> write -> key lookup, per dimension, as concurrent jobs
+        _write(merge_one_a(staging, {}, name, run_ts), f"{root}/{name}")
+        dim = spark.read.parquet(f"{root}/{name}")
+        return dim, key_lookup(staging, {name: dim}, name)
+
     from concurrent.futures import ThreadPoolExecutor
 
-    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
-        list(pool.map(lambda kv: _write(kv[1], f"{root}/{kv[0]}"), dims.items()))
-    dims = {name: spark.read.parquet(f"{root}/{name}") for name in dims}
-    fact = build_fact(staging, dims, run_ts=f"{run_date} 00:00:00")
+    with ThreadPoolExecutor(max_workers=len(STAR_A)) as pool:
+        done = {name: f.result() for name, f in {n: pool.submit(one, n) for n in STAR_A}.items()}
+    dims = {name: d for name, (d, _) in done.items()}
+    fact = build_fact(staging, dims, run_ts=run_ts, lookups={name: lk for name, (_, lk) in done.items()})
     _write(fact, f"{root}/fact", ["posting_year", "posting_month"])
     return root
 
