@@ -18,14 +18,15 @@ from checkpointed data.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postwise import rules as R
 from postwise.operators.clean import clean_basic
-from postwise.operators.dimensions import STAR_A, merge_star_a
-from postwise.operators.fact import FACT_KEYS, append_conflicts, build_fact, upsert_fact
+from postwise.operators.dimensions import STAR_A, merge_one_a
+from postwise.operators.fact import FACT_KEYS, append_conflicts, build_fact, key_lookup, upsert_fact
 from postwise.plans import olap
 from postwise.session import ensure_checkpoint_dir
 
@@ -166,14 +167,22 @@ def run_pipeline(spark: SparkSession, postings: DataFrame, root: str, batch_id:
         seq = len(processed_batches(wh)) + 1
         staging = stage(wh, postings, batch_id, run_ts, rules)
         current = {name: wh.read(name) for name in STAR_A}
-        dims = merge_star_a(staging, current, run_ts=run_ts, new_only=True)
-        for name, df in dims.items():
+
+        def one(name: str):
+            # merge -> store -> key lookup, per dimension, as concurrent jobs
+            df = merge_one_a(staging, current, name, run_ts, new_only=True).checkpoint(eager=True)
             if current[name] is None:
-                wh.replace(name, df.checkpoint(eager=True))      # first load: seeds + members
+                wh.replace(name, df)      # first load: seeds + members
             else:
-                wh.append(name, df.checkpoint(eager=True))       # later loads: new members only
-        dims = {name: wh.read(name) for name in STAR_A}
-        fact = build_fact(staging, dims, run_ts=run_ts).withColumn("load_seq", F.lit(seq))
+                wh.append(name, df)       # later loads: new members only
+            dim = wh.read(name)
+            return dim, key_lookup(staging, {name: dim}, name)
+
+        with ThreadPoolExecutor(max_workers=len(STAR_A)) as pool:
+            done = {name: f.result() for name, f in {n: pool.submit(one, n) for n in STAR_A}.items()}
+        dims = {name: d for name, (d, _) in done.items()}
+        fact = build_fact(staging, dims, run_ts=run_ts, lookups={name: lk for name, (_, lk) in done.items()}) \
+            .withColumn("load_seq", F.lit(seq))
         fact = fact.checkpoint(eager=True)
         loaded = fact.count()
         load_fact(wh, fact, mode)
