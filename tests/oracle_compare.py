@@ -91,9 +91,14 @@ def main(argv):
             continue
         cm = sorted(cols) == sorted(dcols)
         vm = cm and rows_key(srows, cols) == rows_key(drows, dcols)
-        ok = cm and vm and len(srows) == len(drows)
+        tmap = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+                "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+        dt_by = dict(zip(dcols, dtypes))
+        tm = cm and all(dt_by.get(c) == (t.upper() if t.startswith("decimal") else tmap.get(t, t))
+                        for c, t in zip(cols, stypes))
+        ok = cm and vm and tm and len(srows) == len(drows)
         bad += not ok
-        print(f"{name:32s} {'OK ' if ok else 'BAD'} rows={len(srows)}/{len(drows)} cols={cm} vals={vm} {ts:.1f}s")
+        print(f"{name:32s} {'OK ' if ok else 'BAD'} rows={len(srows)}/{len(drows)} cols={cm} types={tm} vals={vm} {ts:.1f}s")
         if not ok:
             print("   spark:", list(zip(cols, stypes)))
             print("   duck :", list(zip(dcols, dtypes)))
