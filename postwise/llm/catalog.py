@@ -44,3 +44,17 @@ def op3(spark, sf):
 def op7(spark, sf):
     from postwise.llm.quality import quality_rules
     return quality_rules(documents(spark, sf), read_table(spark, sf, "labels")).drop("_rid")
+
+
+@query("op6_line_dedup")
+def op6(spark, sf):
+    from postwise.llm.lines import dedup_lines
+    d = dedup_lines(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return d.select("_row.doc_id", "text", F.col("lines").alias("n_lines"),
+                    F.size("dropped").cast("bigint").alias("n_dropped"), F.col("dropped").alias("dropped_lines"))
+
+
+@query("op9_near_dedup")
+def op9(spark, sf):
+    from postwise.llm.bagminhash import duplicate_groups
+    return duplicate_groups(read_table(spark, sf, "documents"))
