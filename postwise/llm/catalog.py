@@ -58,3 +58,42 @@ def op6(spark, sf):
 def op9(spark, sf):
     from postwise.llm.bagminhash import duplicate_groups
     return duplicate_groups(read_table(spark, sf, "documents"))
+
+
+@query("op1_token_counts")
+def op1(spark, sf):
+    from postwise.llm.token_counts import count_with_edits, sample_edits
+    d = documents(spark, sf).select("doc_id", "text")
+    return count_with_edits(d.withColumn("edits", sample_edits(F.col("text"))))
+
+
+#: Entropy of the mixture, as a share of the entropy of equal weights.
+ENTROPY = 0.95
+
+
+@query("op4_mixing")
+def op4(spark, sf):
+    from postwise.llm.mixing import copies
+    d = copies(documents(spark, sf), target_entropy=ENTROPY, budget_share=1.0)
+    return d.select("_row.doc_id", F.col("_source").alias("source"), F.col("tokens").alias("n_tokens"),
+                    F.col("weight").alias("source_weight"), "alpha", "copies")
+
+
+@query("op8_packing")
+def op8(spark, sf):
+    from postwise.llm.packing import pack
+    p = pack(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op5_html_extraction")
+def op5(spark, sf):
+    from postwise.llm.extract import extract
+    return extract(spread(read_table(spark, sf, "pages").select("page_id", "url", "html")))
+
+
+@query("op10_warc")
+def op10(spark, sf):
+    from postwise.llm.warc import build_derivatives, responses
+    d = build_derivatives(responses(spread(read_table(spark, sf, "pages").select("page_id", "url", "html"))))
+    return d.withColumnRenamed("id", "page_id").withColumn("record_bytes", F.length("record").cast("bigint")).drop("record")

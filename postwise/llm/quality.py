@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postwise.llm.common import BLANKS, with_row_id, words
+from postwise.llm.common import BLANKS, materialise, with_row_id, words
 
 BUCKETS = 1 << 18
 PRIOR = 20.0
@@ -116,9 +116,10 @@ def llr_model(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                   target_rows: int = TARGET_ROWS) -> DataFrame:
-    """One row per document: _rid, doc_id, the base columns, score, kept."""
+    """One row per document: _rid (the input's, or a number per row), doc_id, the base columns, score, kept."""
     model = F.broadcast(llr_model(docs, labels, target_rows))
-    d = base_features(with_row_id(docs).select("_rid", "doc_id", "text"))
+    d = docs if "_rid" in docs.columns else with_row_id(docs)
+    d = base_features(d.select("_rid", "doc_id", "text"))
     meta = ["_rid", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     d = d.withColumn("s", shapes(F.col("text"))).select(
         *meta, "w", "s", F.explode_outer(F.expr("CASE WHEN size(w) > 0 THEN sequence(0, size(w) - 1) END")).alias("i"))
@@ -130,3 +131,15 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     out = g.groupBy(*meta).agg((F.sum(llr) / F.nullif(F.sum(grams), F.lit(0))).alias("score"))
     out = out.withColumn("kept", ~F.col("base_failed") & (F.coalesce("score", F.lit(0.0)) >= threshold))
     return out.select(*meta, "score", "kept")
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The input columns of the documents that are kept.
+
+    The verdicts, one number per kept row, are joined to rows numbered in a written copy: the
+    same numbers on both sides, whatever happens to an executor between the two reads.
+    """
+    rows = materialise(with_row_id(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))), "rows")
+    flat = rows.select("_rid", F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"))
+    good = quality_rules(flat, labels, threshold).filter("kept").select("_rid")
+    return rows.join(good, "_rid", "left_semi").select("_row.*")
