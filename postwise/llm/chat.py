@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postwise.llm.common import bind
+
 START, CONT, END = "<|im_start|>", "<|im_cont|>", "<|im_end|>"
 
 
@@ -48,10 +50,10 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant") -> Data
         escape(F.coalesce("text", F.lit(""))).alias("text")).alias("t"))
     g = t.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
     # A piece is the text of one turn with what stands before it; a block closes where the role changes.
-    g = g.withColumn("pieces", F.transform("t", lambda x, i: F.struct(
-        F.when((i > 0) & (F.get(F.col("t"), i - 1)["role"] == x["role"]), F.lit(CONT)).otherwise(F.concat(
+    g = g.withColumn("pieces", bind(F.col("t"), lambda v: F.transform(v, lambda x, i: F.struct(
+        F.when((i > 0) & (F.get(v, i - 1)["role"] == x["role"]), F.lit(CONT)).otherwise(F.concat(
             F.when(i > 0, F.lit(END + "\n")).otherwise(F.lit("")), F.lit(START), escape_role(x["role"]), F.lit("\n")
-        )).alias("head"), x["text"].alias("text"), (x["role"] == loss_role).alias("loss"))))
+        )).alias("head"), x["text"].alias("text"), (x["role"] == loss_role).alias("loss")))))
     spans = F.aggregate(
         "pieces", F.struct(F.lit(0).cast("bigint").alias("at"),
                            F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
@@ -77,8 +79,8 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss(formatted: Column, mask: Column) -> Column:
     """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(mask, lambda s: unescape(F.substr(
-        formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+    return F.array_join(bind(formatted, lambda f: F.transform(mask, lambda s: unescape(F.substr(
+        f, (s["start"] + 1).cast("int"), s["length"].cast("int"))))), "")
 
 
 def digests(formatted: DataFrame) -> DataFrame:

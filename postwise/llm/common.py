@@ -20,6 +20,16 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANK_RE), "")
 
 
+def bind(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once.
+
+    A column captured by a lambda may be replaced by its expression when projections are
+    merged or filters pushed down, and then be evaluated for every element; a lambda's own
+    argument is not.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(read_table(spark, sf_dir, "documents"))
 

@@ -41,8 +41,9 @@ MAX_REPEATED = 50
 
 def trigram_hashes(w: str) -> str:
     """SQL: the hash of each 3-word window of the word array ``w``, in order."""
-    return (f"transform(slice({w}, 1, greatest(size({w}) - 2, 0)),"
-            f" (x, i) -> xxhash64(x, get({w}, i + 1), get({w}, i + 2)))")
+    # Bound as a lambda's argument, the words are split once, whatever is merged into what.
+    return (f"transform(array({w}), v -> transform(slice(v, 1, greatest(size(v) - 2, 0)),"
+            f" (x, i) -> xxhash64(x, get(v, i + 1), get(v, i + 2))))[0]")
 
 
 def repeat_words(w: str, h: str) -> str:
@@ -52,12 +53,12 @@ def repeat_words(w: str, h: str) -> str:
     equal to a neighbour are the repeated ones; with their places sorted, each
     covers the words up to the next one's start, three at most.
     """
-    by_hash = f"array_sort(transform({h}, (x, i) -> struct(x AS x, i AS i)))"
+    by_hash = "array_sort(transform(g, (x, i) -> struct(x AS x, i AS i)))"
     places = (f"transform(array({by_hash}), s -> array_sort(transform(filter(s, (p, j) -> "
               f"get(s, j - 1).x <=> p.x OR get(s, j + 1).x <=> p.x), p -> p.i)))[0]")
     covered = (f"transform(array({places}), q -> aggregate(transform(q, (p, j) -> "
                f"least(3, coalesce(get(q, j + 1) - p, 3))), 0L, (a, x) -> a + x))[0]")
-    return f"CASE WHEN size(array_distinct({h})) = size({h}) THEN 0L ELSE {covered} END"
+    return f"transform(array({h}), g -> CASE WHEN size(array_distinct(g)) = size(g) THEN 0L ELSE {covered} END)[0]"
 
 
 def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -128,8 +129,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
         g = g.join(model.select(F.col("bucket").alias(f"g{k}"), F.col("llr").alias(f"l{k}")), f"g{k}", "left")
     llr = sum((F.coalesce(f"l{k}", F.lit(0.0)) for k in range(1, len(GRAMS))), F.coalesce("l0", F.lit(0.0)))
     grams = sum((F.col(f"g{k}").isNotNull().cast("int") for k in range(1, len(GRAMS))), F.col("g0").isNotNull().cast("int"))
-    out = g.groupBy(*meta).agg((F.sum(llr) / F.nullif(F.sum(grams), F.lit(0))).alias("score"))
-    out = out.withColumn("kept", ~F.col("base_failed") & (F.coalesce("score", F.lit(0.0)) >= threshold))
+    # The verdict is an aggregate, so that a filter on it is not pushed below, where it would
+    # compute the base features once more.
+    out = g.groupBy(*meta).agg((F.sum(llr) / F.nullif(F.sum(grams), F.lit(0))).alias("score"),
+                               F.bool_or("base_failed").alias("_failed"))
+    out = out.withColumn("kept", ~F.col("_failed") & (F.coalesce("score", F.lit(0.0)) >= threshold))
     return out.select(*meta, "score", "kept")
 
 
