@@ -34,8 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postwise.llm.common import materialise, with_row_id
-from postwise.llm.links import components, leader_pairs, other_pairs, shared_keys
+from postwise.llm.common import discard, materialise, with_row_id
+from postwise.llm.links import components, distinct_pairs, leader_pairs, other_pairs, shared_keys
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -184,9 +184,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Da
         .select("id", F.explode("keys").alias("key")).join(first.select("id"), "id", "left_semi")
     shared = materialise(shared_keys(keys), "bands")
     texts = materialise(only.join(shared.select("id").distinct(), "id"), "texts")
-    centre = materialise(_verify(leader_pairs(shared), texts, similarity), "near")
+    centre = materialise(_verify(distinct_pairs(leader_pairs(shared)), texts, similarity), "near")
     done = components(centre)
-    rest = other_pairs(shared).join(centre, ["a", "b"], "left_anti") \
+    rest = distinct_pairs(other_pairs(shared)).join(centre, ["a", "b"], "left_anti") \
         .join(done.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left") \
         .join(done.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left") \
         .filter("ra IS NULL OR rb IS NULL OR ra <> rb").select("a", "b")
@@ -196,9 +196,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Da
     root = components(done.filter("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
                       .unionByName(more.select("a", "b")))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("_links"))
-    known = first.join(root, "id", "left").join(degree, "id", "left").select(
+    known = materialise(first.join(root, "id", "left").join(degree, "id", "left").select(
         "_sha", F.col("id").alias("_class"), F.coalesce("root", "id").alias("_group"),
-        F.coalesce("_links", F.lit(0)).cast("bigint").alias("_links"))
+        F.coalesce("_links", F.lit(0)).cast("bigint").alias("_links")), "groups")
+    discard(first, shared, texts)
     return rows.join(known, "_sha").drop("_sha"), links
 
 
@@ -223,6 +224,6 @@ def duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The input columns, with one row of each near-duplicate group (its least doc_id)."""
     rows, _ = near_duplicates(docs, similarity)
-    rows = materialise(rows, "grouped")
-    first = rows.groupBy("_group").agg(_first("_row.doc_id").alias("g")).select(F.col("g.r").alias("_rid"))
-    return rows.join(first, "_rid", "left_semi").select("_row.*")
+    narrow = rows.select("_rid", "_group", F.col("_row.doc_id").alias("doc_id"))
+    first = narrow.groupBy("_group").agg(_first("doc_id").alias("g")).select(F.col("g.r").alias("_rid"))
+    return rows.select("_rid", "_row").join(first, "_rid", "left_semi").select("_row.*")

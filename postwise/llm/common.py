@@ -41,8 +41,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     and fixes the rows, so that later stages see one and the same numbering.
     """
     path = scratch_path(df.sparkSession, "postwise-llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialise` that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:

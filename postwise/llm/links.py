@@ -5,44 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postwise.llm.common import materialise
+from postwise.llm.common import discard, materialise
 
 #: Groups up to this size are compared in full (at most SMALL_GROUP / 2 pairs a member).
 SMALL_GROUP = 8
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """The rows (key, id, ...) whose key several ids share, with n (group size) and lead (least id).
+    """The rows (key, id), two numbers each, whose key several ids share, with n (group size).
 
     Counted with partial aggregation; the join back has one row per key on one
     side, so a hot key can be split.
     """
-    groups = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("lead")).filter("n > 1")
+    groups = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     return rows.join(groups, "key")
 
 
-def leader_pairs(shared: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of each member with its group's central member.
+def leader_pairs(shared: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Each member (id, carry) with its group's central member (_id, _carry).
 
-    The central member is the one with the most fellows over all of its groups:
-    in a group of copies of one original, the original.
+    The central member is the one with the most fellows over all of its groups (at
+    equal numbers by a hash): in a group of copies of one original, the original.
     """
-    fellows = shared.groupBy("id").agg(F.sum("n").alias("fellows"))
-    rows = shared.select("key", "id").join(fellows, "id")
-    centre = rows.groupBy("key").agg(F.max(F.struct("fellows", "id")).alias("c")).select("key", F.col("c.id").alias("c"))
-    return _pairs(shared.select("key", "id").join(centre, "key").select(F.col("id").alias("x"), F.col("c").alias("y")))
+    fellows = shared.groupBy("id").agg(F.sum("n").alias("f"))
+    rank = F.col("f") * (1 << 20) + F.pmod(F.xxhash64("id"), F.lit(1 << 20))
+    centre = shared.join(fellows, "id").withColumn("f", rank).groupBy("key").agg(
+        *[F.max_by(c, "f").alias(f"_{c}") for c in ("id", *carry)])
+    return shared.join(centre, "key").filter("id <> _id").select(
+        *[x for c in ("id", *carry) for x in (c, f"_{c}")])
 
 
-def other_pairs(shared: DataFrame, small: int = SMALL_GROUP) -> DataFrame:
-    """All pairs within groups up to ``small``; in larger groups the pairs with the least id."""
-    few = shared.filter(F.col("n") <= small)
-    all_of = few.select("key", F.col("id").alias("x")).join(few.select("key", F.col("id").alias("y")), "key")
-    star = shared.filter(F.col("n") > small).select(F.col("id").alias("x"), F.col("lead").alias("y"))
-    return _pairs(all_of.select("x", "y").unionByName(star))
+def other_pairs(shared: DataFrame, carry: tuple[str, ...] = (), small: int = SMALL_GROUP) -> DataFrame:
+    """All pairs within groups up to ``small``; in larger groups each member with the least id."""
+    cols = ("id", *carry)
+    few = shared.filter(F.col("n") <= small).select("key", *cols)
+    all_of = few.join(few.select("key", *[F.col(c).alias(f"_{c}") for c in cols]), "key").filter("id < _id")
+    many = shared.filter(F.col("n") > small)
+    least = many.groupBy("key").agg(*[F.min_by(c, "id").alias(f"_{c}") for c in cols])
+    star = many.join(least, "key").filter("id <> _id")
+    out = [x for c in cols for x in (c, f"_{c}")]
+    return all_of.select(*out).unionByName(star.select(*out))
 
 
-def _pairs(xy: DataFrame) -> DataFrame:
-    return xy.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def distinct_pairs(members: DataFrame) -> DataFrame:
+    """(a, b), a < b, each once."""
+    return members.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -65,7 +72,8 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(root, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("b"), F.col("m").alias("a")), F.struct(F.col("v").alias("b"), F.col("m").alias("a"))
         )).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
-        edges = materialise(small, "links")
+        old, edges = edges, materialise(small, "links")
+        discard(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postwise.llm.common import BLANKS, materialise, with_row_id, words
+from postwise.llm.common import BLANKS, with_row_id, words
 
 BUCKETS = 1 << 18
 PRIOR = 20.0
@@ -140,10 +140,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
 def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The input columns of the documents that are kept.
 
-    The verdicts, one number per kept row, are joined to rows numbered in a written copy: the
-    same numbers on both sides, whatever happens to an executor between the two reads.
+    A verdict depends on the text alone, so it is joined by the text's digest, which is the same
+    whenever it is computed.
     """
-    rows = materialise(with_row_id(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))), "rows")
-    flat = rows.select("_rid", F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"))
-    good = quality_rules(flat, labels, threshold).filter("kept").select("_rid")
-    return rows.join(good, "_rid", "left_semi").select("_row.*")
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    flat = docs.select(digest.alias("_rid"), "doc_id", "text")
+    good = quality_rules(flat, labels, threshold).filter("kept").select(F.col("_rid").alias("_digest")).distinct()
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), digest.alias("_digest"))
+    return rows.join(good, "_digest", "left_semi").select("_row.*")
