@@ -53,8 +53,8 @@ def repeat_words(w: str, h: str) -> str:
     equal to a neighbour are the repeated ones; with their places sorted, each
     covers the words up to the next one's start, three at most.
     """
-    by_hash = "array_sort(transform(g, (x, i) -> struct(x AS x, i AS i)))"
-    places = (f"transform(array({by_hash}), s -> array_sort(transform(filter(s, (p, j) -> "
+    by_hash = "sort_array(transform(g, (x, i) -> struct(x AS x, i AS i)))"
+    places = (f"transform(array({by_hash}), s -> sort_array(transform(filter(s, (p, j) -> "
               f"get(s, j - 1).x <=> p.x OR get(s, j + 1).x <=> p.x), p -> p.i)))[0]")
     covered = (f"transform(array({places}), q -> aggregate(transform(q, (p, j) -> "
                f"least(3, coalesce(get(q, j + 1) - p, 3))), 0L, (a, x) -> a + x))[0]")
@@ -88,9 +88,12 @@ def _bucket(*parts: str) -> str:
     return f"int(pmod(xxhash64({', '.join(parts)}), {BUCKETS}))"
 
 
-#: SQL of the buckets of the n-grams that begin at word i (words w, shapes s).
-GRAMS = (_bucket("'w'", "w[i]"), _bucket("'s'", "s[i]"),
-         f"CASE WHEN i + 1 < size(s) THEN {_bucket(chr(39) + 'b' + chr(39), 's[i]', 's[i + 1]')} END")
+#: SQL of the places of the words, from 0; none where there are no words.
+PLACES = "slice(sequence(0, size(w)), 1, size(w))"
+#: SQL of the buckets of the n-grams that begin at word i (words w, shapes s); null where there is none.
+GRAMS = (f"CASE WHEN i >= 0 AND i < size(w) THEN {_bucket('1', 'get(w, i)')} END",
+         f"CASE WHEN i >= 0 AND i < size(s) THEN {_bucket('2', 'get(s, i)')} END",
+         f"CASE WHEN i >= 0 AND i + 1 < size(s) THEN {_bucket('3', 'get(s, i)', 'get(s, i + 1)')} END")
 
 
 def target_ids(labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
@@ -105,7 +108,7 @@ def llr_model(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS
     ids = F.broadcast(target_ids(labels, target_rows).withColumn("_good", F.lit(1)))
     d = docs.select("doc_id", "text").join(ids, "doc_id", "left").select(
         words(F.col("text")).alias("w"), shapes(F.col("text")).alias("s"), F.coalesce("_good", F.lit(0)).alias("g"))
-    d = d.filter("size(w) > 0").select("w", "s", "g", F.explode(F.expr("sequence(0, size(w) - 1)")).alias("i"))
+    d = d.select("w", "s", "g", F.explode(F.expr(PLACES)).alias("i"))
     c = d.select("g", F.explode(F.array(*map(F.expr, GRAMS))).alias("bucket")).filter("bucket IS NOT NULL") \
         .groupBy("bucket").agg(F.count("*").alias("r"), F.sum("g").alias("t"))
     totals = c.agg(F.sum("r").alias("r"), F.sum("t").alias("t")).first()
@@ -123,7 +126,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     d = base_features(d.select("_rid", "doc_id", "text"))
     meta = ["_rid", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     d = d.withColumn("s", shapes(F.col("text"))).select(
-        *meta, "w", "s", F.explode_outer(F.expr("CASE WHEN size(w) > 0 THEN sequence(0, size(w) - 1) END")).alias("i"))
+        *meta, "w", "s", F.explode_outer(F.expr(PLACES)).alias("i"))
     g = d.select(*meta, *[F.expr(x).alias(f"g{k}") for k, x in enumerate(GRAMS)])
     for k in range(len(GRAMS)):
         g = g.join(model.select(F.col("bucket").alias(f"g{k}"), F.col("llr").alias(f"l{k}")), f"g{k}", "left")
