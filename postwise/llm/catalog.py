@@ -40,6 +40,21 @@ def op3(spark, sf):
     return digests(format_conversations(turns.unionByName(extra)))
 
 
+ORACLE["op3_chat_formatting"] = f"""WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{INJECTED}'), (-1, 1, 'assistant', '{INJECTED}')),
+o AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS prev,
+  length(replace(replace(text, '&', '&amp;'), '<|', '&lt;|')) AS text_chars,
+  length(replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&#10;')) AS role_chars FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(text_chars + CASE WHEN prev = role THEN length('<|im_cont|>')
+    ELSE length('<|im_start|>') + role_chars + 1 + length('<|im_end|>') + 1 END) AS BIGINT) AS formatted_chars
+FROM o GROUP BY conv_id"""
+
+
 @query("op7_quality_rules")
 def op7(spark, sf):
     from postwise.llm.quality import quality_rules
