@@ -37,7 +37,11 @@ def parse_date(c, formats: list[str] | None = None) -> Column:
 def parse_date_or(c, run_date: str | _dt.date, formats: list[str] | None = None) -> Column:
     """struct(posting_date, date_defaulted): unparseable or missing dates
     become ``run_date`` (a parameter, not the wall clock) and are flagged."""
-    parsed = parse_date(strip_ws(_col(c)), formats or R.BASIC_DATE_FORMATS)
+    text = strip_ws(_col(c))
+    # An ISO date with a time of day is read by its date.
+    timed = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?Z?$"),
+                   parse_date(F.substring(text, 1, 10), ["yyyy-MM-dd"]))
+    parsed = F.coalesce(parse_date(text, formats or R.BASIC_DATE_FORMATS), timed)
     run = F.lit(str(run_date)).cast("date")
     return F.struct(F.coalesce(parsed, run).alias("posting_date"), parsed.isNull().alias("date_defaulted"))
 

@@ -10,13 +10,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postwise import rules as R
-from postwise.functions.text import _col, ascii_digits, normalize_text
+from postwise.functions.text import _OTHER_WS, _col, ascii_digits, normalize_text
 
 SALARY_TYPE = "decimal(10,2)"
 USD_TYPE = "decimal(12,2)"
 _WORK_TYPE = "decimal(20,4)"
 
 
+def _plain(c) -> Column:
+    """ASCII digits, and a blank for each character that Python's ``\\s`` also matches."""
+    return F.translate(ascii_digits(c), _OTHER_WS, " " * len(_OTHER_WS))
+
+
 def _amount(s: Column, dtype: str) -> Column:
     return F.regexp_replace(s, ",", "").try_cast(dtype)
 
@@ -29,7 +34,7 @@ def salary_range(c, mode: str = "fixed", translated: bool = False) -> Column:
     ``mode="reference"`` uses the original patterns (so "USD 800 - 1500"
     gives max 150); ``"fixed"`` reads unseparated numbers and either dash.
     """
-    t = _col(c) if translated else ascii_digits(_col(c))
+    t = _col(c) if translated else _plain(_col(c))
     patterns = R.SALARY_PATTERNS_REFERENCE if mode == "reference" else R.SALARY_PATTERNS_FIXED
     hit = None
     for p in reversed(patterns):
@@ -143,7 +148,7 @@ def parse_salary(c, default_currency: str = R.DEFAULT_CURRENCY, keywords: dict |
     :func:`with_parsed_salary`, which evaluates it in small stages.
     """
     keywords = R.SALARY_KEYWORDS if keywords is None else keywords
-    t = ascii_digits(normalize_text(c, use_nfkc))
+    t = _plain(normalize_text(c, use_nfkc))
     out = _assemble(_classify(_parts(t, mode), default_currency, keywords, mode), default_currency,
                     rates or R.CURRENCY_RATES)
     return F.struct(*[out[k].alias(k) for k in SALARY_FIELDS])
@@ -161,7 +166,7 @@ def with_parsed_salary(df, c, default_currency: str = R.DEFAULT_CURRENCY, keywor
     keywords = R.SALARY_KEYWORDS if keywords is None else keywords
     cols = df.columns
     src = _col(c) if normalized else normalize_text(c, use_nfkc)
-    s1 = df.select("*", ascii_digits(src).alias("_sal_t"))
+    s1 = df.select("*", _plain(src).alias("_sal_t"))
     p = _parts(F.col("_sal_t"), mode)
     s2 = s1.select(*cols, "_sal_t", *[v.alias(f"_sal_{k}") for k, v in p.items() if k != "t"])
     c3 = _classify({"t": F.col("_sal_t"), **{k: F.col(f"_sal_{k}") for k in p if k != "t"}},
@@ -175,7 +180,7 @@ def with_salary_range(df, c, mode: str = "fixed"):
     """P4 on a DataFrame: adds ``salary_min``/``salary_max`` (digits
     translated once in a first projection)."""
     cols = df.columns
-    s1 = df.select("*", ascii_digits(_col(c)).alias("_rng_t"))
+    s1 = df.select("*", _plain(_col(c)).alias("_rng_t"))
     r = salary_range(F.col("_rng_t"), mode, translated=True)
     return s1.select(*cols, r["salary_min"].alias("salary_min"), r["salary_max"].alias("salary_max"))
 

@@ -145,13 +145,19 @@ def merge_star_a(staging: DataFrame, current: dict[str, DataFrame | None], run_t
 def enrich_dimension(dim: DataFrame, lookup: DataFrame, key: str, collated: bool = True) -> DataFrame:
     """K7: fill descriptive attributes from a lookup table on the member key.
 
-    Attributes missing from the lookup stay NULL. The lookup joins on the
+    A stored attribute stays; only NULLs are filled, and what the lookup does
+    not have stays NULL. Spellings of one key in the lookup are reduced to
+    the least one first, so no member is repeated. The lookup joins on the
     conformed key; its size is not assumed, so the planner (AQE) picks a
     broadcast only when the runtime size allows it.
     """
-    lk = lookup.withColumnRenamed(key, "_lk")
-    cond = (F.collate(dim[key], R.MATCH_COLLATION) == F.collate(lk["_lk"], R.MATCH_COLLATION)) if collated \
-        else (dim[key] == lk["_lk"])
-    fill = [c for c in lk.columns if c != "_lk"]
-    base = dim.drop(*[c for c in fill if c in dim.columns])
-    return base.join(lk, cond, "left").drop("_lk")
+    fill = [c for c in lookup.columns if c != key]
+
+    def match(c):
+        return F.collate(c, R.MATCH_COLLATION) if collated else c
+
+    lk = lookup.groupBy(match(F.col(key)).alias("_lk")).agg(
+        F.min_by(F.struct(*fill), F.collate(F.col(key), "UTF8_BINARY")).alias("_fill"))
+    joined = dim.join(lk, match(dim[key]) == lk["_lk"], "left")
+    return joined.select(*[F.coalesce(dim[c], F.col("_fill")[c]).alias(c) if c in fill else dim[c] for c in dim.columns],
+                         *[F.col("_fill")[c].alias(c) for c in fill if c not in dim.columns])

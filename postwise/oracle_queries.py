@@ -222,7 +222,11 @@ ORACLE["fact_upsert"] = A + f"""SELECT time_id, company_id, job_id, industry_id,
   (array_agg(salary_max ORDER BY batch DESC, posting_id DESC))[1] AS salary_max,
   CAST(((array_agg(salary_min ORDER BY batch DESC, posting_id DESC))[1]
         + (array_agg(salary_max ORDER BY batch DESC, posting_id DESC))[1]) / 2 AS DECIMAL(10,2)) AS salary_avg
-FROM (SELECT *, CASE WHEN posting_date < {_SPLIT} THEN 1 ELSE 2 END AS batch FROM fact)
+FROM (SELECT *, 1 AS batch FROM fact WHERE posting_id % 4 <> 0
+      UNION ALL
+      SELECT * REPLACE (CAST(salary_min + 100 AS DECIMAL(10,2)) AS salary_min,
+                        CAST(salary_max + 100 AS DECIMAL(10,2)) AS salary_max), 2 AS batch
+      FROM fact WHERE posting_id % 2 = 0)
 GROUP BY time_id, company_id, job_id, industry_id, location_id, source_id"""
 
 # ---- star aggregates on the order tables -----------------------------------------------

@@ -308,7 +308,12 @@ def q_fact_upsert(spark, sf):
     from postwise.operators.fact import build_fact, upsert_fact
     w = warehouse(spark, sf)
     dims = {k: w[k] for k in w if k.startswith("dim_")}
-    b1, b2 = _two_batches(spark, sf)
+    # The first load has three quarters of the postings; the second the other quarter and
+    # again a quarter, at raised salaries, so half of its keys are updates.
+    st = w["staging"]
+    b1 = st.where("posting_id % 4 <> 0")
+    b2 = st.where("posting_id % 2 = 0").withColumns(
+        {c: (F.col(c) + 100).cast(st.schema[c].dataType) for c in ("salary_min", "salary_max")})
     f1 = build_fact(b1, dims).withColumn("_batch", F.lit(1))
     f2 = build_fact(b2, dims).withColumn("_batch", F.lit(2))
     up = upsert_fact(f1, f2)

@@ -123,23 +123,35 @@ def log_run(wh: Warehouse, process: str, count: int, status: str, start: _dt.dat
     wh.append("etl_logs", row)
 
 
+def _first_of_key(new: DataFrame) -> DataFrame:
+    """One row per six-key: the one with the least posting id."""
+    return new.groupBy(*FACT_KEYS).agg(F.min_by(F.struct(*new.columns), "posting_id").alias("_r")).select("_r.*")
+
+
+def next_load_seq(wh: Warehouse) -> int:
+    """A number above those of all loads before, repeated and broken-off ones included."""
+    marks, fact = wh.read("processed_batches"), wh.read("fact")
+    done = 0 if marks is None else marks.count()
+    stored = None if fact is None else fact.agg(F.max("load_seq")).first()[0]
+    return max(done, stored or 0) + 1
+
+
 def load_fact(wh: Warehouse, new: DataFrame, mode: str = "upsert") -> int:
     """Append the new fact rows, or upsert them on the six-key
-    rewriting only the touched (year, month) partitions. Returns the number
-    of refused rows in append mode (six-key already present), else 0."""
+    rewriting only the touched (year, month) partitions. Returns the number of
+    rows in append mode whose six-key is stored already or repeated, else 0."""
     part = ["posting_year", "posting_month"]
     old = wh.read("fact")
     if old is None:
         wh.replace("fact", upsert_fact(None, new.withColumnRenamed("load_seq", "_batch"),
                                        order_cols=("_batch", "posting_id")).withColumnRenamed("_batch", "load_seq")
-                   if mode == "upsert" else new, part)
-        return 0
+                   if mode == "upsert" else _first_of_key(new), part)
+        return append_conflicts(new.limit(0), new).count() if mode == "append" else 0
     if mode == "append":
         conflicts = append_conflicts(old, new).count()
         # A unique key keeps one row per six-key: the first (smallest id) of
         # the batch, and none whose key is already stored.
-        first = new.groupBy(*FACT_KEYS).agg(F.min_by(F.struct(*new.columns), "posting_id").alias("_r")).select("_r.*")
-        wh.append("fact", first.join(old.select(*FACT_KEYS).distinct(), FACT_KEYS, "left_anti"), part)
+        wh.append("fact", _first_of_key(new).join(old.select(*FACT_KEYS).distinct(), FACT_KEYS, "left_anti"), part)
         return conflicts
     touched = [(r[0], r[1]) for r in new.select(*part).distinct().collect()]  # bounded by months
     cond = F.lit(False)
@@ -164,7 +176,7 @@ def run_pipeline(spark: SparkSession, postings: DataFrame, root: str, batch_id:
     wh = Warehouse(spark, root)
     try:
         purge_unprocessed(wh)
-        seq = len(processed_batches(wh)) + 1
+        seq = next_load_seq(wh)
         staging = stage(wh, postings, batch_id, run_ts, rules)
         current = {name: wh.read(name) for name in STAR_A}
 

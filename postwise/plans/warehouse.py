@@ -49,7 +49,7 @@ def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 def build_warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_RUN_DATE,
                     rules: R.Rules = R.DEFAULT_RULES) -> str:
     """Stage + dimensions + fact (star A) for the fixture; returns the root."""
-    root = _root(spark, sf_dir, run_date, rules.mode)
+    root = _root(spark, sf_dir, run_date, repr(rules))
     staging = clean_basic(raw_postings(spark, sf_dir), rules, run_date)
     _write(staging, f"{root}/staging")
     staging = spark.read.parquet(f"{root}/staging")

@@ -42,8 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that is
-    used as is. Only when nothing is configured (local tests) is a fresh
-    temporary folder created.
+    used as is. Only a session within one process (local tests) gets a fresh
+    temporary folder when nothing is configured; on a cluster every node
+    would write to a folder of its own, so that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError(f"master {sc.master}: set spark.checkpoint.dir to a folder that all nodes share")
         conf = tempfile.mkdtemp(prefix="postwise-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
