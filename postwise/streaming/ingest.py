@@ -75,12 +75,12 @@ def start_distinct(stream: DataFrame, key_cols: list[str], sink: str, checkpoint
     Each micro-batch writes the keys that no earlier one has stored into a folder of
     its own (``epoch=N``), which a replay overwrites with the same keys.
     """
-    schema = stream.select(*key_cols).schema
+    stored_schema = stream.select(*key_cols).schema.add("epoch", "long")
 
     def write(batch: DataFrame, epoch: int) -> None:
         new = batch.select(*key_cols).distinct()
         if epoch:
-            stored = batch.sparkSession.read.schema(schema.add("epoch", "long")).parquet(sink)
+            stored = batch.sparkSession.read.schema(stored_schema).parquet(sink)
             same = [new[c].eqNullSafe(stored[c]) for c in key_cols]
             new = new.join(stored.where(F.col("epoch") < epoch), same, "left_anti")
         new.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
@@ -100,4 +100,4 @@ def stream_distinct_events(spark: SparkSession, sf_dir: str, key_cols=("user_id"
     run = uuid.uuid4().hex[:12]
     sink, ckpt = scratch_path(spark, "stream", run, "out"), scratch_path(spark, "stream", run, "ckpt")
     start_distinct(out, list(key_cols), sink, ckpt).awaitTermination()
-    return spark.read.schema(out.schema).parquet(sink)
+    return spark.read.schema(out.schema).parquet(sink).select(*key_cols)
