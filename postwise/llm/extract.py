@@ -266,10 +266,17 @@ def _extracted(weights: dict[str, np.ndarray], batches: Iterator[pd.DataFrame])
 
 
 def training_pages(pages: DataFrame, limit: int = TRAIN_PAGES) -> list[str]:
-    """At most ``limit`` pages of at most TRAIN_CHARS characters, least hash first."""
-    some = pages.filter(F.char_length("html").between(1, TRAIN_CHARS)).orderBy(F.xxhash64("page_id", "url"), "html") \
-        .select("html").limit(limit)
-    return [r[0] for r in some.collect()]
+    """At most ``limit`` pages of at most TRAIN_CHARS characters, least hash of id and url first.
+
+    The hashes are picked first, so that no task sends more than ``limit`` numbers; of pages
+    with the same id and url, one is taken.
+    """
+    some = pages.filter(F.char_length("html").between(1, TRAIN_CHARS)) \
+        .select(F.xxhash64("page_id", "url").alias("h"), "html")
+    picked = [r[0] for r in some.select("h").distinct().orderBy("h").limit(limit).collect()]
+    if not picked:
+        return []
+    return [r[1] for r in some.filter(F.col("h") <= picked[-1]).groupBy("h").agg(F.min("html")).orderBy("h").collect()]
 
 
 def extract(pages: DataFrame, weights: dict[str, np.ndarray] | None = None) -> DataFrame:
