@@ -12,12 +12,12 @@ about two points per shingle.
 
 Exact copies are one class (by the SHA-256 of the text) before any pair is made.
 Classes that share a band are compared: first each with the central class of its
-group, then, for those not yet connected, all pairs of small groups and the least
-class of large ones; every pair is verified on the whole texts by exact multiset
-overlap, and the verified links make connected groups. So a group of n copies of
-one original costs about n comparisons. What is not compared: two classes of a
-group of more than SMALL_GROUP that are similar to each other, but neither
-connected to that group's central or least class in any of the bands.
+group, then, whatever the size of the group, those that this left unconnected with
+all others (links.py: up to FEW of them; of more, PIVOTS); every pair is verified on
+the whole texts by exact multiset overlap, and the verified links make connected
+groups. So a group of n copies of one original costs about n comparisons. What is not
+compared: two classes of one band that are similar to each other, but neither is
+connected to the band's central class or chosen from more than FEW, in any of the bands.
 
 Defined results: a null text counts as empty; texts without words form one group;
 shorter texts have one shingle of all their words; repeated rows are copies; rows
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postwise.llm.common import discard, materialise, with_row_id
-from postwise.llm.links import components, distinct_pairs, leader_pairs, other_pairs, shared_keys
+from postwise.llm.links import linked, shared_keys
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -139,8 +139,9 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for at in range(0, len(b), 200):
             part = b.iloc[at:at + 200]
-            keys = band_keys(signatures([bag(t) for t in part["text"]]))
-            yield pd.DataFrame({"id": part["id"].to_numpy(), "keys": list(keys)})
+            bags = [bag(t) for t in part["text"]]
+            yield pd.DataFrame({"id": part["id"].to_numpy(), "w": [int(c.sum()) for _, c in bags],
+                                "keys": list(band_keys(signatures(bags)))})
 
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,26 +181,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Da
     # One row per different text, by a hash aggregate of the digests alone.
     first = materialise(rows.groupBy("_sha").agg(F.min("_rid").alias("id")), "classes")
     only = rows.select(F.col("_rid").alias("id"), F.col("_row.text").alias("text"))
-    keys = only.mapInPandas(_signed, "id long, keys array<long>") \
-        .select("id", F.explode("keys").alias("key")).join(first.select("id"), "id", "left_semi")
-    shared = materialise(shared_keys(keys), "bands")
+    keys = materialise(only.join(first.select("id"), "id", "left_semi").mapInPandas(
+        _signed, "id long, w long, keys array<long>"), "signatures")
+    shared = materialise(shared_keys(keys.select("id", "w", F.explode("keys").alias("key"))), "bands")
     texts = materialise(only.join(shared.select("id").distinct(), "id"), "texts")
-    centre = materialise(_verify(distinct_pairs(leader_pairs(shared)), texts, similarity), "near")
-    done = components(centre)
-    rest = distinct_pairs(other_pairs(shared)).join(centre, ["a", "b"], "left_anti") \
-        .join(done.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left") \
-        .join(done.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left") \
-        .filter("ra IS NULL OR rb IS NULL OR ra <> rb").select("a", "b")
-    more = materialise(_verify(rest, texts, similarity), "near")
-    links = centre.unionByName(more)
-    # The groups so far, as links to their roots, and the new links.
-    root = components(done.filter("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
-                      .unionByName(more.select("a", "b")))
+    close = F.least("w", "_w") >= F.greatest("w", "_w") * similarity
+    links, root = linked(shared, close, lambda x: _verify(x, texts, similarity), ("w",))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("_links"))
     known = materialise(first.join(root, "id", "left").join(degree, "id", "left").select(
         "_sha", F.col("id").alias("_class"), F.coalesce("root", "id").alias("_group"),
         F.coalesce("_links", F.lit(0)).cast("bigint").alias("_links")), "groups")
-    discard(first, shared, texts)
+    discard(first, keys, shared, texts)
     return rows.join(known, "_sha").drop("_sha"), links
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postwise.llm.common import discard, materialise
-
-#: Groups up to this size are compared in full (at most SMALL_GROUP / 2 pairs a member).
-SMALL_GROUP = 8
+#: Members of a group that its central member is not linked to: up to FEW are compared with
+#: all others of the group; of more, PIVOTS are.
+FEW, PIVOTS = 8, 2
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
@@ -35,16 +37,28 @@ def leader_pairs(shared: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         *[x for c in ("id", *carry) for x in (c, f"_{c}")])
 
 
-def other_pairs(shared: DataFrame, carry: tuple[str, ...] = (), small: int = SMALL_GROUP) -> DataFrame:
-    """All pairs within groups up to ``small``; in larger groups each member with the least id."""
+def unlinked_pairs(shared: DataFrame, roots: DataFrame, close: Column, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(a, b): close pairs of a group that are not connected yet by ``roots`` (id, root).
+
+    A group's members outside its largest component meet all members of other components if
+    they are at most FEW; of more, PIVOTS of them do (the least of each hash class, so that
+    the bands of one group choose alike). So a group of n copies of one original costs a
+    multiple of n, and only pairs that may add a link are put out.
+    """
     cols = ("id", *carry)
-    few = shared.filter(F.col("n") <= small).select("key", *cols)
-    all_of = few.join(few.select("key", *[F.col(c).alias(f"_{c}") for c in cols]), "key").filter("id < _id")
-    many = shared.filter(F.col("n") > small)
-    least = many.groupBy("key").agg(*[F.min_by(c, "id").alias(f"_{c}") for c in cols])
-    star = many.join(least, "key").filter("id <> _id")
-    out = [x for c in cols for x in (c, f"_{c}")]
-    return all_of.select(*out).unionByName(star.select(*out))
+    m = shared.select("key", *cols).join(roots.select("id", "root"), "id", "left").withColumn("r", F.coalesce("root", "id"))
+    sizes = m.groupBy("key", "r").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("key").agg(F.max_by("r", F.struct("c", "r")).alias("main"),
+                                    (F.sum("c") - F.max("c")).alias("rest")).filter("rest > 0")
+    m = materialise(m.select("key", "r", *cols).join(main, "key"), "parts")
+    rest = m.filter("r <> main")
+    few = rest.filter(F.col("rest") <= FEW).select("key", "main", "r", *cols)
+    many = rest.filter(F.col("rest") > FEW).groupBy("key", "main", F.pmod(F.xxhash64("id"), F.lit(PIVOTS)).alias("h")).agg(
+        *[F.min_by(c, "id").alias(c) for c in ("r", *cols)]).drop("h")
+    fellow = m.select("key", "rest", F.col("r").alias("_r"), *[F.col(c).alias(f"_{c}") for c in cols])
+    pairs = few.unionByName(many).join(fellow, "key").filter(
+        f"r <> _r AND (id < _id OR _r = main OR rest > {FEW})").filter(close)
+    return distinct_pairs(pairs)
 
 
 def distinct_pairs(members: DataFrame) -> DataFrame:
@@ -82,3 +96,22 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return edges.select(F.col("b").alias("id"), F.col("a").alias("root")).unionByName(
         edges.select(F.col("a").alias("id"), F.col("a").alias("root"))).distinct()
+
+
+def linked(shared: DataFrame, close: Column, verify: Callable[[DataFrame], DataFrame],
+           carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(links, roots): verified links and connected components (id, root) of the members of key groups.
+
+    First every member is compared with its groups' central members; then pairs of a group
+    that this did not connect (:func:`unlinked_pairs`). ``close`` is a cheap test of a pair's carried columns
+    (x and _x), ``verify`` returns the pairs (a, b) that are similar.
+    """
+    centre = materialise(verify(distinct_pairs(leader_pairs(shared, carry).filter(close))), "near")
+    roots = components(centre)
+    more = materialise(verify(unlinked_pairs(shared, roots, close, carry)), "near")
+    links = centre.unionByName(more)
+    if more.isEmpty():
+        return links, roots
+    # The groups so far, as links to their roots, and the new links.
+    stars = roots.filter("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
+    return links, components(stars.unionByName(more.select("a", "b")))

@@ -10,8 +10,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from postwise.llm import bagminhash, chat, extract, fingerprints, lines, mixing, packing, quality, token_counts, tokens, warc
+from postwise.llm import bagminhash, chat, extract, fingerprints, lines, links, mixing, packing, quality, token_counts, tokens, warc
 from postwise.llm.html import blocks
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -382,3 +383,14 @@ def test_warc_derivatives(spark):
     bad = spark.createDataFrame([(1, bytearray(b"junk")), (2, None)], "id long, record binary")
     assert [r.type for r in warc.build_derivatives(bad).collect()] == ["error", "error"]
     assert warc.build_derivatives(records.filter("id = 77")).count() == 0
+
+
+def test_unconnected_members_of_large_groups_are_compared(spark):
+    """A pair that is far from its large group's centre is still put out; the connected rest is not."""
+    shared = spark.createDataFrame([(1, i) for i in range(1, 31)], "key long, id long")
+    roots = spark.createDataFrame([(i, 1) for i in range(1, 29)], "id long, root long")
+    pairs = {tuple(r) for r in links.unlinked_pairs(shared, roots, F.lit(True)).collect()}
+    assert pairs == {(i, j) for j in (29, 30) for i in range(1, j)}
+    none = spark.createDataFrame([], "id long, root long")
+    many = links.unlinked_pairs(shared, none, F.lit(True)).collect()
+    assert 29 <= len(many) <= links.PIVOTS * 29
