@@ -135,10 +135,23 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return key.view(np.int64)
 
 
+#: Characters and texts that are signed at a time.
+TOGETHER, TEXTS = 2_000_000, 2_000
+
+
+def _parts(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Slices of a batch of about TOGETHER characters, TEXTS texts at most."""
+    first = size = 0
+    for i, t in enumerate(b["text"]):
+        size += len(t or "")
+        if size >= TOGETHER or i + 1 - first == TEXTS or i + 1 == len(b):
+            yield b.iloc[first:i + 1]
+            first, size = i + 1, 0
+
+
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        for at in range(0, len(b), 200):
-            part = b.iloc[at:at + 200]
+        for part in _parts(b):
             bags = [bag(t) for t in part["text"]]
             yield pd.DataFrame({"id": part["id"].to_numpy(), "w": [int(c.sum()) for _, c in bags],
                                 "keys": list(band_keys(signatures(bags)))})
