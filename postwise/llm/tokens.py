@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import array
 import base64
+import itertools
 import re
 import sys
 import types
@@ -10,9 +12,9 @@ import types
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 #: Entries of a worker's cache; it is emptied when full.
-CACHE = 400_000
-#: A blank between two non-blank characters always begins a pre-token, so texts can be cut there.
-CUT = re.compile(r"(?<=\S)(?= \S)")
+CACHE = 1_000_000
+#: White space after another character always begins a pre-token, so texts can be cut there.
+PIECES = re.compile(r"\s*\S+|\s+")
 
 
 def tokenizer_path(name: str) -> str:
@@ -44,17 +46,17 @@ def encode(texts: list[str | None], path: str) -> tuple[list[bytes], str]:
     The same as ``Tokenizer.encode(text, add_special_tokens=False).ids``: texts are
     cut where a pre-token always begins, and the pieces encoded once each.
     """
-    import numpy as np
     tokenizer, cache, dtype = _load(path)
-    pieces = [CUT.split(t or "") for t in texts]
-    new = list({p for ps in pieces for p in ps if p not in cache})
+    code = "H" if dtype == "<u2" else "I"
+    pieces = [PIECES.findall(t or "") for t in texts]
+    new = list(set(itertools.chain.from_iterable(pieces)).difference(cache))
     if len(cache) + len(new) > CACHE:
         cache.clear()
-        new = list({p for ps in pieces for p in ps})
+        new = list(set(itertools.chain.from_iterable(pieces)))
     for at in range(0, len(new), 10_000):
         some = new[at:at + 10_000]
-        for p, e in zip(some, tokenizer.encode_batch(some, add_special_tokens=False)):
-            cache[p] = np.array(e.ids, dtype).tobytes()
+        for p, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+            cache[p] = array.array(code, e.ids).tobytes()
     return [b"".join(map(cache.__getitem__, ps)) for ps in pieces], dtype
 
 
