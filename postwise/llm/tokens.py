@@ -15,6 +15,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 CACHE = 1_000_000
 #: White space after another character always begins a pre-token, so texts can be cut there.
 PIECES = re.compile(r"\s*\S+|\s+")
+#: A piece of an end of line, Latin letters (after a blank, or none) and marks: each of the three is cut off.
+PLAIN = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,18 +48,36 @@ def encode(texts: list[str | None], path: str) -> tuple[list[bytes], str]:
     The same as ``Tokenizer.encode(text, add_special_tokens=False).ids``: texts are
     cut where a pre-token always begins, and the pieces encoded once each.
     """
+    from tokenizers.pre_tokenizers import ByteLevel
     tokenizer, cache, dtype = _load(path)
     code = "H" if dtype == "<u2" else "I"
     pieces = [PIECES.findall(t or "") for t in texts]
-    new = list(set(itertools.chain.from_iterable(pieces)).difference(cache))
-    if len(cache) + len(new) > CACHE:
+    # The pieces of these texts and their ids, so that the large cache is asked once for each.
+    known = dict.fromkeys(itertools.chain.from_iterable(pieces))
+    known = dict(zip(known, map(cache.get, known)))
+    new = [p for p, ids in known.items() if ids is None]
+    if len(cache) + 2 * len(new) > CACHE:
         cache.clear()
-        new = list(set(itertools.chain.from_iterable(pieces)))
-    for at in range(0, len(new), 10_000):
-        some = new[at:at + 10_000]
+    plain = {p: m.groups() for p in new if (m := PLAIN.fullmatch(p))}
+    rest = {p for p in new if p not in plain}
+    for head, _, marks in plain.values():
+        rest.add(head)
+        rest.add(marks)
+    rest.difference_update([p for p in rest if p in cache])
+    rest = list(rest)
+    for at in range(0, len(rest), 10_000):
+        some = rest[at:at + 10_000]
         for p, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
             cache[p] = array.array(code, e.ids).tobytes()
-    return [b"".join(map(cache.__getitem__, ps)) for ps in pieces], dtype
+    # A plain word is one pre-token: its bytes go to the tokenizer's model as they are.
+    level, model = ByteLevel(add_prefix_space=False, use_regex=False), tokenizer.model
+    for p, (head, word, marks) in plain.items():
+        if word not in cache:
+            raw = level.pre_tokenize_str(word)[0][0]
+            cache[word] = array.array(code, [t.id for t in model.tokenize(raw)]).tobytes()
+        cache[p] = cache[head] + cache[word] + cache[marks]
+    known.update((p, cache[p]) for p in new)
+    return [b"".join(map(known.__getitem__, ps)) for ps in pieces], dtype
 
 
 class Counter(dict):
