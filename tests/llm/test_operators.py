@@ -394,3 +394,32 @@ def test_unconnected_members_of_large_groups_are_compared(spark):
     none = spark.createDataFrame([], "id long, root long")
     many = links.unlinked_pairs(shared, none, F.lit(True)).collect()
     assert 29 <= len(many) <= links.PIVOTS * 29
+
+
+def _changed(rng, vocabulary, words, changes):
+    words = list(words)
+    for at in rng.choice(len(words), changes, replace=False):
+        words[at] = str(rng.choice(vocabulary))
+    return words
+
+
+def test_line_dedup_equals_brute_force_on_changed_words(spark):
+    """One and two changed words in lines of every length: the lines that stay are those of all pairs compared."""
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(3, 9)))) for _ in range(3000)]
+    rows = []
+    for n in (2, 3, 4, 6, 9, 10, 11, 16, 30, 60):
+        for _ in range(5):
+            base = [str(w) for w in rng.choice(vocabulary, n)]
+            rows += [base] + [_changed(rng, vocabulary, base, c) for c in (1, 2)]
+    forms = [" ".join(r) for r in rows] + ["漢字仮名交じり文の一行である" * 3, "漢字仮名交り文の一行である" * 3, "abcdefgh", "abcdxfgh"]
+    root = list(range(len(forms)))
+    for x in range(len(forms)):
+        for y in range(x):
+            limit = int(0.2 * max(len(forms[x]), len(forms[y])) + 1e-9)
+            if lines.edit_distance(forms[x], forms[y], limit) <= limit:
+                root = [root[y] if r == root[x] else r for r in root]
+    kept = {root.index(r) for r in root}
+    assert len(forms) - len(kept) > 60
+    df = spark.createDataFrame(list(enumerate(forms)), "doc_id long, text string")
+    assert {r.doc_id for r in lines.deduplicated(df).collect() if r.text} == kept
