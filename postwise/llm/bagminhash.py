@@ -13,11 +13,11 @@ about two points per shingle.
 Exact copies are one class (by the SHA-256 of the text) before any pair is made.
 Classes that share a band are compared: first each with the central class of its
 group, then, whatever the size of the group, those that this left unconnected with
-all others (links.py: up to FEW of them; of more, PIVOTS); every pair is verified on
-the whole texts by exact multiset overlap, and the verified links make connected
-groups. So a group of n copies of one original costs about n comparisons. What is not
-compared: two classes of one band that are similar to each other, but neither is
-connected to the band's central class or chosen from more than FEW, in any of the bands.
+all others (links.py); every pair is verified on the whole texts by exact multiset
+overlap, and the verified links make connected groups. Pairs whose counts of shingles by
+hash class (:func:`sketch`) show that they cannot be similar are refused before their
+texts are read. So a group of n copies of one original costs about n comparisons; a group
+of many families costs a comparison of counts for each pair of two families.
 
 Defined results: a null text counts as empty; texts without words form one group;
 shorter texts have one shingle of all their words; repeated rows are copies; rows
@@ -82,6 +82,26 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return least / (int(a[1].sum()) + int(b[1].sum()) - least)
 
 
+#: Hash classes of a sketch.
+CLASSES = 512
+
+
+def sketch(b: tuple[np.ndarray, np.ndarray]) -> bytes:
+    """Number of shingles in each hash class, 255 at most."""
+    n = np.bincount((b[0] % np.uint64(CLASSES)).astype(np.int64), b[1], CLASSES)
+    return np.minimum(n, 255).astype(np.uint8).tobytes()
+
+
+def _possible(similarity: float, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pairs whose sketches allow for the similarity: shingles that differ by class differ in the bags too."""
+    for b in batches:
+        if len(b):
+            x, y = (np.frombuffer(b"".join(b[c]), np.uint8).reshape(len(b), CLASSES) for c in ("sa", "sb"))
+            apart = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype=np.int64)
+            both = b["wa"].to_numpy(np.int64) + b["wb"].to_numpy(np.int64)
+            yield b.loc[both - apart >= similarity * (both + apart) - 1e-6, ["a", "b"]]
+
+
 def _points(doc, term, count, horizon, m, out) -> None:
     """Draw the points of each weighted term up to its document's horizon; earliest times go to out."""
     level = 0
@@ -154,6 +174,7 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _parts(b):
             bags = [bag(t) for t in part["text"]]
             yield pd.DataFrame({"id": part["id"].to_numpy(), "w": [int(c.sum()) for _, c in bags],
+                                "sketch": [sketch(x) for x in bags],
                                 "keys": list(band_keys(signatures(bags)))})
 
 
@@ -174,8 +195,11 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": b["a"].to_numpy(), "b": b["b"].to_numpy(), "similarity": s})
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, keys: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of at least this multiset overlap of the whole texts."""
+    for x in "ab":
+        pairs = pairs.join(keys.select(F.col("id").alias(x), F.col("w").alias(f"w{x}"), F.col("sketch").alias(f"s{x}")), x)
+    pairs = materialise(pairs.mapInPandas(lambda x: _possible(similarity, x), "a long, b long"), "possible")
     t = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a") \
         .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     return t.select("a", "b", "ta", "tb").mapInPandas(_verified, "a long, b long, similarity double") \
@@ -195,11 +219,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Da
     first = materialise(rows.groupBy("_sha").agg(F.min("_rid").alias("id")), "classes")
     only = rows.select(F.col("_rid").alias("id"), F.col("_row.text").alias("text"))
     keys = materialise(only.join(first.select("id"), "id", "left_semi").mapInPandas(
-        _signed, "id long, w long, keys array<long>"), "signatures")
+        _signed, "id long, w long, sketch binary, keys array<long>"), "signatures")
     shared = materialise(shared_keys(keys.select("id", "w", F.explode("keys").alias("key"))), "bands")
     texts = materialise(only.join(shared.select("id").distinct(), "id"), "texts")
     close = F.least("w", "_w") >= F.greatest("w", "_w") * similarity
-    links, root = linked(shared, close, lambda x: _verify(x, texts, similarity), ("w",))
+    links, root = linked(shared, close, lambda x: _verify(x, texts, keys, similarity), ("w",))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("_links"))
     known = materialise(first.join(root, "id", "left").join(degree, "id", "left").select(
         "_sha", F.col("id").alias("_class"), F.coalesce("root", "id").alias("_group"),

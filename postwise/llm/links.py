@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postwise.llm.common import discard, materialise
 #: Members of a group that its central member is not linked to: up to FEW are compared with
-#: all others of the group; of more, PIVOTS are.
+#: all others of the group at once; of more, PIVOTS are first, then all that is left unconnected.
 FEW, PIVOTS = 8, 2
 
 
@@ -37,13 +37,14 @@ def leader_pairs(shared: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         *[x for c in ("id", *carry) for x in (c, f"_{c}")])
 
 
-def unlinked_pairs(shared: DataFrame, roots: DataFrame, close: Column, carry: tuple[str, ...] = ()) -> DataFrame:
+def unlinked_pairs(shared: DataFrame, roots: DataFrame, close: Column, carry: tuple[str, ...] = (),
+                   few: int | None = FEW) -> DataFrame:
     """(a, b): close pairs of a group that are not connected yet by ``roots`` (id, root).
 
     A group's members outside its largest component meet all members of other components if
-    they are at most FEW; of more, PIVOTS of them do (the least of each hash class, so that
-    the bands of one group choose alike). So a group of n copies of one original costs a
-    multiple of n, and only pairs that may add a link are put out.
+    they are at most ``few`` or that is None; of more, PIVOTS of them do (the least of each
+    hash class, so that the bands of one group choose alike). So a group of n copies of one
+    original costs a multiple of n, and only pairs that may add a link are put out.
     """
     cols = ("id", *carry)
     m = shared.select("key", *cols).join(roots.select("id", "root"), "id", "left").withColumn("r", F.coalesce("root", "id"))
@@ -52,12 +53,16 @@ def unlinked_pairs(shared: DataFrame, roots: DataFrame, close: Column, carry: tu
                                     (F.sum("c") - F.max("c")).alias("rest")).filter("rest > 0")
     m = materialise(m.select("key", "r", *cols).join(main, "key"), "parts")
     rest = m.filter("r <> main")
-    few = rest.filter(F.col("rest") <= FEW).select("key", "main", "r", *cols)
-    many = rest.filter(F.col("rest") > FEW).groupBy("key", "main", F.pmod(F.xxhash64("id"), F.lit(PIVOTS)).alias("h")).agg(
+    if few is None:
+        pairs = rest.select("key", "r", *cols).join(m.select("key", "main", F.col("r").alias("_r"), *[
+            F.col(c).alias(f"_{c}") for c in cols]), "key").filter("r <> _r AND (id < _id OR _r = main)")
+        return distinct_pairs(pairs.filter(close))
+    small = rest.filter(F.col("rest") <= few).select("key", "main", "r", *cols)
+    many = rest.filter(F.col("rest") > few).groupBy("key", "main", F.pmod(F.xxhash64("id"), F.lit(PIVOTS)).alias("h")).agg(
         *[F.min_by(c, "id").alias(c) for c in ("r", *cols)]).drop("h")
     fellow = m.select("key", "rest", F.col("r").alias("_r"), *[F.col(c).alias(f"_{c}") for c in cols])
-    pairs = few.unionByName(many).join(fellow, "key").filter(
-        f"r <> _r AND (id < _id OR _r = main OR rest > {FEW})").filter(close)
+    pairs = small.unionByName(many).join(fellow, "key").filter(
+        f"r <> _r AND (id < _id OR _r = main OR rest > {few})").filter(close)
     return distinct_pairs(pairs)
 
 
@@ -102,16 +107,28 @@ def linked(shared: DataFrame, close: Column, verify: Callable[[DataFrame], DataF
            carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(links, roots): verified links and connected components (id, root) of the members of key groups.
 
-    First every member is compared with its groups' central members; then pairs of a group
-    that this did not connect (:func:`unlinked_pairs`). ``close`` is a cheap test of a pair's carried columns
-    (x and _x), ``verify`` returns the pairs (a, b) that are similar.
+    First every member is compared with its groups' central members, then those of a group
+    that this did not connect with a few of them (:func:`unlinked_pairs`), then, whatever the
+    size of the group, every pair that is still unconnected and was not compared. So two
+    members of one group are in different components only if all pairs between their
+    components in that group were compared and refused. ``close`` is a cheap test of a pair's
+    carried columns (x and _x), ``verify`` returns the pairs (a, b) that are similar.
     """
-    centre = materialise(verify(distinct_pairs(leader_pairs(shared, carry).filter(close))), "near")
-    roots = components(centre)
-    more = materialise(verify(unlinked_pairs(shared, roots, close, carry)), "near")
-    links = centre.unionByName(more)
-    if more.isEmpty():
-        return links, roots
-    # The groups so far, as links to their roots, and the new links.
-    stars = roots.filter("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
-    return links, components(stars.unionByName(more.select("a", "b")))
+    pairs = materialise(distinct_pairs(leader_pairs(shared, carry).filter(close)), "near")
+    compared, links = [pairs], materialise(verify(pairs), "near")
+    roots = components(links)
+    for few in (FEW, None):
+        pairs = unlinked_pairs(shared, roots, close, carry, few)
+        for done in compared:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        compared.append(pairs := materialise(pairs, "near"))
+        if pairs.isEmpty():
+            continue
+        more = materialise(verify(pairs), "near")
+        links = links.unionByName(more)
+        if not more.isEmpty():
+            # The groups so far, as links to their roots, and the new links.
+            stars = roots.filter("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))
+            roots = components(stars.unionByName(more.select("a", "b")))
+    discard(*compared)
+    return links, roots

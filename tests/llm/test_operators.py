@@ -9,7 +9,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postwise.llm import bagminhash, chat, extract, fingerprints, lines, links, mixing, packing, quality, token_counts, tokens, warc
@@ -423,3 +425,28 @@ def test_line_dedup_equals_brute_force_on_changed_words(spark):
     assert len(forms) - len(kept) > 60
     df = spark.createDataFrame(list(enumerate(forms)), "doc_id long, text string")
     assert {r.doc_id for r in lines.deduplicated(df).collect() if r.text} == kept
+
+
+def test_large_groups_of_small_families_equal_brute_force(spark):
+    """Whatever is left of a group by its centre (9, 100 and 1000 members), similar members are connected."""
+    rows = [(n, n * 10000 + i) for n in (9, 100, 1000) for i in range(n + 3)]
+    shared = spark.createDataFrame(rows, "key long, id long").withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    family = (F.col("a") / 3).cast("long") == (F.col("b") / 3).cast("long")
+    found, roots = links.linked(shared, F.lit(True), lambda pairs: pairs.filter(family))
+    got = {r.id: r.root for r in roots.collect()}
+    families = {}
+    for _, i in rows:
+        families.setdefault(i // 3, []).append(i)
+    assert got == {i: min(f) for f in families.values() if len(f) > 1 for i in f}
+
+
+def test_sketches_refuse_no_similar_pair():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        base = [str(w) for w in rng.integers(0, 40, int(rng.integers(6, 900)))]
+        other = _changed(rng, base + ["x"], base, int(rng.integers(0, 6)))
+        bags = [bagminhash.bag(" ".join(t)) for t in (base, other)]
+        pair = pd.DataFrame({"a": [1], "b": [2], "sa": [bagminhash.sketch(bags[0])], "sb": [bagminhash.sketch(bags[1])],
+                             "wa": [int(bags[0][1].sum())], "wb": [int(bags[1][1].sum())]})
+        s = bagminhash.overlap(*bags)
+        assert len(next(bagminhash._possible(s, iter([pair])))) == 1
