@@ -1,25 +1,25 @@
-"""D3: near-duplicate removal over long texts (MinHash + LSH).
+"""D3: near-duplicate removal over long texts (exact set join on word shingles).
 
 1. Shingles: word n-grams of the whole lower-cased text, hashed with
    ``xxhash64`` on the JVM (exploded, so a 20,000-word document is 20,000
    rows, never one huge value shipped around).
-2. Signature: one-permutation MinHash: each shingle hash falls in one of
-   ``num_perm`` bins by ``pmod(h, num_perm)``; the signature is the minimum
-   per bin. That is a single ``groupBy(doc, bin).min`` with map-side
-   partial aggregation: no ``num_perm``-fold row blow-up.
-3. LSH: bins are grouped into ``bands`` bands; a band's value is the hash of
-   its minima. Documents sharing a (band, value) bucket are candidates.
-4. Candidates are linked to the bucket's smallest doc id only (a star, not
-   all pairs), so a bucket holding a third of the corpus yields one pair
-   per member, never quadratic.
-5. Each candidate pair is verified by exact Jaccard similarity of the
-   shingle sets; a document is a duplicate of the smallest verified
-   representative with a smaller id.
+2. Documents of one shingle set are one class (its smallest id and, at equal
+   sets, no further work), so copies of one text make no pairs.
+3. Prefix filter: two sets of at least ``threshold`` Jaccard similarity share
+   one of the ``size - ceil(threshold * size) + 1`` shingles of each that are
+   rarest over all classes. Classes that share such a shingle, and whose sizes
+   allow for the similarity, are candidates: no similar pair is left out.
+4. Each candidate pair is verified by exact Jaccard similarity of the
+   shingle sets; a document is a duplicate of the smallest similar document
+   with a smaller id.
+
+:func:`minhash_lsh_pairs` (one-permutation MinHash, links to each bucket's
+smallest id) is the approximate search; :func:`dedup_documents` does not use it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postwise.session import ensure_checkpoint_dir
@@ -47,18 +47,40 @@ def minhash_lsh_pairs(sh: DataFrame, id_col: str = "doc_id", num_perm: int = 64,
     return band.join(reps, ["_band", "_bv"]).where(F.col(id_col) != F.col("rep")).select(id_col, "rep").distinct()
 
 
+def similar_pairs(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(a, b), a < b: all pairs of rows (_c, _set) with at least this Jaccard similarity of their sets."""
+    sized = sets.withColumn("_k", F.size("_set"))
+    rows = sized.select("_c", "_k", F.explode("_set").alias("h"))
+    ranked = rows.join(rows.groupBy("h").agg(F.count("*").alias("_n")), "h").withColumn(
+        "_at", F.row_number().over(Window.partitionBy("_c").orderBy("_n", "h")))
+    # The small term keeps rounding from raising a bound.
+    least = F.ceil(F.col("_k") * threshold - 1e-9)
+    prefix = ranked.where((F.col("_at") <= F.col("_k") - least + 1) & (F.col("_n") > 1)).select("h", "_c", "_k")
+    other = prefix.select("h", F.col("_c").alias("_d"), F.col("_k").alias("_l"))
+    close = F.least("_k", "_l") >= F.greatest("_k", "_l") * threshold - 1e-9
+    pairs = prefix.join(other, "h").where((F.col("_c") < F.col("_d")) & close).select(
+        F.col("_c").alias("a"), F.col("_d").alias("b")).distinct()
+    v = pairs.join(sets.select(F.col("_c").alias("a"), F.col("_set").alias("_s")), "a").join(
+        sets.select(F.col("_c").alias("b"), F.col("_set").alias("_t")), "b")
+    inter = F.size(F.array_intersect("_s", "_t"))
+    return v.where(inter >= F.lit(threshold) * (F.size("_s") + F.size("_t") - inter)).select("a", "b")
+
+
 def dedup_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                     num_perm: int = 64, bands: int = 16, threshold: float = 0.8) -> DataFrame:
-    """Every document with ``duplicate_of``: the smallest id among verified
-    near-copies with a smaller id (NULL for documents kept)."""
+    """Every document with ``duplicate_of``: the smallest id among its near-copies
+    with a smaller id (NULL for documents kept). The search is exact: ``num_perm`` and
+    ``bands`` are accepted for older callers and change nothing."""
     ensure_checkpoint_dir(df.sparkSession)
-    sh = shingles(df, id_col, text_col, n).checkpoint(eager=True)
-    pairs = minhash_lsh_pairs(sh, id_col, num_perm, bands)
-    sets = sh.groupBy(id_col).agg(F.collect_set("h").alias("_set"))
-    a = pairs.join(sets, id_col)
-    b = sets.select(F.col(id_col).alias("rep"), F.col("_set").alias("_rset"))
-    v = a.join(b, "rep")
-    inter = F.size(F.array_intersect("_set", "_rset"))
-    union = F.size(F.array_union("_set", "_rset"))
-    verified = v.where(inter >= F.lit(threshold) * union).groupBy(id_col).agg(F.min("rep").alias("duplicate_of"))
-    return df.select(id_col).join(verified, id_col, "left")
+    sets = shingles(df, id_col, text_col, n).groupBy(id_col).agg(F.array_sort(F.collect_set("h")).alias("_set"))
+    sets = sets.withColumn("_sha", F.sha2(F.array_join(F.transform("_set", lambda h: F.hex(h)), ","), 256)).checkpoint(eager=True)
+    classes = sets.select(id_col, "_sha").groupBy("_sha").agg(F.min(id_col).alias("_c"))
+    of = sets.select(id_col, "_sha").join(classes, "_sha").select(id_col, "_c")
+    first = sets.join(of.where(F.col(id_col) == F.col("_c")), id_col).select("_c", "_set")
+    pairs = similar_pairs(first.checkpoint(eager=True), threshold).checkpoint(eager=True)
+    # The smallest id of a similar class is that class's smallest, its _c.
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy(F.col("a").alias("_c")).agg(F.min("b").alias("_near"))
+    best = of.join(near, "_c", "left").withColumn("_best", F.least("_c", "_near"))
+    found = best.where(F.col("_best") < F.col(id_col)).select(id_col, F.col("_best").alias("duplicate_of"))
+    return df.select(id_col).join(found, id_col, "left")

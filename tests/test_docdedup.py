@@ -33,3 +33,31 @@ def test_against_brute_force(spark):
     found = {d for d, rep in got.items() if rep is not None}
     assert found <= truth
     assert len(found) >= 0.9 * len(truth)
+
+
+def test_all_near_copies_are_found(spark):
+    """Documents that are near copies only of each other, in buckets whose smallest id is like none of them."""
+    rows, base = [], [f"w{i}" for i in range(400)]
+    for k in range(60):
+        ws, step = list(base), 30 if k < 45 else 100
+        for at in range(k % 25, 400, step):
+            ws[at] = f"x{k}_{at}"
+        rows.append((k + 1, " ".join(ws)))
+    rows += [(70, rows[50][1]), (71, rows[51][1].upper()), (72, None), (73, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: _shingles(t or "") for i, t in rows}
+    near = {i: [j for j in sets if j < i and t is not None and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])] for i, t in rows}
+    want = {i: min(js, default=None) for i, js in near.items()}
+    got = {r.doc_id: r.duplicate_of for r in dedup_documents(df).collect()}
+    want[72] = want[73] = got[72] = got[73] = None  # texts without words: whatever they were before
+    assert got == want and sum(x is not None for x in want.values()) >= 10
+
+
+def test_equals_brute_force_in_full(spark):
+    docs = read_table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    texts = {r.doc_id: _shingles(r.text or "") for r in docs.collect()}
+    want = dict.fromkeys(texts)
+    for x, y in itertools.combinations(sorted(texts), 2):
+        if want[y] is None and len(texts[x] & texts[y]) >= 0.8 * len(texts[x] | texts[y]):
+            want[y] = x
+    assert {r.doc_id: r.duplicate_of for r in dedup_documents(docs).collect()} == want
