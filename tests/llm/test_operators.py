@@ -450,3 +450,34 @@ def test_sketches_refuse_no_similar_pair():
                              "wa": [int(bags[0][1].sum())], "wb": [int(bags[1][1].sum())]})
         s = bagminhash.overlap(*bags)
         assert len(next(bagminhash._possible(s, iter([pair])))) == 1
+
+
+def test_line_sketches_refuse_no_similar_pair():
+    """Edits spread over the whole line: at the pair's own similarity its sketches still allow for it."""
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a = "".join(rng.choice(list("abcdefgh ij"), int(rng.integers(5, 500))))
+        b = list(a)
+        for at in range(0, len(a), int(rng.integers(5, 12))):
+            b[at] = "" if rng.random() < 0.3 else str(rng.choice(list("xyz漢"))) * int(rng.integers(1, 3))
+        b = "".join(b)
+        d, most = lines.edit_distance(a, b, 1000), max(len(a), len(b))
+        pair = pd.DataFrame({"a": [1], "b": [2], "la": [len(a)], "lb": [len(b)], "sa": [lines.sketch(a)], "sb": [lines.sketch(b)]})
+        assert len(next(lines._possible(1 - d / most, iter([pair])))) == 1
+
+
+def test_long_lines_with_spread_edits_are_linked(spark):
+    """Candidates of 200 characters and more are refused by nothing but the edit distance."""
+    letters, found = list("abcdefghijklmnopqrstuvwxyz"), None
+    for seed in range(2000):
+        rng = np.random.default_rng(seed)
+        words = ["".join(rng.choice(letters, 6)) for _ in range(60)]
+        other = [w if i % 5 else "".join(rng.choice(letters, 6)) for i, w in enumerate(words)]
+        found = " ".join(words), " ".join(other)
+        x, y = lines.simhashes([t.encode() for t in found], 8).tolist()
+        if (x ^ y).bit_count() > 22:  # the bits that were asked for before
+            break
+    a, b = found
+    assert (x ^ y).bit_count() > 22 and lines.edit_distance(a, b, 84) <= 83
+    got = lines.deduplicated(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got if r.text} == {1}
