@@ -239,7 +239,8 @@ def _first(doc_id: str):
 
 def duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, group_id (least doc_id of its group), class_id (least
-    doc_id with the same text), n_links (verified links of its text) and kept (true for
+    doc_id with the same text), n_links (links of its text that the spanning comparison
+    verified, not the number of similar texts: what is connected already is not compared) and kept (true for
     one row of each group: the least doc_id, at equal ids the first row)."""
     rows, _ = near_duplicates(docs.select("doc_id", "text"), similarity)
     d = materialise(rows.select("_rid", F.col("_row.doc_id").alias("doc_id"), "_class", "_group", "_links"), "groups")
