@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postwise.llm.common import documents
+from postwise.session import scratch_path
 from postwise.sources.tables import read_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +114,11 @@ def op10(spark, sf):
     from postwise.llm.warc import build_derivatives, responses
     d = build_derivatives(responses(spread(read_table(spark, sf, "pages").select("page_id", "url", "html"))))
     return d.withColumnRenamed("id", "page_id").withColumn("record_bytes", F.length("record").cast("bigint")).drop("record")
+
+
+@query("op11_token_files")
+def op11(spark, sf):
+    from postwise.llm.token_files import read_ids, write_ids
+    path = scratch_path(spark, "postwise-llm", f"token-files-{uuid.uuid4().hex}")
+    write_ids(read_table(spark, sf, "documents").select("doc_id", "text"), path)
+    return read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
