@@ -122,3 +122,64 @@ def op11(spark, sf):
     path = scratch_path(spark, "postwise-llm", f"token-files-{uuid.uuid4().hex}")
     write_ids(read_table(spark, sf, "documents").select("doc_id", "text"), path)
     return read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op12_phrases")
+def op12(spark, sf):
+    from postwise.llm.phrases import collocations
+    return collocations(documents(spark, sf)).drop("k", "before", "behind")
+
+
+def _grams(n: int) -> str:
+    words = " || ' ' || ".join(f"ws[i + {k}]" for k in range(n))
+    return f"SELECT lang, {n} AS words, unnest(list_transform(range(1, len(ws) + {2 - n}), lambda i: {words})) AS phrase FROM w"
+
+
+ORACLE["op12_phrases"] = rf"""WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM p),
+g AS ({_grams(1)} UNION ALL {_grams(2)} UNION ALL {_grams(3)}),
+f AS (SELECT lang, words, phrase, count(*) AS n FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(n) AS n FROM f WHERE words = 1 GROUP BY lang),
+c AS (SELECT lang, words, n AS a, phrase, split_part(phrase, ' ', 1) AS x, split_part(phrase, ' ', 2) AS y,
+  split_part(phrase, ' ', 3) AS z FROM f WHERE words > 1 AND n >= 10),
+cuts AS (SELECT lang, phrase, a, 1 AS k, x AS head, CASE words WHEN 2 THEN y ELSE y || ' ' || z END AS rest FROM c
+  UNION ALL SELECT lang, phrase, a, 2, x || ' ' || y, z FROM c WHERE words = 3),
+s AS (SELECT u.lang, u.phrase, u.a, u.k, h.n AS l, r.n AS r,
+  CAST(CAST(1000000 AS HUGEINT) * u.a * u.a // (CAST(h.n AS HUGEINT) * r.n) AS BIGINT) AS score
+  FROM cuts u JOIN f h ON h.lang = u.lang AND h.phrase = u.head JOIN f r ON r.lang = u.lang AND r.phrase = u.rest),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (SELECT lang, phrase, max(a) AS most FROM (SELECT lang, x || ' ' || y AS phrase, a FROM c WHERE words = 3
+  UNION ALL SELECT lang, y || ' ' || z, a FROM c WHERE words = 3) GROUP BY ALL),
+kept AS (SELECT b.* FROM b LEFT JOIN around o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE o.most IS NULL OR 100 * o.most < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(t.n AS BIGINT) AS n, score FROM ranked JOIN t USING (lang) WHERE rank <= 2000"""
+
+
+@query("op13_hard_negatives")
+def op13(spark, sf):
+    from postwise.llm.hard_negatives import hard_negatives, integer_rows
+    label = F.col("label").cast("long")
+    e = read_table(spark, sf, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives(integer_rows(e), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= 5"""
