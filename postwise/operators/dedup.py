@@ -11,9 +11,14 @@ Neither ever collects a group: D1 is an aggregate with map-side partial
 combine (``min_by``), so a hash holding a third of the rows is reduced in
 every task before the shuffle. D2 first collapses identical texts to one
 line per (company, text, day), so a hot group costs one line per day;
-only distinct texts are paired, within a company and a pair of adjacent
-8-day buckets; blocks above ``SMALL_BLOCK`` lines pair only texts sharing
-one of their rarest q-grams (an exact count filter, see ``_qgram_pairs``).
+lines of one company that share one of their rarest q-grams (exact, see
+``_prefix_grams``) stand in a list by date, which each line reads backwards
+until it meets a similar one or leaves the window
+(:mod:`postwise.operators.walks`), so a block of near-identical titles costs
+about one check a line.
+
+Defined results of D2: rows with a null company or text are compared with none
+and kept; the empty text is a text like any other; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postwise import rules as R
+from postwise.operators.walks import numbered, walk
 from postwise.session import ensure_checkpoint_dir
 
 
@@ -58,92 +64,82 @@ def fuzzy_text(df: DataFrame) -> DataFrame:
     )
 
 
-SMALL_BLOCK = 64  # day lines per (company, bucket) paired directly
-_Q = 2            # q-gram length of the large-block filter
+_Q = 2  # q-gram length
+ONE_LIST = 64  # lines of a company up to which they all stand in one list
 
 
-def _direct_pairs(y: DataFrame, x: DataFrame) -> DataFrame:
-    """Candidate (y, x) line pairs of the same company and bucket."""
-    return y.join(x, ["_co", "_b"])
+def _edits(length, threshold: float):
+    """Edits that a text of this length may have to one at least this similar: (1 - t) * the longer one's length,
+    which is at most length / t."""
+    return F.floor(length * ((1.0 - threshold) / threshold) + 1e-9)
 
 
-def _qgram_pairs(y: DataFrame, x: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs through the q-gram count filter (exact).
+def _prefix_grams(lines: DataFrame, threshold: float, one_list: int) -> DataFrame:
+    """The lines once for each list that they stand in: one of the company's rarest q-grams of the text, at its place.
 
-    A line y can only be similar to x with at most
-    K = floor((1 - t) / t * len(y)) edits; then x contains at least
-    |Q(y)| - q*K of y's positional q-grams (each edit destroys at most q),
-    so any q*K + 1 of y's q-grams include one of x's. y keeps its q*K + 1
-    rarest q-grams (the prefix); x keeps all of its q-grams; pairs must
-    share a q-gram. Common q-grams sort last in every prefix, so a hot
-    block does not pair everything with everything.
+    k edits leave all but q * k of a text's q-grams as they are, each moved by at most k places. So the
+    first q * k + 1 q-grams, in an order that is one for the whole company, hold the rarest of those
+    left, in both texts alike. Texts that may lose all their q-grams have the empty gram besides, and
+    so have all that may be similar to one. The lines of a company with at most ``one_list`` of them
+    stand in one list instead, without a cut into q-grams.
     """
-    def grams(df, text):
-        n = F.length(text) - F.lit(_Q - 1)
-        g = df.select("*", F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).alias("_i")) \
-            .select("*", F.substring(text, F.col("_i"), _Q).alias("_g"))
-        occ = F.row_number().over(Window.partitionBy("_co", text, "_g").orderBy("_i"))
-        return g.withColumn("_gk", F.concat(F.col("_g"), F.lit("#"), occ.cast("string"))).drop("_i", "_g")
-
-    ytexts = grams(y.select("_co", "_s").distinct(), F.col("_s"))
-    freq = ytexts.groupBy("_gk").agg(F.count("*").alias("_f"))
-    k = F.floor(F.length("_s") * F.lit((1.0 - threshold) / threshold) + F.lit(1e-9))
-    rank = F.row_number().over(Window.partitionBy("_co", "_s").orderBy("_f", "_gk"))
-    prefix = ytexts.join(freq, "_gk").withColumn("_r", rank).where(F.col("_r") <= F.lit(_Q) * k + 1) \
-        .select("_co", "_s", "_gk")
-    xg = grams(x.select("_co", "_xs").distinct(), F.col("_xs")).select("_co", "_xs", "_gk")
-    yp = y.join(prefix, ["_co", "_s"])
-    xp = x.join(xg, ["_co", "_xs"])
-    cand = yp.join(xp, ["_co", "_b", "_gk"]).drop("_gk")
-    return cand.dropDuplicates(["_co", "_b", "_s", "_d", "_xs", "_xd"])
+    k = _edits(F.col("_len"), threshold)
+    of = lines.groupBy("_co").agg(F.count("*").alias("_lines"))
+    lines = lines.join(of.withColumn("_one", F.col("_lines") <= one_list).drop("_lines"), "_co")
+    whole = lines.where("_one").select("*", F.lit("").alias("_gram"), F.lit(0).alias("_at"))
+    lines = lines.where("NOT _one")
+    texts = lines.select("_co", "_s", "_len").distinct().withColumn("_k", k)
+    at = F.explode(F.sequence(F.lit(1), F.greatest(F.col("_len") - F.lit(_Q - 1), F.lit(1))))
+    grams = texts.select("*", at.alias("_at")).withColumn("_gram", F.substring(F.col("_s"), F.col("_at"), _Q))
+    freq = grams.groupBy("_co", "_gram").agg(F.count("*").alias("_f"))
+    order = F.row_number().over(Window.partitionBy("_co", "_s").orderBy("_f", "_gram", "_at"))
+    prefix = grams.join(freq, ["_co", "_gram"]).withColumn("_r", order).where(F.col("_r") <= _Q * F.col("_k") + 1)
+    prefix = prefix.select("_co", "_s", "_gram", "_at")
+    c = _Q * (1.0 - threshold) / threshold
+    bare = F.col("_len") * threshold < 2.0 / (1.0 - c) if c < 1 else F.lit(True)
+    short = texts.where(bare & (F.col("_k") > 0)).select("_co", "_s", F.lit("").alias("_gram"), F.lit(0).alias("_at"))
+    return lines.join(prefix.unionByName(short), ["_co", "_s"]).unionByName(whole)
 
 
 def fuzzy_duplicates(rows: DataFrame, threshold: float = R.SIMILARITY_THRESHOLD,
-                     days: int = R.TIME_WINDOW_DAYS, small_block: int = SMALL_BLOCK) -> DataFrame:
-    """D2 core on (posting_id, _co, _s, _d): the ids that are duplicates."""
+                     days: int = R.TIME_WINDOW_DAYS, one_list: int = ONE_LIST) -> DataFrame:
+    """D2 core on (posting_id, _co, _s, _d): the ids that are duplicates (the same ones for any ``one_list``)."""
     ensure_checkpoint_dir(rows.sparkSession)
-    # Both tables below feed several branches; materialise them once
-    # instead of recomputing the cleaning lineage per branch.
+    # Read by several branches: written once instead of cleaned once per branch.
     dated = rows.where(F.col("_d").isNotNull()).checkpoint(eager=True)
-    # One line per (company, text, day): smallest id and the ids above it.
+    # One line per (company, text, day): its smallest id; the ids above it are duplicates.
     day = dated.groupBy("_co", "_s", "_d").agg(F.min("posting_id").alias("_min_id"))
     # Identical text: a day's first row is a duplicate when the same text
     # appeared on an earlier day at most `days` days before.
     w = Window.partitionBy("_co", "_s").orderBy("_d")
-    day = day.withColumn("_prev_d", F.lag("_d").over(w))
-    same_text_day_dup = day.where(F.datediff("_d", "_prev_d") <= days).select("_co", "_s", "_d")
-    # Distinct texts: pair day lines of one company whose buckets (days+1
-    # days wide) are equal or adjacent (x earlier), then check the window
-    # and the similarity. Small blocks pair directly; large blocks go
-    # through the q-gram filter.
-    bucket = F.floor(F.datediff(F.col("_d"), F.lit("1970-01-01")) / F.lit(days + 1))
-    day = day.withColumn("_b", bucket).withColumn("_len", F.length("_s"))
-    sizes = day.groupBy("_co", "_b").agg(F.count("*").alias("_bn"))
-    day = day.join(sizes, ["_co", "_b"]).checkpoint(eager=True)
-    x = day.select(F.col("_co"), F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_b"),
-                   F.col("_s").alias("_xs"), F.col("_d").alias("_xd"), F.col("_min_id").alias("_x_id"),
-                   F.col("_len").alias("_xlen"))
-    y = day.select("_co", "_b", "_s", "_d", "_len", "_bn")
-    # The q-gram filter is sound only when y keeps at least one guaranteed
-    # shared q-gram: |Q(y)| - q*K >= 1. Other lines pair directly.
-    k = F.floor(F.length("_s") * F.lit((1.0 - threshold) / threshold) + F.lit(1e-9))
-    filterable = (F.length("_s") - F.lit(_Q - 1)) - F.lit(_Q) * k >= 1
-    big_y = (F.col("_bn") > small_block) & filterable
-    cand = _direct_pairs(y.where(~big_y), x).unionByName(_qgram_pairs(y.where(big_y), x, threshold))
-    slack = 1.0 - threshold
-    cand = cand.where(
-        (F.col("_xs") != F.col("_s")) & (F.col("_xd") <= F.col("_d"))
-        & (F.datediff(F.col("_d"), F.col("_xd")) <= days)
-        & (F.abs(F.col("_len") - F.col("_xlen")) <= F.greatest(F.col("_len"), F.col("_xlen")) * slack + 1e-9)
-    ).where(similarity("_xs", "_s") >= threshold)
-    # Rows of a y line above this id are duplicates (-1: all of them).
-    limit = cand.groupBy("_co", "_s", "_d").agg(
-        F.min(F.when(F.col("_xd") < F.col("_d"), F.lit(-1)).otherwise(F.col("_x_id"))).alias("_above"))
-    tagged = dated.join(day.select("_co", "_s", "_d", "_min_id"), ["_co", "_s", "_d"]) \
-        .join(same_text_day_dup.withColumn("_same", F.lit(True)), ["_co", "_s", "_d"], "left") \
-        .join(limit, ["_co", "_s", "_d"], "left")
-    dup = (F.col("posting_id") > F.col("_min_id")) | F.coalesce(F.col("_same"), F.lit(False)) \
-        | F.coalesce(F.col("posting_id") > F.col("_above"), F.lit(False))
+    day = day.withColumn("_prev_d", F.lag("_d").over(w)).withColumn(
+        "_same", F.coalesce(F.datediff("_d", "_prev_d") <= days, F.lit(False))).withColumn("_len", F.length("_s"))
+    lines = day.drop("_prev_d").where(F.col("_s").isNotNull()).withColumn("_line", F.monotonically_increasing_id()) \
+        .checkpoint(eager=True)
+    # Similar text: any earlier line (by date and id) of the company in the window will do.
+    order = F.struct("_d", "_min_id", "_line", "_at")
+    entries = _prefix_grams(lines, threshold, one_list).select("_co", "_gram", order.alias("_order"), "_line", "_d", "_len", "_at", "_same")
+    lists = numbered(entries, ["_co", "_gram"], ["_order"]).drop("_order").checkpoint(eager=True)
+
+    def within(y, x):
+        return F.datediff(y("_d"), x("_d")) <= days
+
+    def near(y, x):
+        longest = F.greatest(y("_len"), x("_len"))
+        k = F.floor(longest * (1.0 - threshold) + 1e-9)
+        placed = (F.abs(y("_at") - x("_at")) <= k) | (y("_at") == 0)
+        return within(y, x) & (F.abs(y("_len") - x("_len")) <= k) & placed & ~y("_same")
+
+    def verify(pairs):
+        texts = lines.select("_line", "_s")
+        v = pairs.join(texts.select(F.col("_line").alias("_y"), F.col("_s").alias("_a")), "_y") \
+            .join(texts.select(F.col("_line").alias("_x"), F.col("_s").alias("_b")), "_x")
+        return v.where((F.col("_a") != F.col("_b")) & (similarity("_a", "_b") >= threshold))
+
+    similar = walk(lists, "_line", ["_d", "_len", "_at", "_same"], near, verify, smallest=False, within=within, first=8)
+    days_of = lines.join(similar.select("_line", F.lit(True).alias("_similar")), "_line", "left")
+    tagged = dated.join(days_of.select("_co", "_s", "_d", "_min_id", "_same", "_similar"), ["_co", "_s", "_d"])
+    dup = (F.col("posting_id") > F.col("_min_id")) | F.col("_same") | F.coalesce("_similar", F.lit(False))
     return tagged.where(dup).select("posting_id")
 
 

@@ -1,20 +1,22 @@
 """D3: near-duplicate removal over long texts (exact set join on word shingles).
 
-1. Shingles: word n-grams of the whole lower-cased text, hashed with
-   ``xxhash64`` on the JVM (exploded, so a 20,000-word document is 20,000
-   rows, never one huge value shipped around).
-2. Documents of one shingle set are one class (its smallest id and, at equal
-   sets, no further work), so copies of one text make no pairs.
-3. Prefix filter: two sets of at least ``threshold`` Jaccard similarity share
-   one of the ``size - ceil(threshold * size) + 1`` shingles of each that are
-   rarest over all classes. Classes that share such a shingle, and whose sizes
-   allow for the similarity, are candidates: no similar pair is left out.
-4. Each candidate pair is verified by exact Jaccard similarity of the
-   shingle sets; a document is a duplicate of the smallest similar document
-   with a smaller id.
-
-:func:`minhash_lsh_pairs` (one-permutation MinHash, links to each bucket's
-smallest id) is the approximate search; :func:`dedup_documents` does not use it.
+1. Shingles: the set of word n-grams of the whole lower-cased text, hashed with
+   ``xxhash64`` on the JVM, within the document's own row.
+2. Documents of one shingle set are one class (its smallest id). Only a digest of
+   128 bits a document is shuffled for that; only classes go on.
+3. Prefix filter: two sets of at least ``threshold`` Jaccard similarity share one of
+   the ``size - ceil(threshold * size) + 1`` shingles of each that are rarest over all
+   classes. The classes that share such a shingle are a list; two of them are only
+   compared if their sizes, and what is left behind the shared shingle in both orders,
+   allow for the similarity. No similar pair is left out.
+4. What is asked of a class is its smallest similar class. Lists are read from the
+   smallest id on and only until that is found (:mod:`postwise.operators.walks`), and
+   a shingle in very many classes is no hot key, as entries are joined by their place.
+   Each pair that is read is verified by the exact similarity of its sets.
+
+Defined results: null, empty and blank texts have no shingles and are never duplicates;
+a text shorter than n words is one shingle; rows of equal id count as copies of one
+document, of its least set; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -22,65 +24,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postwise.operators.walks import numbered, walk
 from postwise.session import ensure_checkpoint_dir
 
+#: Keeps rounding from raising a bound.
+_SLACK = 1e-9
+
 
-def shingles(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5) -> DataFrame:
-    """(id, h): hashed word n-grams (repeats kept: both consumers, the
-    per-bin minimum and ``collect_set``, ignore them, so no shuffle is spent
-    removing them); texts shorter than n words give one shingle."""
+def shingle_sets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5) -> DataFrame:
+    """(id, _set): hashed word n-grams of each text that has a word, sorted, each once."""
     words = F.filter(F.split(F.lower(F.col(text_col)), r"\s+"), lambda w: w != "")
-    sized = df.select(F.col(id_col).alias("_id"), words.alias("_w")).withColumn("_k", F.size("_w"))
-    cols = [F.slice("_w", i + 1, F.greatest(F.col("_k") - n + 1, F.lit(1))) for i in range(n)]
-    grams = sized.select("_id", F.explode_outer(F.arrays_zip(*cols)).alias("_g"))
-    h = F.xxhash64(*[F.col("_g")[str(i)] for i in range(n)])
-    return grams.where(F.col("_g").isNotNull()).select(F.col("_id").alias(id_col), h.alias("h"))
-
-
-def minhash_lsh_pairs(sh: DataFrame, id_col: str = "doc_id", num_perm: int = 64, bands: int = 16) -> DataFrame:
-    """(id, rep): candidate links of each document to its buckets' smallest id."""
-    rows = num_perm // bands
-    sig = sh.groupBy(id_col, F.pmod(F.col("h"), F.lit(num_perm)).alias("_bin")).agg(F.min("h").alias("_m"))
-    band = sig.groupBy(id_col, (F.col("_bin") / rows).cast("int").alias("_band")).agg(
-        F.xxhash64(F.array_sort(F.collect_list(F.struct("_bin", "_m")))).alias("_bv"))
-    reps = band.groupBy("_band", "_bv").agg(F.min(id_col).alias("rep"))
-    return band.join(reps, ["_band", "_bv"]).where(F.col(id_col) != F.col("rep")).select(id_col, "rep").distinct()
-
-
-def similar_pairs(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(a, b), a < b: all pairs of rows (_c, _set) with at least this Jaccard similarity of their sets."""
-    sized = sets.withColumn("_k", F.size("_set"))
-    rows = sized.select("_c", "_k", F.explode("_set").alias("h"))
-    ranked = rows.join(rows.groupBy("h").agg(F.count("*").alias("_n")), "h").withColumn(
-        "_at", F.row_number().over(Window.partitionBy("_c").orderBy("_n", "h")))
-    # The small term keeps rounding from raising a bound.
-    least = F.ceil(F.col("_k") * threshold - 1e-9)
-    prefix = ranked.where((F.col("_at") <= F.col("_k") - least + 1) & (F.col("_n") > 1)).select("h", "_c", "_k")
-    other = prefix.select("h", F.col("_c").alias("_d"), F.col("_k").alias("_l"))
-    close = F.least("_k", "_l") >= F.greatest("_k", "_l") * threshold - 1e-9
-    pairs = prefix.join(other, "h").where((F.col("_c") < F.col("_d")) & close).select(
-        F.col("_c").alias("a"), F.col("_d").alias("b")).distinct()
-    v = pairs.join(sets.select(F.col("_c").alias("a"), F.col("_set").alias("_s")), "a").join(
-        sets.select(F.col("_c").alias("b"), F.col("_set").alias("_t")), "b")
-    inter = F.size(F.array_intersect("_s", "_t"))
-    return v.where(inter >= F.lit(threshold) * (F.size("_s") + F.size("_t") - inter)).select("a", "b")
+    sized = df.select(F.col(id_col), words.alias("_w")).where(F.size("_w") > 0)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("_w") - n + 1, F.lit(1)))
+    grams = F.transform(starts, lambda i: F.xxhash64(F.slice(F.col("_w"), i, n)))
+    return sized.select(id_col, F.array_sort(F.array_distinct(grams)).alias("_set"))
+
+
+def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """(h, _c, _k, _p): the prefix of every set (_c, _set) as far as other sets hold its shingles: set size, and the
+    shingle's place in the set from its rarest on."""
+    rows = sets.select("_c", F.size("_set").alias("_k"), F.explode("_set").alias("h"))
+    shared = rows.join(rows.groupBy("h").agg(F.count("*").alias("_n")).where("_n > 1"), "h")
+    # Shingles of no other set come first in the order; they are counted, not carried.
+    w = Window.partitionBy("_c")
+    alone = F.col("_k") - F.count("*").over(w)
+    ranked = shared.withColumn("_p", (alone + F.row_number().over(w.orderBy("_n", "h"))).cast("int"))
+    least = F.ceil(F.col("_k") * threshold - _SLACK)
+    return ranked.where(F.col("_p") <= F.col("_k") - least + 1).select("h", "_c", "_k", "_p")
+
+
+def nearest_earlier(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(_c, match): the smallest similar class of every class (_c, _set) that has one before it."""
+    lists = numbered(prefixes(sets, threshold), ["h"], ["_c"]).checkpoint(eager=True)
+
+    def near(y, x):
+        small, large = F.least(y("_k"), x("_k")), F.greatest(y("_k"), x("_k"))
+        common = threshold / (1 + threshold) * (y("_k") + x("_k")) - _SLACK
+        return (small >= large * threshold - _SLACK) & (1 + F.least(y("_k") - y("_p"), x("_k") - x("_p")) >= common)
+
+    def verify(pairs):
+        v = pairs.join(sets.select(F.col("_c").alias("_y"), F.col("_set").alias("_s")), "_y") \
+            .join(sets.select(F.col("_c").alias("_x"), F.col("_set").alias("_t")), "_x")
+        inter = F.size(F.array_intersect("_s", "_t"))
+        return v.where(inter >= F.lit(threshold) * (F.size("_s") + F.size("_t") - inter))
+
+    return walk(lists, "_c", ["_k", "_p"], near, verify, smallest=True)
 
 
 def dedup_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
-                    num_perm: int = 64, bands: int = 16, threshold: float = 0.8) -> DataFrame:
+                    threshold: float = 0.8) -> DataFrame:
     """Every document with ``duplicate_of``: the smallest id among its near-copies
-    with a smaller id (NULL for documents kept). The search is exact: ``num_perm`` and
-    ``bands`` are accepted for older callers and change nothing."""
+    with a smaller id (NULL for documents kept). The search is exact."""
     ensure_checkpoint_dir(df.sparkSession)
-    sets = shingles(df, id_col, text_col, n).groupBy(id_col).agg(F.array_sort(F.collect_set("h")).alias("_set"))
-    sets = sets.withColumn("_sha", F.sha2(F.array_join(F.transform("_set", lambda h: F.hex(h)), ","), 256)).checkpoint(eager=True)
-    classes = sets.select(id_col, "_sha").groupBy("_sha").agg(F.min(id_col).alias("_c"))
-    of = sets.select(id_col, "_sha").join(classes, "_sha").select(id_col, "_c")
-    first = sets.join(of.where(F.col(id_col) == F.col("_c")), id_col).select("_c", "_set")
-    pairs = similar_pairs(first.checkpoint(eager=True), threshold).checkpoint(eager=True)
-    # The smallest id of a similar class is that class's smallest, its _c.
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.groupBy(F.col("a").alias("_c")).agg(F.min("b").alias("_near"))
-    best = of.join(near, "_c", "left").withColumn("_best", F.least("_c", "_near"))
+    sets = shingle_sets(df, id_col, text_col, n)
+    digest = F.struct(F.size("_set").alias("k"), F.xxhash64(F.lit(1), "_set").alias("a"), F.xxhash64(F.lit(2), "_set").alias("b"))
+    of = sets.groupBy(id_col).agg(F.min(digest).alias("_d"))
+    classes = of.groupBy("_d").agg(F.min(id_col).alias("_c"))
+    of = of.join(classes, "_d").select(id_col, "_c").checkpoint(eager=True)
+    first = of.where(F.col(id_col) == F.col("_c")).select("_c")
+    own = sets.join(first, sets[id_col] == first["_c"], "left_semi").groupBy(F.col(id_col).alias("_c")).agg(
+        F.min_by("_set", digest).alias("_set"))
+    near = nearest_earlier(own.checkpoint(eager=True), threshold)
+    best = of.join(near, "_c", "left").withColumn("_best", F.least("_c", "match"))
     found = best.where(F.col("_best") < F.col(id_col)).select(id_col, F.col("_best").alias("duplicate_of"))
     return df.select(id_col).join(found, id_col, "left")

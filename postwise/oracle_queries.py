@@ -265,3 +265,18 @@ _NN = [("dim_time", ["time_id", "posting_date"]), ("dim_company", ["company_id",
 ORACLE["not_null_check"] = A + " UNION ALL ".join(
     f"SELECT {q(t)} AS \"table\", {q(c)} AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM {t}"
     for t, cols in _NN for c in cols)
+
+# ---- near-duplicate documents ----------------------------------------------------
+
+ORACLE["dedup_documents"] = r"""WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)),
+    lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS h
+  FROM w WHERE len(w) > 0),
+k AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id, b.doc_id AS other, count(*) AS common FROM s a JOIN s b ON a.h = b.h AND b.doc_id < a.doc_id GROUP BY ALL),
+near AS (
+  SELECT p.doc_id, min(other) AS duplicate_of FROM p JOIN k x ON x.doc_id = p.doc_id JOIN k y ON y.doc_id = p.other
+  WHERE common >= 0.8 * (x.n + y.n - common) GROUP BY p.doc_id)
+SELECT d.doc_id, near.duplicate_of FROM documents d LEFT JOIN near ON near.doc_id = d.doc_id"""

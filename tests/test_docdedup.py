@@ -1,6 +1,7 @@
-"""MinHash/LSH document dedup against brute-force Jaccard (sf0.001)."""
+"""Document dedup against brute-force Jaccard (sf0.001)."""
 
 import itertools
+import random
 
 from postwise.operators.docdedup import dedup_documents
 from postwise.sources.tables import read_table
@@ -61,3 +62,46 @@ def test_equals_brute_force_in_full(spark):
         if want[y] is None and len(texts[x] & texts[y]) >= 0.8 * len(texts[x] | texts[y]):
             want[y] = x
     assert {r.doc_id: r.duplicate_of for r in dedup_documents(docs).collect()} == want
+
+
+def test_families_cost_about_a_check_a_copy(spark):
+    """Near copies of one text: each is compared about once, also with a text before them that holds their rare
+    passage and is like none of them; the answers are those of brute force."""
+    from postwise.operators import docdedup
+    from postwise.operators.walks import walk
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base[:60] + [f"z{i}" for i in range(400)]))]
+    for k in range(1, 301):
+        ws = list(base)
+        ws[rng.randrange(200)] = f"x{k}"
+        rows.append((k, " ".join(ws)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    checks = []
+
+    def counted(*args, **kw):
+        verify = args[4]
+
+        def run(pairs):
+            checks.append(pairs.count())
+            return verify(pairs)
+        return walk(*args[:4], run, *args[5:], **kw)
+
+    docdedup.walk, before = counted, docdedup.walk
+    try:
+        got = {r.doc_id: r.duplicate_of for r in dedup_documents(df).collect()}
+    finally:
+        docdedup.walk = before
+    sets = {i: _shingles(t) for i, t in rows}
+    want = {i: next((j for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])), None) for i in sets}
+    assert got == want
+    assert sum(checks) <= 4 * len(rows)
+
+
+def test_awkward_documents(spark):
+    rows = [(1, "a b c"), (2, "A  b\tc"), (None, "a b c"), (3, None), (4, ""), (5, " \n "), (6, "one"), (7, "one"), (7, "one"),
+            (8, "y " * 5000), (9, "y " * 9000)]
+    df = spark.createDataFrame([(*r, 1, "h") for r in rows], "doc_id long, text string, _c int, h string")
+    got = sorted((r.doc_id or -1, r.duplicate_of) for r in dedup_documents(df).collect() if r.duplicate_of is not None)
+    assert got == [(2, 1), (7, 6), (7, 6), (9, 8)]
+    assert dedup_documents(df.limit(0)).count() == 0

@@ -96,9 +96,31 @@ def test_seed_location_mapped(spark):
     assert "Sihanoukville" in cities and "Preah Sihanouk" not in cities
 
 
-def test_fuzzy_large_block_filter_is_exact(spark):
-    """The q-gram path (forced with small_block=0) finds the same duplicates
-    as direct pairing, on the fixture's cleaned postings."""
+def _fuzzy_brute(rows, threshold=0.9, days=7):
+    """Ids of (id, company, text, date) with an earlier row (by date, id) that is equal or similar enough."""
+    def lev(a, b):
+        prev = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            cur = [i]
+            for j, y in enumerate(b, 1):
+                cur.append(min(prev[j] + 1, cur[-1] + 1, prev[j - 1] + (x != y)))
+            prev = cur
+        return prev[-1]
+
+    out, by = set(), {}
+    for i, co, s, d in sorted((r for r in rows if None not in r), key=lambda r: (r[3], r[0])):
+        for j, t, e in by.get(co, []):
+            n = max(len(s), len(t))
+            if (d - e).days <= days and (s == t or abs(len(s) - len(t)) <= n * (1 - threshold) + 1e-9
+                                         and 1.0 - lev(s, t) / n >= threshold):
+                out.add(i)
+                break
+        by.setdefault(co, []).append((i, s, d))
+    return out
+
+
+def test_fuzzy_equals_brute_force(spark):
+    """On the fixture's cleaned postings and near copies of them: the same ids as comparing all pairs."""
     from postwise.operators.clean import clean_standard
     from postwise.operators.dedup import fuzzy_duplicates, fuzzy_text
     from postwise.sources.fixture import raw_postings
@@ -109,23 +131,42 @@ def test_fuzzy_large_block_filter_is_exact(spark):
     near = rows.select((F.col("posting_id") + 10_000_000).alias("posting_id"), "_co",
                        F.concat(F.col("_s"), F.lit("x")).alias("_s"), F.date_add("_d", 2).alias("_d"))
     both = rows.unionByName(near)
-    direct = {r[0] for r in fuzzy_duplicates(both, small_block=10**9).collect()}
-    qgram = {r[0] for r in fuzzy_duplicates(both, small_block=0).collect()}
-    assert direct == qgram
-    assert len(direct) > 100
+    got = {r[0] for r in fuzzy_duplicates(both).collect()}
+    assert got == _fuzzy_brute([tuple(r) for r in both.collect()])
+    assert got == {r[0] for r in fuzzy_duplicates(both, one_list=0).collect()}
+    assert len(got) > 100
 
 
-def test_fuzzy_low_threshold_routes_direct(spark):
-    """At a low threshold the q-gram filter cannot apply; results must still
-    equal direct pairing."""
+def test_fuzzy_awkward_rows_equal_brute_force(spark):
+    """Chains, one company with all rows, texts that share only common q-grams, equal dates, nulls, empty texts."""
+    import random
+    from postwise.operators.dedup import fuzzy_duplicates
+    rng = random.Random(5)
+    base = ["senior software developer|phnom penh|", "aaaaaaaaaaaaaaaaaaaaaa", "abababababababababababab", "", "x", "xy"]
+    rows = []
+    for i in range(400):
+        s = list(rng.choice(base))
+        for _ in range(rng.randrange(5)):
+            if s:
+                s[rng.randrange(len(s))] = rng.choice("abxyz ")
+        rows.append((i, rng.choice(["c", "c", "c", "", None]), "".join(s) if i % 41 else None,
+                     dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(60)) if i % 37 else None))
+    df = spark.createDataFrame(rows, "posting_id long, _co string, _s string, _d date")
+    for threshold in (0.9, 0.7, 0.4):
+        got = {r[0] for r in fuzzy_duplicates(df, threshold=threshold).collect()}
+        assert got == _fuzzy_brute(rows, threshold)
+        assert got == {r[0] for r in fuzzy_duplicates(df, threshold=threshold, one_list=10**6).collect()}
+    assert fuzzy_duplicates(df.limit(0)).count() == 0
+
+
+def test_fuzzy_low_threshold(spark):
+    """At a low threshold two similar texts may share no q-gram."""
     from postwise.operators.dedup import fuzzy_duplicates
     rows = spark.createDataFrame(
         [(1, "c", "abcd", dt.date(2024, 1, 1)), (2, "c", "wxyz", dt.date(2024, 1, 2)),
          (3, "c", "abxy", dt.date(2024, 1, 3)), (4, "c", "zzzz", dt.date(2024, 1, 4))],
         "posting_id long, _co string, _s string, _d date")
-    direct = {r[0] for r in fuzzy_duplicates(rows, threshold=0.4, small_block=10**9).collect()}
-    qgram = {r[0] for r in fuzzy_duplicates(rows, threshold=0.4, small_block=0).collect()}
-    assert direct == qgram == {3}
+    assert {r[0] for r in fuzzy_duplicates(rows, threshold=0.4).collect()} == {3}
 
 
 def test_map_values_join_path_equals_case_path(spark):
