@@ -86,7 +86,7 @@ def _keyword_pattern(keyword: str, whole_word: bool) -> str:
 def _first_keyword(text: Column, keywords, mode: str, whole_words: set[str], otherwise: Column) -> Column:
     """Ordered keyword chain: substring (reference) or word-start match (fixed)."""
     out = otherwise
-    for kw, value in reversed(keywords):
+    for kw, value in reversed(list(keywords)):
         if mode == "reference":
             cond = F.lower(text).contains(kw.lower())
         else:
@@ -95,14 +95,14 @@ def _first_keyword(text: Column, keywords, mode: str, whole_words: set[str], oth
     return out
 
 
-def standardize_company(c, mode: str = "fixed", use_nfkc: bool = True) -> Column:
+def standardize_company(c, mode: str = "fixed", use_nfkc: bool = True, suffixes=R.COMPANY_SUFFIXES) -> Column:
     """Normalise, lower, drop the legal suffixes in order, normalise, title.
 
     ``mode="fixed"`` also strips punctuation left dangling at the end
     ("ABC Co., Ltd." -> "Abc"; the original gives "Abc .").
     """
     v = F.lower(normalize_text(c, use_nfkc))
-    for suffix in R.COMPANY_SUFFIXES:
+    for suffix in suffixes:
         v = F.replace(v, F.lit(suffix), F.lit(""))
     v = normalize_text(v, use_nfkc=False)
     if mode != "reference":
@@ -110,14 +110,14 @@ def standardize_company(c, mode: str = "fixed", use_nfkc: bool = True) -> Column
     return title_case(v)
 
 
-def standardize_title(c, mode: str = "fixed", use_nfkc: bool = True) -> Column:
+def standardize_title(c, mode: str = "fixed", use_nfkc: bool = True, keywords=R.TITLE_KEYWORDS) -> Column:
     """P10: struct(raw, std): normalised title and the first keyword's title.
 
     ``mode="fixed"`` matches keywords at a word start (and ``ux`` as a whole
     word) so "luxury" is not a UX job; ``"reference"`` matches substrings.
     """
     raw = normalize_text(c, use_nfkc)
-    std = _first_keyword(raw, R.TITLE_KEYWORDS, mode, {"ux"}, raw)
+    std = _first_keyword(raw, keywords, mode, {"ux"}, raw)
     return F.struct(raw.alias("raw"), std.alias("std"))
 
 
@@ -133,16 +133,16 @@ def split_location(c, use_nfkc: bool = True) -> Column:
     return F.struct(province.alias("province"), F.when(has, title_case(city)).alias("city"))
 
 
-def experience_band(c, mode: str = "fixed", use_nfkc: bool = True) -> Column:
+def experience_band(c, mode: str = "fixed", use_nfkc: bool = True, keywords=R.EXPERIENCE_KEYWORDS) -> Column:
     """Band by ordered keyword, else the normalised text.
 
     ``mode="fixed"`` matches at word starts and ``mid`` as a whole word
     (so "midwife" is not mid level)."""
     t = normalize_text(c, use_nfkc)
-    return _first_keyword(F.lower(t), R.EXPERIENCE_KEYWORDS, mode, {"mid"}, t)
+    return _first_keyword(F.lower(t), keywords, mode, {"mid"}, t)
 
 
-def education_band(c, use_nfkc: bool = True) -> Column:
+def education_band(c, use_nfkc: bool = True, default: str = R.EDUCATION_DEFAULT) -> Column:
     """Normalised education, blank -> 'Not Specified'."""
     t = normalize_text(c, use_nfkc)
-    return F.when(t == "", F.lit(R.EDUCATION_DEFAULT)).otherwise(t)
+    return F.when(t == "", F.lit(default)).otherwise(t)

@@ -32,17 +32,52 @@ def map_values(df: DataFrame, column: str, mapping: dict) -> DataFrame:
     """Replace exact values of ``column`` using ``mapping``.
 
     Small mappings become an inline CASE; larger ones a join with the mapping
-    table. The mapping comes from the driver, so its size is known and it is
-    broadcast only under ``INLINE``-style limits; beyond that, a shuffle join.
+    table (:func:`map_values_table`).
     """
     if len(mapping) <= R.INLINE_MAPPING_LIMIT:
         return df.withColumn(column, map_column(column, mapping))
-    spark = df.sparkSession
-    table = spark.createDataFrame(list(mapping.items()), "_from string, _to string")
-    if len(mapping) <= 1_000_000:
-        table = F.broadcast(table)
-    joined = df.join(table, df[column] == table["_from"], "left")
-    return joined.withColumn(column, F.coalesce(F.col("_to"), F.col(column))).drop("_from", "_to")
+    return map_values_table(df, column, df.sparkSession.createDataFrame(list(mapping.items()), "from string, to string"))
+
+
+#: Bytes of a rule table up to which it is sent to every task.
+RULE_TABLE_BYTES = 32 << 20
+
+
+def map_values_table(df: DataFrame, column: str, table: DataFrame, limit: int = RULE_TABLE_BYTES) -> DataFrame:
+    """Replace exact values of ``column`` by a table (from, to) of any size.
+
+    Its texts are measured first; up to ``limit`` bytes the table is broadcast, beyond that
+    the distinct values of the column are looked up by a shuffle join, so a value that holds
+    many rows is joined once, and the rows take the result by their value. A value with
+    several targets takes the least one; a null target leaves the value as it is.
+    """
+    names = [c for c in df.columns]
+    rules = table.where(F.col("from").isNotNull() & F.col("to").isNotNull()).groupBy(F.col("from").alias("_from")).agg(
+        F.min("to").alias("_to"))
+    size = rules.agg(F.sum(F.octet_length("_from") + F.octet_length("_to") + 32)).first()[0] or 0
+    if size <= limit:
+        joined = df.join(F.broadcast(rules), df[column] == F.col("_from"), "left")
+    else:
+        found = df.select(F.col(column).alias("_from")).distinct().join(rules, "_from")
+        joined = df.join(found, df[column] == F.col("_from"), "left")
+    return joined.select(*[F.coalesce("_to", F.col(c)).alias(c) if c == column else df[c] for c in names])
+
+
+#: Fields of the record hash of a standard-profile row.
+HASH_FIELDS = ("job_title_std", "company_name_std", "province", "posting_date")
+
+
+def hash_fields(df: DataFrame, fields=HASH_FIELDS, use_nfkc: bool = True) -> Column:
+    """The record hash of chosen fields, each normalised: texts as by :func:`normalize_text`, dates as ISO
+    dates, anything else as its text; missing -> ''."""
+    def one(c):
+        kind = df.schema[c].dataType.typeName()
+        if kind == "string":
+            return T.normalize_text(c, use_nfkc)
+        if kind in ("date", "timestamp", "timestamp_ntz"):
+            return F.date_format(c, "yyyy-MM-dd")
+        return F.col(c).cast("string")
+    return record_hash(*[one(c) for c in fields])
 
 
 def record_hash(*cols) -> Column:
@@ -57,7 +92,7 @@ def clean_basic(df: DataFrame, rules: R.Rules = R.DEFAULT_RULES, run_date: str =
     location mapped by exact value, salary range parsed from the raw text,
     bad or missing dates -> ``run_date`` with ``date_defaulted`` set.
     """
-    posted = D.parse_date_or("posting_date", run_date)
+    posted = D.parse_date_or("posting_date", run_date, list(rules.basic_date_formats))
     df = S.with_salary_range(df, "salary", mode=rules.mode)
     keep = [c for c in df.columns if c not in _POSTING_TEXT and c not in ("salary_min", "salary_max")]
     return df.select(
@@ -89,9 +124,11 @@ CLEANED_COLUMNS = [
 ]
 
 
-def clean_standard(df: DataFrame, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
+def clean_standard(df: DataFrame, rules: R.Rules = R.DEFAULT_RULES, fields=HASH_FIELDS) -> DataFrame:
     """Standard profile: the cleaned table (19 derived columns).
 
+    ``fields`` are the derived columns that the record hash is made of.
+
     ``hash_dedup`` = sha256 of standard title || standard company ||
     province || ISO posting date ('' when unparsed).
 
@@ -106,7 +143,7 @@ def clean_standard(df: DataFrame, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame
     base = df.select(*keep, *[T.normalize_text(c, nf).alias(f"_n_{c}") for c in norm_cols],
                      F.col("industry").alias("_industry"), F.col("source_agency").alias("_agency"),
                      F.col("posting_date").alias("_posting_date"))
-    title = T.standardize_title("_n_job_title", mode=rules.mode, use_nfkc=False)
+    title = T.standardize_title("_n_job_title", mode=rules.mode, use_nfkc=False, keywords=rules.title_keywords)
     loc = T.split_location("_n_location", use_nfkc=False)
     base = S.with_parsed_salary(base, "_n_salary", rules.currency_default, rules.salary_keywords,
                                 mode=rules.mode, rates=rules.currency_rates, normalized=True)
@@ -115,7 +152,8 @@ def clean_standard(df: DataFrame, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame
         title["raw"].alias("job_title_raw"),
         title["std"].alias("job_title_std"),
         F.col("_n_company_name").alias("company_name_raw"),
-        T.standardize_company("_n_company_name", mode=rules.mode, use_nfkc=False).alias("company_name_std"),
+        T.standardize_company("_n_company_name", mode=rules.mode, use_nfkc=False,
+                              suffixes=rules.company_suffixes).alias("company_name_std"),
         F.col("_n_industry").alias("industry_raw"),
         T.title_case("_industry").alias("industry_std"),
         loc["province"].alias("province"),
@@ -125,16 +163,16 @@ def clean_standard(df: DataFrame, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame
         "salary_min_usd",
         "salary_max_usd",
         F.col("_n_job_type").alias("employment_type"),
-        T.experience_band("_n_experience_level", mode=rules.mode, use_nfkc=False).alias("experience_level_std"),
-        T.education_band("_n_education_level", use_nfkc=False).alias("education_level_std"),
-        D.parse_date("_posting_date").alias("posting_date"),
+        T.experience_band("_n_experience_level", mode=rules.mode, use_nfkc=False,
+                          keywords=rules.experience_keywords).alias("experience_level_std"),
+        T.education_band("_n_education_level", use_nfkc=False, default=rules.education_default).alias("education_level_std"),
+        D.parse_date("_posting_date", list(rules.date_formats)).alias("posting_date"),
         F.col("_n_source_agency").alias("source_agency_raw"),
         T.title_case("_agency").alias("source_agency_std"),
     )
     return out.withColumn(
         "hash_dedup",
-        record_hash("job_title_std", "company_name_std", "province",
-                    F.date_format("posting_date", "yyyy-MM-dd")),
+        record_hash(*[F.date_format(c, "yyyy-MM-dd") if c == "posting_date" else c for c in fields]),
     )
 
 

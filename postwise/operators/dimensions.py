@@ -109,12 +109,12 @@ def staging_members(staging: DataFrame, name: str) -> DataFrame:
 
 
 def merge_one_a(staging: DataFrame, current: dict[str, DataFrame | None], name: str, run_ts=None,
-                seeds: bool = True, new_only: bool = False) -> DataFrame:
+                seeds: bool = True, new_only: bool = False, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
     """One star-A dimension merged from a staging batch (see merge_star_a)."""
     spec = STAR_A[name]
     old = current.get(name)
     if old is None and seeds and name in ("dim_location", "dim_source_agency"):
-        old = seed_dimension(staging.sparkSession, name)
+        old = seed_dimension(staging.sparkSession, name, rules)
     src = staging_members(staging, name)
     return merge_dimension(old, src, spec["keys"], spec["id"], _attrs_a(name, run_ts),
                            match_cols=spec.get("match"), collated=name != "dim_time",
@@ -122,7 +122,8 @@ def merge_one_a(staging: DataFrame, current: dict[str, DataFrame | None], name:
 
 
 def merge_star_a(staging: DataFrame, current: dict[str, DataFrame | None], run_ts=None,
-                 seeds: bool = True, parallel: bool = True, new_only: bool = False) -> dict[str, DataFrame]:
+                 seeds: bool = True, parallel: bool = True, new_only: bool = False,
+                 rules: R.Rules = R.DEFAULT_RULES) -> dict[str, DataFrame]:
     """Load the six star-A dimensions from a staging batch (insert-if-absent).
 
     The six merges are independent, so with ``parallel`` they are submitted
@@ -131,7 +132,7 @@ def merge_star_a(staging: DataFrame, current: dict[str, DataFrame | None], run_t
     members; a dimension not stored yet returns everything (seeds included).
     """
     def one(name: str) -> DataFrame:
-        return merge_one_a(staging, current, name, run_ts, seeds, new_only)
+        return merge_one_a(staging, current, name, run_ts, seeds, new_only, rules)
 
     if not parallel:
         return {name: one(name) for name in STAR_A}

@@ -110,16 +110,26 @@ def resolve_members(values: DataFrame, dim: DataFrame, key_cols: list[str], id_c
     return variants.join(d, cond, "inner").groupBy(*key_cols).agg(F.min("_id").alias(id_col))
 
 
-# Largest lookup (rows) broadcast to every task once its size is known.
+# Largest lookup broadcast to every task once its size is known, in rows and in bytes.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` in the checkpoint folder, count it, and mark it for
-    broadcast only when it has at most ``max_rows`` rows; otherwise it stays
-    a shuffle-join side. Returns (frame, broadcast?)."""
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a written table, in one pass: the texts' own lengths, 8 bytes for any other value and 16 a row."""
+    parts = [F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() in ("string", "binary") else F.lit(8)
+             for f in df.schema.fields]
+    r = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(reduce(lambda a, b: a + b, parts, F.lit(16))), F.lit(0)).alias("b")).first()
+    return r["n"], r["b"]
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Materialise ``df`` in the checkpoint folder, measure it, and mark it for
+    broadcast only when it has at most ``max_rows`` rows and ``max_bytes`` bytes;
+    otherwise it stays a shuffle-join side. Returns (frame, broadcast?)."""
     ensure_checkpoint_dir(df.sparkSession)
     m = df.checkpoint(eager=True)
-    if m.count() <= max_rows:
+    rows, size = measured(m)
+    if rows <= max_rows and size <= max_bytes:
         return F.broadcast(m), True
     return m, False

@@ -46,12 +46,12 @@ def check_lengths(limits: dict[str, int] = R.STAGING_LENGTHS) -> Column:
 
 def staging_checks(run_date: str = R.DEFAULT_RUN_DATE, rules: R.Rules = R.DEFAULT_RULES) -> dict[str, Column]:
     """The checks for a staging (basic profile) table, by name."""
-    return {
-        "required_fields": check_required(rules.required_fields),
-        "date_valid": check_date("posting_date", "date_defaulted", run_date),
-        "salary_valid": check_salary("salary_min", "salary_max", rules.min_salary, rules.max_salary),
-        "length_valid": check_lengths(),
-    }
+    checks = {"required_fields": check_required(rules.required_fields)}
+    if rules.date_validation:
+        checks["date_valid"] = check_date("posting_date", "date_defaulted", run_date)
+    if rules.salary_validation:
+        checks["salary_valid"] = check_salary("salary_min", "salary_max", rules.min_salary, rules.max_salary)
+    return {**checks, "length_valid": check_lengths()}
 
 
 def quality_report(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
@@ -86,6 +86,28 @@ def check_unique(df: DataFrame, key_cols: list[str], name: str) -> DataFrame:
         .select(F.lit(name).alias("table"), "duplicate_keys", "duplicate_rows")
 
 
+def check_unique_keys(tables: dict[str, tuple[DataFrame, list[tuple[str, ...]]]]) -> DataFrame:
+    """DQ6: (table, key, duplicate_keys, duplicate_rows) for every unique key of every table, in one shuffle.
+
+    All tables' rows are counted together by (rule, key) with partial sums before the shuffle, so a key that
+    holds many rows is no hot key. A null in a key counts as a value. A table without rows has no duplicates.
+    """
+    rules, parts = [], []
+    for name, (df, keys) in tables.items():
+        for cols in keys:
+            number = len(rules)
+            rules.append((number, name, ",".join(cols)))
+            key = F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
+            parts.append(df.select(F.lit(number).alias("_rule"), key.alias("_key")))
+    counted = reduce(lambda a, b: a.unionByName(b), parts).groupBy("_rule", "_key").agg(F.count("*").alias("_n"))
+    found = counted.where("_n > 1").groupBy("_rule").agg(F.count("*").alias("keys"), F.sum("_n").alias("rows"))
+    spark = parts[0].sparkSession
+    named = spark.createDataFrame(rules, "_rule int, table string, key string")
+    zero = F.lit(0).cast("long")
+    return named.join(found, "_rule", "left").select("table", "key", F.coalesce("keys", zero).alias("duplicate_keys"),
+                                                     F.coalesce("rows", zero).alias("duplicate_rows"))
+
+
 def check_fanout(staging: DataFrame, fact: DataFrame, id_col: str = "posting_id") -> DataFrame:
     """DQ7: (fact_rows, staging_rows): how many staging rows produced 0, 1,
     2, ... fact rows. A clean load has one line, fact_rows = 1."""

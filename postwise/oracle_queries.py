@@ -280,3 +280,114 @@ near AS (
   SELECT p.doc_id, min(other) AS duplicate_of FROM p JOIN k x ON x.doc_id = p.doc_id JOIN k y ON y.doc_id = p.other
   WHERE common >= 0.8 * (x.n + y.n - common) GROUP BY p.doc_id)
 SELECT d.doc_id, near.duplicate_of FROM documents d LEFT JOIN near ON near.doc_id = d.doc_id"""
+
+# ---- rule files, screening, loads: the values of the file are stated here anew ------------
+
+_FILE_MAP = {"Catering": "Restaurants", "Casino": "Gaming", "NGO / INGO": "Non-profit", "Marine Science": "Research"}
+_FILE_CO = f"lower({norm('r.company_name')})"
+for _s in ("plc", "(cambodia)"):
+    _FILE_CO = f"replace({_FILE_CO}, {q(_s)}, '')"
+_FILE_CO = title(rf"regexp_replace({norm(_FILE_CO)}, '[\s.,;:]+$', '')")
+ORACLE["clean_with_rule_file"] = O.with_(O.RAW, O.STAGING, O.SAL1, O.SAL2.replace("'USD')", "'KHR')")) + f"""
+SELECT r.posting_id, {O.mapping('s.industry_raw', _FILE_MAP)} AS industry,
+  trim(s.job_title) <> '' AND trim(s.company_name) <> '' AS required_fields,
+  (s.salary_min IS NULL AND s.salary_max IS NULL)
+    OR coalesce(s.salary_min <= s.salary_max AND s.salary_min >= 300 AND s.salary_max <= 1500, false) AS salary_valid,
+  {_FILE_CO} AS company_name_std,
+  {O.keyword_chain(norm('r.job_title'), [('support', 'Support'), ('designer', 'Designer'), ('engineer', 'Engineering')], set(), norm('r.job_title'))} AS job_title_std,
+  {O.keyword_chain(f"lower({norm('r.experience_level')})", [('junior', 'Starter'), ('senior', 'Lead')], set(), norm('r.experience_level'))} AS experience_level_std,
+  CASE WHEN {norm('r.education_level')} = '' THEN 'Unknown' ELSE {norm('r.education_level')} END AS education_level_std,
+  CASE WHEN l.salary_type IN ('range', 'fixed') THEN l.cur ELSE 'KHR' END AS salary_currency,
+  CASE WHEN l.salary_type IN ('range', 'fixed') THEN TRY_CAST(l.lo * (CASE l.cur WHEN 'KHR' THEN CAST(0.00025 AS DECIMAL(12,6))
+    ELSE CAST(1.0 AS DECIMAL(12,6)) END) AS DECIMAL(12,2)) END AS salary_min_usd,
+  {O.dt('r.posting_date', ['d/M/yyyy', 'M/d/yyyy'])} AS posting_date
+FROM raw r JOIN (SELECT st.*, {strip('ra.industry')} AS industry_raw FROM staging st JOIN raw ra ON ra.posting_id = st.posting_id) s
+  ON s.posting_id = r.posting_id JOIN sal2 l ON l.posting_id = r.posting_id"""
+
+_HASHED = A.rstrip("\n") + f""",
+hashed AS (SELECT *, sha256(concat_ws('||', {norm('job_title')}, {norm('company_name')}, {norm('location')},
+    coalesce(strftime(posting_date, '%Y-%m-%d'), ''))) AS h,
+  concat_ws(',', {", ".join(f"CASE WHEN NOT {c} THEN {q(n)} END" for n, c in _CHECKS.items())}) AS reasons FROM staging),
+"""
+ORACLE["load_screen"] = _HASHED + """one AS (SELECT *, CASE WHEN reasons <> '' THEN 'rejected'
+    WHEN posting_id = min(posting_id) FILTER (WHERE reasons = '') OVER (PARTITION BY h) THEN 'accepted' ELSE 'duplicate' END AS status
+  FROM hashed WHERE posting_id % 2 = 1),
+two AS (SELECT *, CASE WHEN reasons <> '' THEN 'rejected' WHEN h IN (SELECT h FROM one WHERE status = 'accepted') THEN 'duplicate'
+    WHEN posting_id = min(posting_id) FILTER (WHERE reasons = '') OVER (PARTITION BY h) THEN 'accepted' ELSE 'duplicate' END AS status
+  FROM hashed)
+SELECT 1 AS batch, status, reasons, count(*) AS rows FROM one GROUP BY ALL
+UNION ALL SELECT 2, status, reasons, count(*) FROM two GROUP BY ALL"""
+ORACLE["load_screened"] = _HASHED + f"""one AS (SELECT *, CASE WHEN reasons <> '' THEN 'rejected'
+    WHEN posting_id = min(posting_id) FILTER (WHERE reasons = '') OVER (PARTITION BY h) THEN 'accepted' ELSE 'duplicate' END AS status
+  FROM hashed),
+ok AS (SELECT * FROM one WHERE status = 'accepted')
+SELECT status AS metric, count(*) AS rows FROM one GROUP BY status
+UNION ALL SELECT 'staged', count(*) FROM ok
+UNION ALL SELECT 'hashes', count(*) FROM ok
+UNION ALL SELECT 'fact', count(*) FROM (SELECT DISTINCT posting_date, {O.mk('company_name')}, {O.mk('job_title')}, {O.mk('job_type')},
+  {O.mk('experience_level')}, {O.mk('education_level')}, {O.mk('industry')}, {O.mk('location')}, {O.mk('source_agency')} FROM ok)
+UNION ALL SELECT 'processed', 1
+UNION ALL SELECT 'logged', 1"""
+ORACLE["cleaned_table"] = B.rstrip("\n") + """,
+one AS (SELECT hash_dedup, min(posting_id) AS posting_id FROM cleaned WHERE posting_id % 3 <> 0 GROUP BY 1),
+two AS (SELECT hash_dedup, min(posting_id) AS posting_id FROM cleaned WHERE hash_dedup NOT IN (SELECT hash_dedup FROM one) GROUP BY 1)
+SELECT hash_dedup, posting_id, 1 AS batch, substr(hash_dedup, 1, 2) AS hash_prefix FROM one
+UNION ALL SELECT hash_dedup, posting_id, 2, substr(hash_dedup, 1, 2) FROM two"""
+
+# ---- star B in full -----------------------------------------------------------------------
+
+_SB = _BF.rstrip() + f""",
+b AS (SELECT *, coalesce(industry_std, '') AS industry_name_std, coalesce(source_agency_std, '') AS source_name_std FROM bf),
+dc AS (SELECT row_number() OVER (ORDER BY company_name_std) AS company_key, * FROM (SELECT company_name_std, min(company_name_raw) AS company_name
+  FROM b GROUP BY 1)),
+dj AS (SELECT row_number() OVER (ORDER BY job_title_std, experience_band, education_band) AS job_key, * FROM (
+  SELECT job_title_std, experience_level_std AS experience_band, education_level_std AS education_band, min(job_title_raw) AS job_title_raw
+  FROM b GROUP BY 1, 2, 3)),
+di AS (SELECT row_number() OVER (ORDER BY industry_name_std) AS industry_key, industry_name_std FROM (SELECT DISTINCT industry_name_std FROM b)),
+dl AS (SELECT row_number() OVER (ORDER BY province NULLS FIRST, city NULLS FIRST) AS location_key, province, city
+  FROM (SELECT DISTINCT province, city FROM b)),
+ds AS (SELECT row_number() OVER (ORDER BY source_name_std) AS source_key, source_name_std FROM (SELECT DISTINCT source_name_std FROM b))
+"""
+ORACLE["star_b_fact"] = _SB + """SELECT posting_date AS time_key, company_key, job_key, industry_key, location_key, source_key, 1 AS job_count,
+  salary_min_usd, salary_max_usd, salary_currency, salary_type, employment_type, experience_level_std AS experience_level,
+  education_level_std AS education_level, posting_date, CAST(posting_id AS VARCHAR) AS source_record_id, hash_dedup
+FROM b JOIN dc USING (company_name_std) JOIN di USING (industry_name_std) JOIN ds USING (source_name_std)
+  JOIN dj ON dj.job_title_std = b.job_title_std AND dj.experience_band = b.experience_level_std AND dj.education_band = b.education_level_std
+  JOIN dl ON dl.province IS NOT DISTINCT FROM b.province AND dl.city IS NOT DISTINCT FROM b.city"""
+ORACLE["star_b_dim_job"] = _SB + "SELECT job_key, job_title_raw, job_title_std, experience_band, education_band FROM dj"
+ORACLE["star_b_dim_company"] = _SB + "SELECT company_key, company_name, company_name_std FROM dc"
+ORACLE["star_b_dim_time"] = _SB + f"""SELECT d AS time_key, d AS full_date, {_I.format('day(d)')} AS day, {_I.format('month(d)')} AS month,
+  monthname(d) AS month_name, {_I.format('quarter(d)')} AS quarter, {_I.format('year(d)')} AS year, {_I.format('weekofyear(d)')} AS week_of_year,
+  {_I.format('dayofweek(d) + 1')} AS day_of_week, dayname(d) AS day_name, dayofweek(d) IN (0, 6) AS is_weekend
+FROM (SELECT DISTINCT posting_date AS d FROM b)"""
+ORACLE["star_b_incremental"] = B.rstrip("\n") + f""",
+one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hash_dedup ORDER BY posting_id) AS rn FROM cleaned WHERE posting_id % 3 <> 0)
+  WHERE rn = 1 AND posting_date IS NOT NULL),
+two AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hash_dedup ORDER BY posting_id) AS rn FROM cleaned
+  WHERE hash_dedup NOT IN (SELECT hash_dedup FROM one)) WHERE rn = 1 AND posting_date IS NOT NULL),
+b AS (SELECT * FROM one UNION ALL SELECT * FROM two)
+SELECT province, count(*) AS job_count, count(DISTINCT (job_title_std, experience_level_std, education_level_std)) AS jobs,
+  count(DISTINCT company_name_std) AS companies, {_I.format('max(weekofyear(posting_date))')} AS last_week
+FROM b GROUP BY province"""
+
+# ---- unique keys, widths, mergeable distinct counts -----------------------------------------
+
+_NONE = [("dim_time", "time_id"), ("dim_time", "posting_date"), ("dim_company", "company_id"), ("dim_job", "job_id"),
+         ("dim_job", "job_title,job_type,experience_level,education_level"), ("dim_industry", "industry_id"),
+         ("dim_industry", "industry_name"), ("dim_location", "location_id"), ("dim_location", "city,province"),
+         ("dim_source_agency", "source_id"), ("dim_source_agency", "agency_name"), ("b_dim_time", "time_key"),
+         ("b_dim_company", "company_key"), ("b_dim_company", "company_name_std"), ("b_dim_job", "job_key"),
+         ("b_dim_job", "job_title_std,experience_band,education_band"), ("b_dim_industry", "industry_key"),
+         ("b_dim_industry", "industry_name_std"), ("b_dim_location", "location_key"), ("b_dim_location", "country,province,city"),
+         ("b_dim_source_agency", "source_key"), ("b_dim_source_agency", "source_name_std")]
+ORACLE["unique_keys_check"] = O.with_(O.RAW, O.STAGING, O.DIMS, O.SAL1, O.SAL2, O.SAL, O.CLEANED0, O.CLEANED, _DEDUP) + " UNION ALL ".join([
+    *[f"SELECT {q(t)} AS \"table\", {q(k)} AS \"key\", CAST(0 AS BIGINT) AS duplicate_keys, CAST(0 AS BIGINT) AS duplicate_rows" for t, k in _NONE],
+    "SELECT 'dim_company', 'company_name', count(*), 2 * count(*) FROM dim_company WHERE company_id % 7 = 0",
+    "SELECT 'fact', 'posting_id', count(*), 2 * count(*) FROM staging WHERE posting_id % 50 = 0",
+    "SELECT 'b_fact', 'hash_dedup', count(*), 2 * count(*) FROM deduped WHERE posting_date IS NOT NULL AND posting_id % 50 = 0"])
+ORACLE["schema_check"] = A + """SELECT 'location: longer than 100' AS reason, count(*) AS rows FROM staging WHERE posting_id % 9 = 0
+UNION ALL SELECT 'posting_id: null', count(*) FROM staging WHERE posting_id % 11 = 0
+UNION ALL SELECT 'posting_date: not a date', count(*) FROM staging WHERE posting_id % 13 = 0
+UNION ALL SELECT 'fits', count(*) FROM staging WHERE posting_id % 9 <> 0 AND posting_id % 11 <> 0 AND posting_id % 13 <> 0"""
+ORACLE["companies_rollup"] = A + f"""SELECT industry_name, {_I.format('year(posting_date)')} AS posting_year,
+  count(DISTINCT company_id) AS companies, true AS near FROM fact JOIN dim_industry USING (industry_id) GROUP BY 1, 2"""

@@ -6,6 +6,8 @@ built warehouse, or the tables directly), so its work grows with them.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -271,12 +273,12 @@ def q_dedup_fuzzy(spark, sf):
 
 @query("salary_distribution")
 def q_salary_distribution(spark, sf):
-    return salary_distribution(build_star_b(clean_standard(_raw(spark, sf))))
+    return salary_distribution(_star_b(spark, sf))
 
 
 @query("demand_by_province")
 def q_demand_by_province(spark, sf):
-    return demand_by_province(build_star_b(clean_standard(_raw(spark, sf))))
+    return demand_by_province(_star_b(spark, sf))
 
 
 # ---- incremental loads ---------------------------------------------------------
@@ -364,3 +366,146 @@ def q_not_null_check(spark, sf):
         "dim_source_agency": (w["dim_source_agency"], ["source_id", "agency_name"]),
         "fact": (w["fact"], FACT_KEYS),
     })
+
+
+# ---- rule files, screening, loads -------------------------------------------------------
+
+RULE_FILE = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "rule_sets", "regional.json")
+
+
+@query("clean_with_rule_file")
+def q_rule_file(spark, sf, path: str = RULE_FILE):
+    """Both profiles under the rules of a file."""
+    from postwise.rulefile import load_rules
+    rules = load_rules(spark, path)
+    basic = clean_basic(_raw(spark, sf), rules)
+    checked = basic.select("posting_id", "industry", *[c.alias(n) for n, c in Q.staging_checks(rules=rules).items()
+                                                       if n in ("required_fields", "salary_valid")])
+    std = clean_standard(_raw(spark, sf), rules).select(
+        "posting_id", "company_name_std", "job_title_std", "experience_level_std", "education_level_std", "salary_currency",
+        "salary_min_usd", "posting_date")
+    return checked.join(std, "posting_id")
+
+
+def _scratch_warehouse(spark, name):
+    from postwise.plans.incremental import Warehouse
+    from postwise.session import scratch_path
+    return Warehouse(spark, scratch_path(spark, "postwise-loads", f"{name}-{uuid.uuid4().hex}"))
+
+
+@query("load_screen")
+def q_load_screen(spark, sf):
+    """Two batches screened, the second (all postings) after the first (the odd ones): rows by status and reasons."""
+    from postwise.plans.incremental import screen_rows
+    st = warehouse(spark, sf)["staging"]
+    one = screen_rows(st.where("posting_id % 2 = 1"))
+    two = screen_rows(st, stored=one.where("status = 'accepted'"))
+    rows = one.withColumn("batch", F.lit(1)).unionByName(two.withColumn("batch", F.lit(2)))
+    return rows.groupBy("batch", "status", F.array_join("reasons", ",").alias("reasons")).agg(F.count("*").alias("rows"))
+
+
+@query("load_screened")
+def q_load_screened(spark, sf):
+    """One screened load of all postings: what each table holds after it."""
+    from postwise.plans.incremental import processed_batches, run_pipeline
+    wh = _scratch_warehouse(spark, "screened")
+    run_pipeline(spark, _raw(spark, sf), wh.root, "all", f"{R.DEFAULT_RUN_DATE} 00:00:00", screen=True)
+    screened = wh.read("screened/batch_id=all").groupBy(F.col("status").alias("metric")).agg(F.count("*").alias("rows"))
+    for name, df in [("staged", wh.read("staging")), ("fact", wh.read("fact")), ("hashes", wh.read("loaded_hashes")),
+                     ("processed", processed_batches(wh)), ("logged", wh.read("etl_logs").where("status = 'COMPLETED'"))]:
+        screened = screened.unionByName(df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("metric"), "rows"))
+    return screened
+
+
+@query("cleaned_table")
+def q_cleaned_table(spark, sf):
+    """The cleaned table after two batches, the second (all postings) after the first (ids not divisible by 3)."""
+    wh = _scratch_warehouse(spark, "cleaned")
+    c = clean_standard(_raw(spark, sf))
+    wh.append_unique("postings_cleaned", c.where("posting_id % 3 <> 0").withColumn("batch", F.lit(1)))
+    wh.append_unique("postings_cleaned", c.withColumn("batch", F.lit(2)))
+    return wh.read("postings_cleaned").select("hash_dedup", "posting_id", "batch", "hash_prefix")
+
+
+# ---- star B in full -----------------------------------------------------------------------
+
+def _star_b(spark, sf):
+    from postwise.plans.warehouse import warehouse_b
+    return warehouse_b(spark, sf)
+
+
+@query("star_b_fact")
+def q_star_b_fact(spark, sf):
+    return _star_b(spark, sf)["fact"].drop("collected_at")
+
+
+@query("star_b_dim_job")
+def q_star_b_dim_job(spark, sf):
+    return _star_b(spark, sf)["dim_job"].select("job_key", "job_title_raw", "job_title_std", "experience_band", "education_band")
+
+
+@query("star_b_dim_company")
+def q_star_b_dim_company(spark, sf):
+    return _star_b(spark, sf)["dim_company"].select("company_key", "company_name", "company_name_std")
+
+
+@query("star_b_dim_time")
+def q_star_b_dim_time(spark, sf):
+    return _star_b(spark, sf)["dim_time"]
+
+
+@query("star_b_incremental")
+def q_star_b_incremental(spark, sf):
+    """Star B of two batches, the second (all postings) after the first (ids not divisible by 3), through its views."""
+    from postwise.operators.star_b import register_views_b
+    c = clean_standard(_raw(spark, sf))
+    one = {n: t.checkpoint(eager=True) for n, t in build_star_b(c.where("posting_id % 3 <> 0")).items()}
+    two = build_star_b(c, existing=one)
+    register_views_b(spark, {**two, "fact": one["fact"].unionByName(two["fact"])})
+    return spark.table("vw_job_demand_by_province").join(
+        spark.sql("""SELECT l.province, count(DISTINCT f.job_key) AS jobs, count(DISTINCT f.company_key) AS companies,
+            max(t.week_of_year) AS last_week FROM dw_job_fact f JOIN dw_job_dim_location l USING (location_key)
+            JOIN dw_job_dim_time t USING (time_key) GROUP BY l.province"""), "province")
+
+
+# ---- unique keys, widths, mergeable distinct counts -----------------------------------------
+
+@query("unique_keys_check")
+def q_unique_keys(spark, sf):
+    """All unique keys of both stars; facts hold every 50th row twice, dim_company every 7th name twice."""
+    from postwise import schemas
+    a, b = dict(warehouse(spark, sf)), _star_b(spark, sf)
+    a["fact"] = a["fact"].unionByName(a["fact"].where("posting_id % 50 = 0"))
+    b["fact"] = b["fact"].unionByName(b["fact"].where("CAST(source_record_id AS BIGINT) % 50 = 0"))
+    again = a["dim_company"].where("company_id % 7 = 0").withColumn("company_id", F.col("company_id") + 1_000_000_000)
+    a["dim_company"] = a["dim_company"].unionByName(again)
+    tables = {n: (t, schemas.UNIQUE[n]) for n, t in a.items() if n in schemas.UNIQUE and n != "fact"}
+    tables["fact"] = (a["fact"], [("posting_id",)])
+    return Q.check_unique_keys(tables | {f"b_{n}": (t, schemas.UNIQUE[f"b_{n}"]) for n, t in b.items()})
+
+
+@query("schema_check")
+def q_schema_check(spark, sf):
+    """Reasons why rows do not fit the declared staging table: every 9th location is too wide, every 11th id null,
+    every 13th date no date."""
+    from postwise import schemas
+    st = warehouse(spark, sf)["staging"].withColumn("_id", F.col("posting_id"))
+    bad = st.withColumns({
+        "location": F.when(F.col("_id") % 9 == 0, F.repeat(F.lit("x"), 101)).otherwise(F.col("location")),
+        "posting_id": F.when(F.col("_id") % 11 != 0, F.col("_id")),
+        "posting_date": F.when(F.col("_id") % 13 == 0, "soon").otherwise(F.col("posting_date").cast("string"))})
+    good, rejected = schemas.split_fitting(bad, "staging")
+    counts = rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("rows"))
+    return counts.unionByName(good.agg(F.count("*").alias("rows")).select(F.lit("fits").alias("reason"), "rows"))
+
+
+@query("companies_rollup")
+def q_companies_rollup(spark, sf):
+    """Distinct companies per industry and year, counted, with whether merged monthly sketches come within 5 %."""
+    w = warehouse(spark, sf)
+    exact = w["fact"].groupBy("industry_id", "posting_year").agg(F.count_distinct("company_id").alias("companies"))
+    est = olap.companies_from_sketches(olap.company_sketches(w["fact"]), ["industry_id", "posting_year"])
+    both = exact.join(est.withColumnRenamed("companies", "_est"), ["industry_id", "posting_year"])
+    return both.withColumn("near", F.abs(F.col("_est") - F.col("companies")) <= F.greatest(0.05 * F.col("companies"), F.lit(1.0))) \
+        .join(w["dim_industry"].select("industry_id", "industry_name"), "industry_id") \
+        .select("industry_name", "posting_year", "companies", "near")

@@ -157,3 +157,19 @@ def trend_mom(w: dict) -> DataFrame:
     prev = F.lag("job_postings").over(win)
     return m.select("industry_name", "year", "month", "job_postings", prev.alias("prev_postings"),
                     (F.col("job_postings") - prev).alias("mom_change"))
+
+
+#: Precision of the stored sketches: relative error about 1.04 / sqrt(2^SKETCH_BITS).
+SKETCH_BITS = 12
+
+
+def company_sketches(fact: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """One sketch of the companies per (industry_id, posting_year, posting_month), to be stored beside the fact.
+    A new batch adds sketches of its own; the fact is not read again."""
+    return fact.groupBy("industry_id", "posting_year", "posting_month").agg(
+        F.hll_sketch_agg("company_id", F.lit(bits)).alias("companies"))
+
+
+def companies_from_sketches(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """Estimated distinct companies per ``by`` (columns of the sketches; none: overall), by merging them."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("companies")).alias("companies"))

@@ -57,7 +57,7 @@ def build_warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_
 
     def one(name: str):
         # merge -> write -> key lookup, per dimension, as concurrent jobs
-        _write(merge_one_a(staging, {}, name, run_ts), f"{root}/{name}")
+        _write(merge_one_a(staging, {}, name, run_ts, rules=rules), f"{root}/{name}")
         dim = spark.read.parquet(f"{root}/{name}")
         return dim, key_lookup(staging, {name: dim}, name)
 
@@ -95,3 +95,20 @@ def warehouse(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_RUN_DA
 def cleaned_standard(spark: SparkSession, sf_dir: str, rules: R.Rules = R.DEFAULT_RULES) -> DataFrame:
     """The standard-profile cleaned postings of the fixture (lazy)."""
     return clean_standard(raw_postings(spark, sf_dir), rules)
+
+
+STAR_B_TABLES = ["dim_time", "dim_company", "dim_job", "dim_industry", "dim_location", "dim_source_agency", "fact"]
+
+
+def warehouse_b(spark: SparkSession, sf_dir: str, run_date: str = R.DEFAULT_RUN_DATE) -> dict[str, DataFrame]:
+    """The star-B tables for ``sf_dir``, written once per application."""
+    from postwise.operators.star_b import build_star_b
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), run_date, "star B")
+    with _LOCK:
+        root = _ROOTS.get(key)
+        if root is None:
+            root = _root(spark, sf_dir, run_date, "star B")
+            for name, df in build_star_b(cleaned_standard(spark, sf_dir), run_ts=f"{run_date} 00:00:00").items():
+                _write(df, f"{root}/{name}")
+            _ROOTS[key] = root
+    return {name: spark.read.parquet(f"{root}/{name}") for name in STAR_B_TABLES}

@@ -194,9 +194,19 @@ class Rules:
     currency_default: str = DEFAULT_CURRENCY
     currency_rates: dict = field(default_factory=lambda: dict(CURRENCY_RATES))
     salary_keywords: dict = field(default_factory=lambda: {k: list(v) for k, v in SALARY_KEYWORDS.items()})
+    company_suffixes: tuple = tuple(COMPANY_SUFFIXES)
+    title_keywords: tuple = tuple(TITLE_KEYWORDS)
+    experience_keywords: tuple = tuple(EXPERIENCE_KEYWORDS)
+    education_default: str = EDUCATION_DEFAULT
+    date_formats: tuple = tuple(DATE_FORMATS)
+    basic_date_formats: tuple = tuple(BASIC_DATE_FORMATS)
     required_fields: tuple = tuple(REQUIRED_FIELDS)
+    date_validation: bool = True
+    salary_validation: bool = True
     min_salary: float = MIN_SALARY
     max_salary: float = MAX_SALARY
+    dedup_enabled: bool = True
+    dedup_fields: tuple = tuple(DEDUP_FIELDS)
     similarity_threshold: float = SIMILARITY_THRESHOLD
     time_window_days: int = TIME_WINDOW_DAYS
     mode: str = "fixed"  # "fixed" (our corrected rules) or "reference"
