@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +48,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextlib.contextmanager
+def rows_at_a_time(spark: SparkSession, n: int):
+    """Within this, actions send ``n`` rows to Python at a time: for rows of some megabytes each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of :func:`materialise` that nothing reads any more."""
     for t in tables:

@@ -1,6 +1,6 @@
 """Collocations: counts of word n-grams from bidirectional FM-indexes.
 
-Texts are cut into pieces and words; a shard is up to SHARD_WORDS words of a task's rows,
+Texts are cut into pieces and words; a shard is about SHARD_BYTES of a task's texts, its words
 numbered by (language, word), with the number 0 between pieces. Its index is the
 Burrows-Wheeler transform of those numbers and that of their reversal. Suffixes are sorted
 by their first ``max_words`` words only, which is all that intervals of up to so many words
@@ -11,10 +11,10 @@ on the right. So a shard gives each of its n-grams once, with its count and the
 times that another word stands before and behind it in its piece; the numbers of all
 shards are summed.
 
-Nothing is pruned by a shard's own counts. An n-gram of three or more words can only be
-frequent if its first and last words but one are, so the next length is enumerated where a
-table of bits (a fixed 2^BITS, 4 MB, whatever the corpus) holds both; bits that collide only
-let more rows through, and sums decide. Words and pairs are enumerated in full.
+Nothing is pruned by a shard's own counts. A longer n-gram can only be frequent if what is
+left without its first word and without its last word are, so the next length is enumerated
+where a table of bits (a fixed 2^BITS, 4 MB, whatever the corpus) holds both; bits that
+collide only let more rows through, and sums decide.
 
 Defined results: a null text counts as empty, a null language as ``und``; repeated rows
 count again; no rows give no phrases; other columns are ignored. Counts are exact.
@@ -22,7 +22,7 @@ count again; no rows give no phrases; other columns are ignored. Counts are exac
 
 from __future__ import annotations
 
-import array
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postwise.llm.common import materialise
+from postwise.llm.common import materialise, rows_at_a_time
 
 MAX_WORDS = 3
 MIN_COUNT = 10
@@ -40,30 +40,19 @@ MIN_COUNT = 10
 SHARE = 50
 TOP = 2000
 NO_LANG = "und"
-#: Words of a shard; its index is built within one task's memory (about 100 bytes a word).
-SHARD_WORDS = 1 << 21
+#: Bytes of a shard's text; its index is built within one task's memory (about 20 times as much).
+SHARD_BYTES = 4_000_000
 BITS = 25
 #: Ends of pieces: . , ; : ! ? and U+000A to U+000D; blanks: space and U+0009; A-Z become a-z.
 ENDS = b".,;:!?\n\x0b\x0c\r"
-CLEAN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + ENDS, b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(ENDS))
+#: Stands for an end of a piece in cleaned bytes; no UTF-8 text holds it.
+END = b"\xff"
+CLEAN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + ENDS, b"abcdefghijklmnopqrstuvwxyz " + END * len(ENDS))
 #: Rows sent to Spark at a time.
 ROWS = 100_000
 
 INDEX = "langs array<string>, lang_words array<long>, words binary, word_lang binary, bwt binary, reversed binary"
-NGRAMS = "lang string, words int, phrase string, n long, before long, behind long, hash long"
-
-
-class Numbers(dict):
-    """Numbers of one language's words, given out when first asked for."""
-
-    def __init__(self, lang: int, words: list[bytes], langs: array.array):
-        self.lang, self.words, self.langs = lang, words, langs
-
-    def __missing__(self, word: bytes) -> int:
-        self.words.append(word)
-        self.langs.append(self.lang)
-        n = self[word] = len(self.words)
-        return n
+NGRAMS = "lang string, phrase string, n long, opens long, closes long"
 
 
 def order(t: np.ndarray, depth: int) -> np.ndarray:
@@ -79,43 +68,72 @@ def order(t: np.ndarray, depth: int) -> np.ndarray:
     return np.lexsort([padded[k:k + len(t)] for k in range(depth - 1, -1, -1)])
 
 
-def build_row(langs: list[str], words: list[bytes], word_lang: array.array, ids: array.array, depth: int) -> dict:
-    t = np.frombuffer(ids, np.uint32)
-    lang_of = np.frombuffer(word_lang, np.uint32)
-    used = np.bincount(t, minlength=len(words) + 1)[1:]
+def tokens(text: bytes) -> pa.DictionaryArray:
+    """The words of cleaned bytes, each end of a piece as a word of its own."""
+    raw = np.frombuffer(b" " + text.replace(END, b" " + END + b" ") + b" ", np.uint8)
+    inside = raw != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    offsets = np.concatenate([[0], np.cumsum(edges[1::2] - edges[::2])]).astype(np.int32)
+    data = raw[inside]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+
+
+def build_row(texts: dict[str, list[bytes]], depth: int) -> dict:
+    """The index of some cleaned texts by language."""
+    words, lang_of, lang_words, ids = [], [], [], [np.zeros(1, np.uint32)]
+    for lang, some in enumerate(texts.values()):
+        found = tokens(END.join(some) + END)
+        names = found.dictionary.to_pylist()
+        # Ends of pieces are 0; the words of this language follow those of the ones before.
+        number = np.zeros(len(names), np.uint32)
+        mine = np.array([w != END for w in names], bool)
+        number[mine] = np.arange(1, mine.sum() + 1) + len(words)
+        t = number[found.indices.to_numpy(zero_copy_only=False)]
+        words += [w for w in names if w != END]
+        lang_of.append(np.full(int(mine.sum()), lang, np.uint32))
+        lang_words.append(int(np.count_nonzero(t)))
+        ids.append(t)
+    t = np.concatenate(ids)
+    t = t[np.concatenate([[True], (t[1:] != 0) | (t[:-1] != 0)])]
     back = t[::-1]
-    return {"langs": langs, "lang_words": np.bincount(lang_of, used, len(langs)).astype(np.int64).tolist(),
-            "words": b"\n".join(words), "word_lang": lang_of.tobytes(),
+    return {"langs": list(texts), "lang_words": lang_words, "words": b"\n".join(words), "word_lang": np.concatenate(lang_of).tobytes(),
             "bwt": t[order(t, depth) - 1].tobytes(), "reversed": back[order(back, depth) - 1].tobytes()}
 
 
-def _shards(depth: int, size: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def fresh():
-        return [], [], array.array("I"), array.array("I", [0]), {}
+def _cuts(text: bytes, size: int) -> Iterator[bytes]:
+    """A long text in parts of about a shard's size, cut where a piece ends (a longer piece stays whole)."""
+    while len(text) > size:
+        at = text.rfind(END, 0, size)
+        at = text.find(END, size) if at < 0 else at
+        if at < 0:
+            break
+        yield text[:at]
+        text = text[at + 1:]
+    yield text
 
-    langs, words, word_lang, ids, by_lang = fresh()
+
+def _shards(depth: int, size: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held: dict[str, list[bytes]] = {}
+    n = 0
     for b in batches:
         for lang, text in zip(b["lang"], b["text"]):
-            for piece in (text or "").encode().translate(CLEAN).split(b"\n"):
-                found = piece.split()
-                if not found:
-                    continue
-                if lang not in by_lang:
-                    by_lang[lang] = Numbers(len(langs), words, word_lang)
-                    langs.append(lang)
-                ids.extend(map(by_lang[lang].__getitem__, found))
-                ids.append(0)
-                if len(ids) > size:
-                    yield pd.DataFrame([build_row(langs, words, word_lang, ids, depth)])
-                    langs, words, word_lang, ids, by_lang = fresh()
-    if words:
-        yield pd.DataFrame([build_row(langs, words, word_lang, ids, depth)])
-
-
-def build_index(docs: DataFrame, max_words: int = MAX_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
+            if not text:
+                continue
+            for part in _cuts(text.encode().translate(CLEAN), size):
+                if n and n + len(part) > size:
+                    yield pd.DataFrame([build_row(held, depth)])
+                    held, n = {}, 0
+                held.setdefault(lang, []).append(part)
+                n += len(part)
+    if held:
+        yield pd.DataFrame([build_row(held, depth)])
+
+
+def build_index(docs: DataFrame, max_words: int = MAX_WORDS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The indexes of (lang, text), a row per shard, written to the shared folder."""
     d = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text")
-    return materialise(d.mapInPandas(lambda x: _shards(max_words, shard_words, x), INDEX), "phrases")
+    with rows_at_a_time(docs.sparkSession, 1000):
+        return materialise(d.mapInPandas(lambda x: _shards(max_words, shard_bytes, x), INDEX), "phrases")
 
 
 class Intervals:
@@ -132,26 +150,30 @@ class Shard:
 
     def __init__(self, row: dict):
         self.langs = row["langs"]
-        self.words = row["words"].split(b"\n")
+        self.words = row["words"].split(b"\n") if row["word_lang"] else []
         self.word_lang = np.frombuffer(row["word_lang"], np.uint32)
         self.bwt = np.frombuffer(row["bwt"], np.uint32)
         counts = np.bincount(self.bwt, minlength=len(self.words) + 1)
         self.begin = np.concatenate([[0], np.cumsum(counts)])
         self.symbol = np.repeat(np.arange(len(counts), dtype=np.uint32), counts)
-        #: The row whose backward step leads to each row.
-        self.source = np.argsort(self.bwt, kind="stable")
-        self.before = self._nonzero(self.bwt)
-        self.behind = self._nonzero(np.frombuffer(row["reversed"], np.uint32))
+        #: How many ends of pieces stand before the rows up to each one, in both indexes.
+        self.opens = self._ends(self.bwt)
+        self.closes = self._ends(np.frombuffer(row["reversed"], np.uint32))
 
     @staticmethod
-    def _nonzero(symbols: np.ndarray) -> np.ndarray:
-        return np.concatenate([[0], np.cumsum(symbols != 0)])
+    def _ends(symbols: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(symbols == 0, dtype=np.int32)])
+
+    @functools.cached_property
+    def source(self) -> np.ndarray:
+        """The row whose backward step leads to each row."""
+        return np.argsort(self.bwt, kind="stable").astype(np.int32)
 
     def single(self) -> Intervals:
         """The intervals of single words: number w - 1 for word w."""
         low = self.begin[1:-1]
         n = np.arange(len(self.words))
-        return Intervals(low, np.diff(self.begin)[1:], low.copy(), n + 1, n, n, self.symbol.astype(np.int64) - 1)
+        return Intervals(low, np.diff(self.begin)[1:], low.copy(), n + 1, n, n, self.symbol.astype(np.int32) - 1)
 
     def extend(self, p: Intervals) -> Intervals:
         """All n-grams one word longer: each interval's step back over every word before it."""
@@ -160,7 +182,7 @@ class Shard:
         new = valid.copy()
         new[1:] &= (rest[1:] != rest[:-1]) | (self.symbol[1:] != self.symbol[:-1])
         low = np.flatnonzero(new)
-        label = np.where(valid, np.cumsum(new) - 1, -1)
+        label = np.where(valid, np.cumsum(new, dtype=np.int32) - 1, np.int32(-1))
         size = np.bincount(label[valid], minlength=len(low))
         first, rest = self.symbol[low].astype(np.int64), rest[low]
         # In the reversed index an interval's rows are sorted by the word before it, ends of pieces first.
@@ -170,7 +192,7 @@ class Shard:
         opens[1:] = rest[by][1:] != rest[by][:-1]
         shift = np.empty(len(by), np.int64)
         shift[by] = upto - upto[opens][np.cumsum(opens) - 1] if len(by) else upto
-        ends = p.size - (self.before[p.low + p.size] - self.before[p.low])
+        ends = self.opens[p.low + p.size] - self.opens[p.low]
         return Intervals(low, size, p.low_back[rest] + ends[rest] + shift, first, rest, p.label[low], label)
 
     def count(self, lang: str, phrase: str) -> int:
@@ -189,71 +211,74 @@ class Shard:
         return high - low
 
     def hashes(self) -> np.ndarray:
+        """:func:`phrase_hash` of the words."""
         import xxhash
-        names = [x.encode() + b"\n" for x in self.langs]
-        return np.fromiter((xxhash.xxh64_intdigest(names[k] + w) for k, w in zip(self.word_lang.tolist(), self.words)),
+        seeds = [xxhash.xxh64_intdigest(x.encode(), 42) for x in self.langs]
+        return np.fromiter((xxhash.xxh64_intdigest(w, seeds[k]) for k, w in zip(self.word_lang.tolist(), self.words)),
                            np.uint64, len(self.words))
 
 
 def longer_hash(word: np.ndarray, rest: np.ndarray) -> np.ndarray:
-    """Hash of n-grams from that of the first word and that of the words behind it."""
-    x = word * np.uint64(0x9E3779B97F4A7C15) + rest
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
+    """Hashes of n-grams from those of the first word and of the words behind it."""
+    return word ^ ((rest << np.uint64(23)) | (rest >> np.uint64(41)))
+
+
+def phrase_hash(lang: str = "lang", phrase: str = "phrase") -> Column:
+    """The same hash in Spark."""
+    def turned(x):
+        return F.shiftleft(x, 23).bitwiseOR(F.shiftrightunsigned(x, 41))
+    words = F.reverse(F.split(phrase, " "))
+    return F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: F.xxhash64(F.col(lang), w).bitwiseXOR(turned(acc)))
 
 
-def _ngrams(first_length: int, last_length: int, bits: np.ndarray | None,
-            batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The n-grams of first_length to last_length words; with ``bits``, those of last_length only whose
-    two parts one word shorter have their bits set."""
+def _ngrams(length: int, bits: np.ndarray | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The n-grams of ``length`` words whose two parts one word shorter have their bits set."""
     for b in batches:
         for k in range(b.num_rows):
-            yield from _shard_ngrams(Shard(b.slice(k, 1).to_pylist()[0]), first_length, last_length, bits)
+            yield from _shard_ngrams(Shard(b.slice(k, 1).to_pylist()[0]), length, bits)
+            pa.default_memory_pool().release_unused()
 
 
-def _shard_ngrams(shard: Shard, first_length: int, last_length: int, bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _shard_ngrams(shard: Shard, length: int, bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     names = pa.array(shard.langs, pa.string())
     words = pa.array(shard.words, pa.binary()).cast(pa.string())
-    word_hash = shard.hashes()
-    p, phrases, hashes = shard.single(), words, word_hash
-    for length in range(1, last_length + 1):
+    p, phrases = shard.single(), words
+    keep = np.arange(len(p.size))
+    hashes = word_hash = shard.hashes() if length > 1 else None
+    for n in range(2, length + 1):
+        p = shard.extend(p)
         keep = np.arange(len(p.size))
-        if length > 1:
-            p = shard.extend(p)
-            keep = np.arange(len(p.size))
-            if bits is not None and length == last_length:
-                at = hashes >> np.uint64(64 - BITS)
-                frequent = (bits[(at >> np.uint64(3)).astype(np.intp)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                keep = np.flatnonzero(frequent[p.rest] & frequent[p.front])
-            phrases = pc.binary_join_element_wise(words.take(pa.array(p.first[keep] - 1)), phrases.take(pa.array(p.rest[keep])), " ")
-            hashes = longer_hash(word_hash[p.first[keep] - 1], hashes[p.rest[keep]])
-        if length < first_length:
-            continue
-        low, size, back = p.low[keep], p.size[keep], p.low_back[keep]
-        columns = [names.take(pa.array(shard.word_lang[p.first[keep] - 1])), pa.array(np.full(len(keep), length, np.int32)),
-                   phrases, pa.array(size.astype(np.int64)), pa.array(shard.before[low + size] - shard.before[low]),
-                   pa.array(shard.behind[back + size] - shard.behind[back]), pa.array(hashes.view(np.int64))]
-        out = pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "n", "before", "behind", "hash"])
-        for at in range(0, out.num_rows, ROWS):
-            yield out.slice(at, ROWS)
-
-
-def _summed(index: DataFrame, first: int, last: int, bits: np.ndarray | None, min_count: int) -> DataFrame:
-    rows = index.mapInArrow(lambda x: _ngrams(first, last, bits, x), NGRAMS)
-    total = rows.groupBy("lang", "words", "phrase").agg(
-        F.sum("n").alias("n"), F.sum("before").alias("before"), F.sum("behind").alias("behind"), F.first("hash").alias("hash"))
-    return materialise(total.filter(F.col("n") >= min_count), f"phrases{last}")
+        if n == length:
+            at = hashes >> np.uint64(64 - BITS)
+            frequent = (bits[(at >> np.uint64(3)).astype(np.intp)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            keep = np.flatnonzero(frequent[p.rest] & frequent[p.front])
+        phrases = pc.binary_join_element_wise(words.take(pa.array(p.first[keep] - 1)), phrases.take(pa.array(p.rest[keep])), " ")
+        hashes = longer_hash(word_hash[p.first[keep] - 1], hashes[p.rest[keep]])
+    low, size, back = p.low[keep], p.size[keep], p.low_back[keep]
+    columns = [names.take(pa.array(shard.word_lang[p.first[keep] - 1])), phrases, pa.array(size.astype(np.int64)),
+               pa.array((shard.opens[low + size] - shard.opens[low]).astype(np.int64)),
+               pa.array((shard.closes[back + size] - shard.closes[back]).astype(np.int64))]
+    out = pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n", "opens", "closes"])
+    for at in range(0, out.num_rows, ROWS):
+        yield out.slice(at, ROWS)
+
+
+def _summed(index: DataFrame, length: int, bits: np.ndarray | None, min_count: int) -> DataFrame:
+    rows = index.mapInArrow(lambda x: _ngrams(length, bits, x), NGRAMS)
+    # A shard gives an n-gram once, so it is summed up before it is sent; a map-side aggregate would hold them all again.
+    total = rows.repartition("lang", "phrase").groupBy("lang", "phrase").agg(*[F.sum(c).alias(c) for c in ("n", "opens", "closes")])
+    with rows_at_a_time(index.sparkSession, 1):
+        return materialise(total.filter(F.col("n") >= min_count), f"phrases{length}")
 
 
 def _bits(frequent: DataFrame) -> np.ndarray:
     """A table of 2^BITS bits with those of the n-grams' hashes set (at most 2^BITS / 64 rows reach the driver)."""
-    at = F.shiftrightunsigned("hash", 64 - BITS)
-    rows = frequent.groupBy(F.shiftright(at, 6).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(hash, {64 - BITS}) & 63 AS INT))")).alias("bits"))
+    at = frequent.select(F.shiftrightunsigned(phrase_hash(), 64 - BITS).alias("at"))
+    rows = at.groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("bits"))
     out = np.zeros((1 << BITS) // 64, "<i8")
     t = rows.toPandas()
-    out[t["at"].to_numpy(np.int64)] = t["bits"].to_numpy(np.int64)
+    out[t["word"].to_numpy(np.int64)] = t["bits"].to_numpy(np.int64)
     return out.view(np.uint8)
 
 
@@ -263,12 +288,13 @@ def ngrams(index: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_CO
 
     max_words may not be above that of the index.
     """
-    last = _summed(index, 1, min(2, max_words), None, min_count)
-    out = last
-    for length in range(3, max_words + 1):
-        last = _summed(index, length, length, _bits(last.filter(F.col("words") == length - 1)), min_count)
-        out = out.unionByName(last)
-    return out.drop("hash")
+    out = last = None
+    for length in range(1, max_words + 1):
+        last = _summed(index, length, None if last is None else _bits(last), min_count)
+        rows = last.select("lang", F.lit(length).alias("words"), "phrase", "n", (F.col("n") - F.col("opens")).alias("before"),
+                           (F.col("n") - F.col("closes")).alias("behind"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def word_totals(index: DataFrame) -> DataFrame:
