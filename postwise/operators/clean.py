@@ -55,12 +55,10 @@ def map_values_table(df: DataFrame, column: str, table: DataFrame, limit: int =
     rules = table.where(F.col("from").isNotNull() & F.col("to").isNotNull()).groupBy(F.col("from").alias("_from")).agg(
         F.min("to").alias("_to"))
     size = rules.agg(F.sum(F.octet_length("_from") + F.octet_length("_to") + 32)).first()[0] or 0
-    if size <= limit:
-        joined = df.join(F.broadcast(rules), df[column] == F.col("_from"), "left")
-    else:
-        found = df.select(F.col(column).alias("_from")).distinct().join(rules, "_from")
-        joined = df.join(found, df[column] == F.col("_from"), "left")
-    return joined.select(*[F.coalesce("_to", F.col(c)).alias(c) if c == column else df[c] for c in names])
+    if size > limit:
+        rules = df.select(F.col(column).alias("_from")).distinct().join(rules, "_from")
+    joined = df.join(F.broadcast(rules) if size <= limit else rules, df[column] == rules["_from"], "left")
+    return joined.select(*[F.coalesce(rules["_to"], df[c]).alias(c) if c == column else df[c] for c in names])
 
 
 #: Fields of the record hash of a standard-profile row.

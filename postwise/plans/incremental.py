@@ -111,13 +111,13 @@ class Warehouse:
         self.delete(f"_{name}.parts.old")
 
     def _leaves(self, rel: str) -> list[str]:
-        """The partition folders below a folder, by their names from there on."""
+        """The partition folders below a folder that hold files, by their names from there on."""
         out, below = [], [""]
         while below:
             at = below.pop()
-            dirs = [d for d in self.list_dirs(f"{rel}/{at}".rstrip("/")) if "=" in d]
-            below += [f"{at}/{d}".lstrip("/") for d in dirs]
-            if at and not dirs:
+            inside = self._fs.listStatus(self._Path(self.path(f"{rel}/{at}".rstrip("/"))))
+            below += [f"{at}/{st.getPath().getName()}".lstrip("/") for st in inside if st.isDirectory() and "=" in st.getPath().getName()]
+            if at and any(st.isFile() for st in inside):
                 out.append(at)
         return out
 
