@@ -391,3 +391,19 @@ UNION ALL SELECT 'posting_date: not a date', count(*) FROM staging WHERE posting
 UNION ALL SELECT 'fits', count(*) FROM staging WHERE posting_id % 9 <> 0 AND posting_id % 11 <> 0 AND posting_id % 13 <> 0"""
 ORACLE["companies_rollup"] = A + f"""SELECT industry_name, {_I.format('year(posting_date)')} AS posting_year,
   count(DISTINCT company_id) AS companies, true AS near FROM fact JOIN dim_industry USING (industry_id) GROUP BY 1, 2"""
+
+# ---- planted defects, appends, enrichment ----------------------------------------------------
+
+ORACLE["reference_defects"] = A + """SELECT 'company' AS dimension, count(*) FILTER (WHERE company_id % 10 = 3) AS missing FROM fact
+UNION ALL SELECT 'job', 0 UNION ALL SELECT 'location', count(*) FILTER (WHERE location_id = 1) FROM fact
+UNION ALL SELECT 'time', count(*) FILTER (WHERE time_id <= 40) FROM fact"""
+_SIX = "time_id, company_id, job_id, industry_id, location_id, source_id"
+ORACLE["fact_append"] = A.rstrip("\n") + f""",
+one AS (SELECT {_SIX}, count(*) AS n FROM fact WHERE posting_id % 2 = 1 GROUP BY ALL),
+two AS (SELECT {_SIX}, count(*) AS n FROM fact GROUP BY ALL),
+new AS (SELECT * FROM two ANTI JOIN one USING ({_SIX}))
+SELECT CAST(1 AS INTEGER) AS load_seq, count(*) AS rows, count(*) AS keys, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS conflicts FROM one
+UNION ALL SELECT 2, (SELECT count(*) FROM new), (SELECT count(*) FROM new),
+  CAST((SELECT coalesce(sum(n), 0) FROM two SEMI JOIN one USING ({_SIX})) + (SELECT coalesce(sum(n) FILTER (WHERE n > 1), 0) FROM new) AS BIGINT)"""
+ORACLE["enrich_dimension"] = A + f"""SELECT company_id, company_name, sector FROM dim_company d
+LEFT JOIN (SELECT {O.mk('c_name')} AS k, arg_min(c_mktsegment, c_name) AS sector FROM customer GROUP BY 1) c ON c.k = {O.mk('d.company_name')}"""

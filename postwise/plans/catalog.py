@@ -509,3 +509,37 @@ def q_companies_rollup(spark, sf):
     return both.withColumn("near", F.abs(F.col("_est") - F.col("companies")) <= F.greatest(0.05 * F.col("companies"), F.lit(1.0))) \
         .join(w["dim_industry"].select("industry_id", "industry_name"), "industry_id") \
         .select("industry_name", "posting_year", "companies", "near")
+
+
+# ---- planted defects, appends, enrichment ----------------------------------------------------
+
+@query("reference_defects")
+def q_reference_defects(spark, sf):
+    """The reference check against dimensions that lack members."""
+    w = warehouse(spark, sf)
+    dims = {"company": (w["dim_company"].where("company_id % 10 <> 3"), "company_id"), "job": (w["dim_job"], "job_id"),
+            "location": (w["dim_location"].where("location_id <> 1"), "location_id"), "time": (w["dim_time"].where("time_id > 40"), "time_id")}
+    return Q.check_references(w["fact"], dims)
+
+
+@query("fact_append")
+def q_fact_append(spark, sf):
+    """Two batches appended, the second (all rows) after the first (odd ids): conflicts told and rows kept."""
+    from postwise.operators.fact import FACT_KEYS
+    from postwise.plans.incremental import load_fact
+    wh, fact = _scratch_warehouse(spark, "append"), warehouse(spark, sf)["fact"]
+    told = [load_fact(wh, fact.where(c).withColumn("load_seq", F.lit(n)), mode="append")
+            for n, c in enumerate(["posting_id % 2 = 1", "posting_id >= 0"], 1)]
+    kept = wh.read("fact")
+    rows = kept.groupBy("load_seq").agg(F.count("*").alias("rows"), F.count_distinct(*FACT_KEYS).alias("keys"))
+    conflicts = F.when(F.col("load_seq") == 1, told[0]).otherwise(told[1]).cast("long")
+    return rows.withColumn("conflicts", conflicts)
+
+
+@query("enrich_dimension")
+def q_enrich_dimension(spark, sf):
+    """Companies with the segment of the customer of that name, where the name is spelt as in the customer table."""
+    from postwise.operators.dimensions import enrich_dimension
+    from postwise.sources.tables import read_table
+    c = read_table(spark, sf, "customer").select(F.col("c_name").alias("company_name"), F.col("c_mktsegment").alias("sector"))
+    return enrich_dimension(warehouse(spark, sf)["dim_company"].select("company_id", "company_name"), c, "company_name")
