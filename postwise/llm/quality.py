@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postwise.llm.common import BLANKS, with_row_id, words
+from postwise.llm.common import BLANKS, materialise, with_row_id, words
 
 BUCKETS = 1 << 18
 PRIOR = 20.0
@@ -111,6 +111,7 @@ def llr_model(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS
     d = d.select("w", "s", "g", F.explode(F.expr(PLACES)).alias("i"))
     c = d.select("g", F.explode(F.array(*map(F.expr, GRAMS))).alias("bucket")).filter("bucket IS NOT NULL") \
         .groupBy("bucket").agg(F.count("*").alias("r"), F.sum("g").alias("t"))
+    c = materialise(c, "grams")  # read for the totals and for the ratios
     totals = c.agg(F.sum("r").alias("r"), F.sum("t").alias("t")).first()
     if not totals["t"]:
         return c.select("bucket", F.lit(0.0).alias("llr"))
@@ -119,11 +120,16 @@ def llr_model(docs: DataFrame, labels: DataFrame, target_rows: int = TARGET_ROWS
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
-                  target_rows: int = TARGET_ROWS) -> DataFrame:
-    """One row per document: _rid (the input's, or a number per row), doc_id, the base columns, score, kept."""
+                  target_rows: int = TARGET_ROWS, row: str | None = None) -> DataFrame:
+    """One row per document: _rid, doc_id, the base columns, score, kept.
+
+    _rid is a number given to each row, or the values of the column ``row``, whose equal
+    values must stand for rows of equal id and text. Any other column of the input is
+    ignored, whatever its name.
+    """
     model = F.broadcast(llr_model(docs, labels, target_rows))
-    d = docs if "_rid" in docs.columns else with_row_id(docs)
-    d = base_features(d.select("_rid", "doc_id", "text"))
+    d = with_row_id(docs.select("doc_id", "text")) if row is None else docs.select(F.col(row).alias("_rid"), "doc_id", "text")
+    d = base_features(d)
     meta = ["_rid", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     d = d.withColumn("s", shapes(F.col("text"))).select(
         *meta, "w", "s", F.explode_outer(F.expr(PLACES)).alias("i"))
@@ -148,6 +154,6 @@ def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     """
     digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     flat = docs.select(digest.alias("_rid"), "doc_id", "text")
-    good = quality_rules(flat, labels, threshold).filter("kept").select(F.col("_rid").alias("_digest")).distinct()
+    good = quality_rules(flat, labels, threshold, row="_rid").filter("kept").select(F.col("_rid").alias("_digest")).distinct()
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), digest.alias("_digest"))
     return rows.join(good, "_digest", "left_semi").select("_row.*")
