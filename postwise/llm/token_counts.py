@@ -49,6 +49,25 @@ class TokenTree:
             self.sums[level // 2:level] = self.sums[level:2 * level].reshape(-1, 2, 2).sum(axis=1)
             level //= 2
 
+    @classmethod
+    def from_leaves(cls, text: str, chars: np.ndarray, tokens: np.ndarray, counts, pattern) -> "TokenTree":
+        """The tree of a text whose leaf sums were kept: nothing is cut or counted."""
+        t = cls.__new__(cls)
+        t.text, t.counts, t.pattern, t.counted = text, counts, pattern, 0
+        t.size = 1 << (max(1, len(chars)) - 1).bit_length()
+        t.sums = np.zeros((2 * t.size, 2), np.int64)
+        t.sums[t.size:t.size + len(chars), 0], t.sums[t.size:t.size + len(chars), 1] = chars, tokens
+        level = t.size
+        while level > 1:
+            t.sums[level // 2:level] = t.sums[level:2 * level].reshape(-1, 2, 2).sum(axis=1)
+            level //= 2
+        return t
+
+    def leaves(self) -> np.ndarray:
+        """(characters, tokens) of the leaves that have any."""
+        leaf = self.sums[self.size:]
+        return leaf[leaf[:, 0] > 0]
+
     @property
     def tokens(self) -> int:
         return int(self.sums[1, 1])
@@ -132,6 +151,43 @@ def count_with_edits(docs: DataFrame, ranks_path: str | None = None) -> DataFram
                                      "edited_tokens long, n_pretokens long, n_recounted long")
 
 
+#: Columns of kept trees.
+TREES = "doc_id long, text string, n_tokens long, leaf_chars array<long>, leaf_tokens array<long>, n_recounted long"
+
+
+def _trees(ranks_path: str, kept: bool, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counts, pattern = counter(ranks_path)
+    for b in batches:
+        rows = []
+        for k in range(len(b)):
+            text = b["text"].iloc[k] or ""
+            if kept:
+                tree = TokenTree.from_leaves(text, b["leaf_chars"].iloc[k], b["leaf_tokens"].iloc[k], counts, pattern)
+                edits = b["edits"].iloc[k]
+                anew = sum(tree.edit(int(e["start"]), int(e["stop"]), e["new"] or "") for e in (edits if edits is not None else ()))
+            else:
+                tree = TokenTree(text, counts, pattern)
+                anew = tree.counted
+            leaf = tree.leaves()
+            rows.append((b["doc_id"].iloc[k], tree.text, tree.tokens, leaf[:, 0], leaf[:, 1], anew))
+        yield pd.DataFrame(rows, columns=["doc_id", "text", "n_tokens", "leaf_chars", "leaf_tokens", "n_recounted"]) \
+            .astype({"doc_id": "Int64"})
+
+
+def token_trees(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
+    """The tree of each (doc_id, text), to be kept: its text, token count and leaf sums (TREES)."""
+    path = ranks_path or tokenizer_path(RANKS)
+    return docs.select("doc_id", "text").mapInPandas(lambda x: _trees(path, False, x), TREES)
+
+
+def edit_trees(trees: DataFrame, ranks_path: str | None = None) -> DataFrame:
+    """Kept trees after a batch of ``edits`` (as for :func:`count_with_edits`), to be kept again: a text is not
+    counted anew, whatever number of batches it has been through, but for the regions touched by this one."""
+    path = ranks_path or tokenizer_path(RANKS)
+    return trees.select("doc_id", "text", "leaf_chars", "leaf_tokens", "edits").mapInPandas(
+        lambda x: _trees(path, True, x), TREES)
+
+
 def sample_edits(text: Column) -> Column:
     """Three edits of a text: a word put in at one third, its first 40 characters copied
     behind the middle, and 25 characters removed before the end of the last fifth."""

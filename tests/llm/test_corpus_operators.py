@@ -16,6 +16,26 @@ from postwise.llm import phrases, token_files, tokens
 from postwise.llm.common import rows_at_a_time
 from postwise.session import scratch_path
 
+# ---- 1 kept trees --------------------------------------------------------------------------
+
+def test_kept_trees_equal_counting_anew(spark):
+    """Three batches of edits on stored trees: the counts of the texts as they then are, little of them counted."""
+    from postwise.llm import token_counts
+    counts, _ = tokens.counter(tokens.tokenizer_path(tokens.RANKS))
+    rows = [(1, "Some words, and don't stop. " * 400), (2, ""), (None, None), (3, "x"), (3, "x"), (4, "é \n\n  a" * 100)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n_tokens int").repartition(2)
+    path = scratch_path(spark, "test-trees", str(random.random()))
+    token_counts.token_trees(df).write.parquet(path + "/0")
+    for batch in range(3):
+        kept = spark.read.parquet(f"{path}/{batch}")
+        edited = token_counts.edit_trees(kept.withColumn("edits", token_counts.sample_edits(F.col("text"))))
+        edited.write.parquet(f"{path}/{batch + 1}")
+        got = spark.read.parquet(f"{path}/{batch + 1}").collect()
+        assert len(got) == len(rows) and all(r.n_tokens == len(counts.encoding.encode_ordinary(r.text)) for r in got)
+        assert all(sum(r.leaf_chars) == len(r.text) and sum(r.leaf_tokens) == r.n_tokens for r in got)
+        assert next(r for r in got if r.doc_id == 1).n_recounted < 1000 < next(r for r in got if r.doc_id == 1).n_tokens
+
+
 # ---- 11 token files ------------------------------------------------------------------------
 
 
