@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postwise.llm.common import materialise, with_row_id
-from postwise.llm.tokens import TOKENIZER, encode, tokenizer_path
+from postwise.llm.tokens import RANKS, TOKENIZER, encode_whole, id_type, tokenizer_path
 
 SIZE = 2048
 END_ID = 1
@@ -84,17 +84,16 @@ def hilbert(cell: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def _tokenised(path: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _tokenised(path: str, ranks: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     r = projection()
+    dtype = id_type(path)
     for b in batches:
         for at in range(0, len(b), 256):
             part = b.iloc[at:at + 256]
-            ids, dtype = encode(list(part["text"]), path)
-            end = np.array([END_ID], dtype).tobytes()
-            ids = [x + end for x in ids]
-            points = np.array([hashed_vector(np.frombuffer(x, dtype)) for x in ids]) @ r
-            yield pd.DataFrame({"rid": part["rid"], "doc_id": part["doc_id"].astype("Int64"), "ids": ids,
-                                "n": [len(x) // np.dtype(dtype).itemsize for x in ids], "key": hilbert(cells(points))})
+            ids = [np.array([*x, END_ID], dtype) for x in encode_whole(list(part["text"]), path, ranks)]
+            points = np.array([hashed_vector(x) for x in ids]) @ r
+            yield pd.DataFrame({"rid": part["rid"], "doc_id": part["doc_id"].astype("Int64"), "ids": [x.tobytes() for x in ids],
+                                "n": [len(x) for x in ids], "key": hilbert(cells(points))})
 
 
 def _pieces(size: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,13 +114,13 @@ def _pieces(size: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
                 .astype({"doc_id": "Int64"})
 
 
-def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, ranks: str | None = None) -> DataFrame:
     """Pieces of documents: doc_id, start, length, ids (little-endian 32-bit), doc_tokens,
     sequence_id, offset."""
-    path = tokenizer or tokenizer_path(TOKENIZER)
+    path, by_rank = tokenizer or tokenizer_path(TOKENIZER), ranks or tokenizer_path(RANKS)
     spark = docs.sparkSession
     d = with_row_id(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "rid")
-    tokens = materialise(d.mapInPandas(lambda x: _tokenised(path, x),
+    tokens = materialise(d.mapInPandas(lambda x: _tokenised(path, by_rank, x),
                                        "rid long, doc_id long, ids binary, n long, key long"), "tokens")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = materialise(tokens.select("rid", "key", "n").repartitionByRange(parts, "key", "rid")

@@ -122,6 +122,11 @@ def _whole(path: str, ranks_path: str):
     return state["whole", path, ranks_path]
 
 
+def id_type(path: str) -> str:
+    """The smallest numpy type that holds the tokenizer's ids."""
+    return _load(path)[2]
+
+
 def encode_whole(texts: list[str | None], path: str, ranks_path: str) -> list[list[int]]:
     """The ids of each text, as ``Tokenizer.encode(text, add_special_tokens=False).ids`` has them.
 
