@@ -90,10 +90,11 @@ ENTROPY = 0.95
 
 @query("op4_mixing")
 def op4(spark, sf):
-    from postwise.llm.mixing import copies
+    from postwise.llm.mixing import copies, places
     d = copies(documents(spark, sf), target_entropy=ENTROPY, budget_share=1.0)
     return d.select("_row.doc_id", F.col("_source").alias("source"), F.col("tokens").alias("n_tokens"),
-                    F.col("weight").alias("source_weight"), "alpha", "copies")
+                    F.col("weight").alias("source_weight"), "alpha", "copies",
+                    F.array_join(F.transform(places(), lambda p: F.concat_ws(":", p["block"], p["order"])), ",").alias("places"))
 
 
 @query("op8_packing")

@@ -151,13 +151,20 @@ def copies(docs: DataFrame, target_entropy: float | None = None, max_repeats: fl
                     order_key(0).alias("_key"), n_tokens().alias("tokens"))
     return d.join(plan, "_source").withColumn(
         "copies", F.col("blocks") + (F.col("_key") <= F.col("cut")).cast("bigint")) \
-        .select("_row", "_source", "tokens", "weight", "alpha", "copies")
+        .select("_row", "_source", "tokens", "weight", "alpha", "copies", "blocks")
+
+
+def places() -> Column:
+    """Array of (block, order) of a row of :func:`copies`, one for each time that it is read: block from 0, order its
+    place in the block's permutation. Whole block b has permutation b + 1; the last, partial block has permutation 0, the
+    one that its cut was taken from."""
+    def place(b):
+        permutation = F.when(b < F.col("blocks"), b + 1).otherwise(F.lit(0)).cast("bigint")
+        order = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), permutation, F.col("_source"), F.col("_row.doc_id")), 1)
+        return F.struct(b.cast("bigint").alias("block"), order.alias("order"))
+    return F.transform(F.expr("CASE WHEN copies > 0 THEN sequence(0L, copies - 1) ELSE array() END"), place)
 
 
 def schedule(mixed: DataFrame) -> DataFrame:
-    """The rows of :func:`copies`, one for each copy: with block (from 0) and order (its place in the
-    block's permutation; the last, partial block has permutation 0)."""
-    d = mixed.select("*", F.explode(F.expr("CASE WHEN copies > 0 THEN sequence(1L, copies) END")).alias("_n"))
-    block = F.when(F.col("_n") == F.col("copies"), 0).otherwise(F.col("_n"))
-    return d.withColumn("block", F.col("_n") - 1).withColumn("order", F.shiftrightunsigned(F.xxhash64(
-        F.lit(SEED), block.cast("bigint"), F.col("_source"), F.col("_row.doc_id")), 1)).drop("_n")
+    """The rows of :func:`copies`, one for each copy, with block and order (:func:`places`)."""
+    return mixed.select("*", F.explode(places()).alias("_p")).select(*mixed.columns, "_p.block", "_p.order")

@@ -173,9 +173,40 @@ def test_mixing_weights_and_budget(spark, docs, none):
     assert m.count() == len(texts()) and m.select("_row.*").columns == docs.columns
     s = mixing.schedule(m)
     assert s.count() == sum(x.copies for x in m.collect())
+    assert s.columns == [*m.columns, "block", "order"]
     assert mixing.copies(none, max_repeats=2.0).count() == 0
 
 
+def test_mixing_blocks_are_permutations(spark):
+    """Every whole block reads each document of its source once, in the order of one hash; the partial one reads those
+    that come first in the permutation that its cut was taken from."""
+    from postwise.llm.mixing import SEED
+    df = spark.createDataFrame([(i, "w " * (1 + i % 3), f"s{i % 3}" if i % 7 else "s0") for i in range(300)],
+                               "doc_id long, text string, source string")
+    m = mixing.copies(df, target_entropy=1.0, budget_share=2.5)
+    rows = mixing.schedule(m).select("_row.doc_id", "_source", "blocks", "block", "order").collect()
+    ids = df.groupBy("source").agg(F.collect_list("doc_id").alias("ids")).collect()
+
+    def order(permutation):
+        key = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.lit(permutation).cast("long"), "source", "doc_id"), 1)
+        return {r.doc_id: r.k for r in df.select("doc_id", key.alias("k")).collect()}
+
+    partial = 0
+    for source, mine in ((r.source, sorted(r.ids)) for r in ids):
+        of = [r for r in rows if r._source == source]
+        blocks = of[0].blocks
+        for b in range(max(r.block for r in of) + 1):
+            got = {r.doc_id: r.order for r in of if r.block == b}
+            assert len(got) == sum(r.block == b for r in of)
+            if b < blocks:
+                assert got == {i: k for i, k in order(b + 1).items() if i in mine}
+            else:
+                first = sorted(mine, key=order(0).__getitem__)
+                assert sorted(got, key=got.__getitem__) == first[:len(got)] and 0 < len(got) < len(mine)
+                partial += 1
+    assert partial >= 2
+
+
 # ---- 5 extraction ----------------------------------------------------------------------
 
 def page(body, title="t"):
@@ -248,7 +279,7 @@ def test_line_dedup(spark, docs, none):
 def test_quality_base_features(docs, none, spark):
     labels = spark.createDataFrame([(1, 1, 0), (4, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     got = sorted((r.doc_id or -1, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
-                 for r in quality.quality_rules(docs.drop("_rid"), labels).collect())
+                 for r in quality.quality_rules(docs, labels).collect())
     want = []
     for i, t, _ in texts():
         ws = WORD.findall(t or "")
@@ -264,7 +295,7 @@ def test_quality_base_features(docs, none, spark):
     kept = quality.kept_documents(docs, labels)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} <= {1, 2, 3, 4, 9, None, 11}
     assert quality.kept_documents(none, labels).count() == 0
-    assert quality.quality_rules(docs.drop("_rid"), labels.filter("doc_id = 77")).count() == len(texts())
+    assert quality.quality_rules(docs, labels.filter("doc_id = 77")).count() == len(texts())
 
 
 def test_quality_verdict_on_labels(spark):
