@@ -20,6 +20,7 @@ from postwise.functions import text as T
 from postwise.operators.clean import clean_basic, clean_standard, map_column, record_hash
 from postwise.plans import olap
 from postwise.plans.warehouse import warehouse
+from postwise.session import written
 from postwise.sources.fixture import raw_postings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -421,7 +422,7 @@ def q_load_screened(spark, sf):
 def q_cleaned_table(spark, sf):
     """The cleaned table after two batches, the second (all postings) after the first (ids not divisible by 3)."""
     wh = _scratch_warehouse(spark, "cleaned")
-    c = clean_standard(_raw(spark, sf))
+    c = written(clean_standard(_raw(spark, sf)), "cleaned")
     wh.append_unique("postings_cleaned", c.where("posting_id % 3 <> 0").withColumn("batch", F.lit(1)))
     wh.append_unique("postings_cleaned", c.withColumn("batch", F.lit(2)))
     return wh.read("postings_cleaned").select("hash_dedup", "posting_id", "batch", "hash_prefix")

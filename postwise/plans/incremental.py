@@ -41,7 +41,7 @@ from postwise.operators.dimensions import STAR_A, merge_one_a
 from postwise.operators.fact import FACT_KEYS, append_conflicts, build_fact, key_lookup, upsert_fact
 from postwise.operators.quality import staging_checks
 from postwise.plans import olap
-from postwise.session import ensure_checkpoint_dir
+from postwise.session import ensure_checkpoint_dir, written
 
 
 #: Says that a folder was written whole.
@@ -163,11 +163,12 @@ class Warehouse:
         The table is partitioned by the key's first PREFIX characters; only the partitions that the new keys
         fall into are read. Rows without a key are left out.
         """
-        rows = rows.where(F.col(key).isNotNull())
+        # Read for the first row of each key and again for these rows: written, so that they are made once.
+        rows = written(rows.where(F.col(key).isNotNull()), f"{name}-rows")
         first = rows.groupBy(key).agg(F.min(order).alias(order))
         prefix = F.substring(key, 1, PREFIX)
         if self.exists(name):
-            first = first.withColumn("hash_prefix", prefix).checkpoint(eager=True)
+            first = written(first.withColumn("hash_prefix", prefix), f"{name}-keys")
             touched = [r[0] for r in first.select("hash_prefix").distinct().collect()]  # at most 16^PREFIX
             stored = self.read(name).where(F.col("hash_prefix").isin(touched)).select("hash_prefix", key)
             first = first.join(stored, ["hash_prefix", key], "left_anti").drop("hash_prefix")
@@ -214,7 +215,8 @@ def screen_rows(staged: DataFrame, rules: R.Rules = R.DEFAULT_RULES, run_date: s
     broken = F.filter(F.array(*[F.when(~c, F.lit(n)) for n, c in checks.items()]), lambda x: x.isNotNull())
     tagged = staged.withColumn("hash_dedup", hash_fields(staged, rules.dedup_fields, rules.nfkc)) \
         .withColumn("reasons", F.array_distinct(F.concat(schemas.violations(staged, "staging"), broken))) \
-        .withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+        .withColumn("_row", F.monotonically_increasing_id())
+    tagged = written(tagged, "screened")
     sound = tagged.where(F.size("reasons") == 0)
     status = F.when(F.size("reasons") > 0, "rejected")
     if not rules.dedup_enabled:
@@ -342,7 +344,7 @@ def run_pipeline(spark: SparkSession, postings: DataFrame, root: str, batch_id:
 
         def one(name: str):
             # merge -> store -> key lookup, per dimension, as concurrent jobs
-            df = merge_one_a(staging, current, name, run_ts, new_only=True, rules=rules).checkpoint(eager=True)
+            df = merge_one_a(staging, current, name, run_ts, new_only=True, rules=rules)
             if current[name] is None:
                 wh.replace(name, df)      # first load: seeds + members
             else:
@@ -355,7 +357,7 @@ def run_pipeline(spark: SparkSession, postings: DataFrame, root: str, batch_id:
         dims = {name: d for name, (d, _) in done.items()}
         fact = build_fact(staging, dims, run_ts=run_ts, lookups={name: lk for name, (_, lk) in done.items()}) \
             .withColumn("load_seq", F.lit(seq))
-        fact = fact.checkpoint(eager=True)
+        fact = written(fact, "fact-rows")
         loaded = fact.count()
         load_fact(wh, fact, mode)
         if screen:
