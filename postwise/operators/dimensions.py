@@ -157,8 +157,12 @@ def enrich_dimension(dim: DataFrame, lookup: DataFrame, key: str, collated: bool
     def match(c):
         return F.collate(c, R.MATCH_COLLATION) if collated else c
 
-    lk = lookup.groupBy(match(F.col(key)).alias("_lk")).agg(
-        F.min_by(F.struct(*fill), F.collate(F.col(key), "UTF8_BINARY")).alias("_fill"))
+    lookup = lookup.withColumn(key, F.collate(F.col(key), "UTF8_BINARY"))
+    if collated:
+        # One spelling of each matching key, found without carrying the attributes: the least one, which has them.
+        lookup = lookup.join(distinct_members(lookup.select(key).where(F.col(key).isNotNull()), [key]), key, "left_semi")
+    lk = lookup.groupBy(F.col(key).alias("_k")).agg(F.min_by(F.struct(*fill), F.col(key)).alias("_fill")) \
+        .select(match(F.col("_k")).alias("_lk"), "_fill")
     joined = dim.join(lk, match(dim[key]) == lk["_lk"], "left")
     return joined.select(*[F.coalesce(dim[c], F.col("_fill")[c]).alias(c) if c in fill else dim[c] for c in dim.columns],
                          *[F.col("_fill")[c].alias(c) for c in fill if c not in dim.columns])

@@ -2,15 +2,17 @@
 
 Dense keys: rows are range-partitioned and sorted by the order columns,
 tagged with (partition id, row number within the partition) and written to
-the reliable checkpoint folder; per-partition counts (one small row per
+the shared checkpoint folder; per-partition counts (one small row per
 partition) give each partition its offset. No single-partition window, and
 the ids are stable because they are computed on materialised data.
 
 Member matching follows the original server's text equality (case- and
 accent-insensitive, trailing blanks ignored) through a Spark collation, in
-two stages: a plain binary ``distinct`` of the values first (hash
-aggregate, shrinks the data to distinct spellings), then grouping of those
-spellings under the collation. Collated columns never leave this module:
+stages: a plain binary ``distinct`` of the values first (hash
+aggregate, shrinks the data to distinct spellings), then grouping by a plain
+fold (:func:`folded`) that is the matching equality of ASCII texts. Only texts
+beyond ASCII, and what matches them, are grouped under the collation, whose
+comparisons cost many times those of bytes. Collated columns never leave this module:
 the outputs are plain strings, so later joins are ordinary equi-joins.
 """
 
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postwise import rules as R
-from postwise.session import ensure_checkpoint_dir
+from postwise.session import written
 
 _ROW_BITS = 33  # monotonically_increasing_id() = partition << 33 | row
 
@@ -33,6 +35,16 @@ def match_key(c) -> Column:
     return F.collate(c, R.MATCH_COLLATION)
 
 
+#: Texts of blanks and visible ASCII characters alone; under the collation they are equal if their folds are.
+_PLAIN = "^[ -~]*$"
+
+
+def folded(c) -> Column:
+    """A text's binary key: lower case without trailing blanks if it is plain ASCII, else the text itself."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.rlike(_PLAIN), F.lower(F.rtrim(c))).otherwise(c)
+
+
 def _is_text(df: DataFrame, c: str) -> bool:
     return df.schema[c].dataType.typeName() == "string"
 
@@ -45,13 +57,12 @@ def assign_dense_ids(df: DataFrame, order_cols: list[str], id_col: str, start: i
                      num_partitions: int | None = None) -> DataFrame:
     """K1: ids ``start, start+1, ...`` in ``order_cols`` order (must be unique)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     # Without an explicit count AQE may merge adjacent small range
     # partitions (order is kept), so a small dimension uses few tasks.
     ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
     ordered = ranged.sortWithinPartitions(*order_cols)
-    tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
-                            F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
+    tagged = written(ordered.select("*", F.spark_partition_id().alias("_pid"),
+                                    F.monotonically_increasing_id().alias("_mid")), "ids")
     counts = sorted((r["_pid"], r["n"]) for r in tagged.groupBy("_pid").agg(F.count("*").alias("n")).collect())
     if not counts:
         return tagged.drop("_pid", "_mid").withColumn(id_col, F.lit(None).cast("long"))
@@ -75,8 +86,23 @@ def distinct_members(src: DataFrame, key_cols: list[str]) -> DataFrame:
     variants = src.select(*key_cols).distinct()
     if not any(_is_text(variants, c) for c in key_cols):
         return variants
-    groups = [_key(variants, c).alias(f"_k{i}") for i, c in enumerate(key_cols)]
-    best = variants.groupBy(*groups).agg(F.min(F.struct(*key_cols)).alias("_s"))
+    text = [c for c in key_cols if _is_text(variants, c)]
+    best = _least(variants, [folded(c) if c in text else F.col(c) for c in key_cols], key_cols)
+    # Written, as it is read for the odd ones, for the rest and to find the ranges of the ids.
+    plain = reduce(lambda a, b: a & b, [F.coalesce(F.col(c).rlike(_PLAIN), F.lit(True)) for c in text])
+    best = written(best.withColumn("_plain", plain), "members")
+    odd, rest = best.where("NOT _plain").drop("_plain"), best.where("_plain").drop("_plain")
+    if odd.isEmpty():
+        return rest
+    other = odd.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(key_cols)])
+    met = _match_condition(rest, other, key_cols, other.columns)
+    mixed = odd.unionByName(rest.join(other, met, "left_semi"))
+    return rest.join(other, met, "left_anti").unionByName(_least(mixed, [_key(mixed, c) for c in key_cols], key_cols))
+
+
+def _least(variants: DataFrame, groups: list[Column], key_cols: list[str]) -> DataFrame:
+    """The binary minimum of each group of spellings."""
+    best = variants.groupBy(*[g.alias(f"_k{i}") for i, g in enumerate(groups)]).agg(F.min(F.struct(*key_cols)).alias("_s"))
     return best.select(*[F.col("_s")[c].alias(c) for c in key_cols])
 
 
@@ -127,8 +153,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes:
     """Materialise ``df`` in the checkpoint folder, measure it, and mark it for
     broadcast only when it has at most ``max_rows`` rows and ``max_bytes`` bytes;
     otherwise it stays a shuffle-join side. Returns (frame, broadcast?)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    m = df.checkpoint(eager=True)
+    m = written(df, "lookup")
     rows, size = measured(m)
     if rows <= max_rows and size <= max_bytes:
         return F.broadcast(m), True
