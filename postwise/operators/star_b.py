@@ -20,7 +20,7 @@ from postwise import schemas
 from postwise.functions.dates import TIME_ATTRIBUTE_NAMES, time_attributes
 from postwise.operators.dedup import dedup_exact
 from postwise.operators.keys import assign_dense_ids, broadcast_if_small
-from postwise.session import ensure_checkpoint_dir
+from postwise.session import written
 
 #: Dimension -> its key, the columns that make a member, and its raw columns by their source.
 MEMBERS = {
@@ -65,9 +65,8 @@ def build_star_b(cleaned: DataFrame, existing: dict[str, DataFrame] | None = Non
         .withColumn("time_key", F.col("posting_date")) \
         .withColumnsRenamed({"experience_level_std": "experience_band", "education_level_std": "education_band"})
     # Six dimension merges and the fact read these rows: materialise them
-    # once in the reliable checkpoint folder instead of re-cleaning each time.
-    ensure_checkpoint_dir(rows.sparkSession)
-    rows = rows.checkpoint(eager=True)
+    # once in the shared checkpoint folder instead of re-cleaning each time.
+    rows = written(rows, "star-b-rows")
     ts = F.lit(run_ts).cast("timestamp")
     dims = {"dim_time": _together(existing.get("dim_time"), time_members(rows, existing.get("dim_time")))}
     fact = rows
