@@ -69,3 +69,17 @@ def test_enriched_by_the_least_spelling(spark):
     lk = spark.createDataFrame([("acme", "low"), ("ACME ", "up"), ("cafe", "plain"), ("CAFÉ", "accent"), (None, "null")],
                                "name string, sector string")
     assert dict(enrich_dimension(dim, lk, "name").select("id", "sector").collect()) == {1: "up", 2: "accent", 3: None}
+
+
+def test_line_bitmaps_are_no_row_objects(spark, monkeypatch):
+    pytest.importorskip("xxhash")
+    from postwise.llm.lines import dropped_lines
+
+    def refuse(*a, **kw):
+        raise AssertionError("rows as objects")
+
+    monkeypatch.setattr(DataFrame, "toPandas", refuse)
+    monkeypatch.setattr(type(spark.range(1)), "toPandas", refuse)
+    line = "the quick brown fox jumps over the lazy dog near the river"
+    docs = spark.createDataFrame([(1, line), (2, line.replace("river", "rivers"))], "doc_id long, text string")
+    assert [r["dropped"] for r in dropped_lines(docs).collect()] == [[0]]
