@@ -24,8 +24,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postwise.operators.keys import broadcast_if_small
 from postwise.operators.walks import numbered, walk
-from postwise.session import ensure_checkpoint_dir
+from postwise.session import ensure_checkpoint_dir, written
 
 #: Keeps rounding from raising a bound.
 _SLACK = 1e-9
@@ -41,10 +42,11 @@ def shingle_sets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
-    """(h, _c, _k, _p): the prefix of every set (_c, _set) as far as other sets hold its shingles: set size, and the
+    """(h, _c, _k, _p): the prefix of every set (_c, _k, _set) as far as other sets hold its shingles: set size, and the
     shingle's place in the set from its rarest on."""
-    rows = sets.select("_c", F.size("_set").alias("_k"), F.explode("_set").alias("h"))
-    shared = rows.join(rows.groupBy("h").agg(F.count("*").alias("_n")).where("_n > 1"), "h")
+    # Dealt by shingle once, for the counts (of _c, so that both read the same columns) and for the join with them.
+    rows = sets.where("_c IS NOT NULL").select("_c", F.explode("_set").alias("h")).where("h IS NOT NULL").repartition("h")
+    shared = rows.join(rows.groupBy("h").agg(F.count("_c").alias("_n")).where("_n > 1"), "h").join(sets.select("_c", "_k"), "_c")
     # Shingles of no other set come first in the order; they are counted, not carried.
     w = Window.partitionBy("_c")
     alone = F.col("_k") - F.count("*").over(w)
@@ -54,8 +56,8 @@ def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def nearest_earlier(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(_c, match): the smallest similar class of every class (_c, _set) that has one before it."""
-    lists = numbered(prefixes(sets, threshold), ["h"], ["_c"]).checkpoint(eager=True)
+    """(_c, match): the smallest similar class of every class (_c, _k, _set) that has one before it."""
+    lists = written(numbered(prefixes(sets, threshold), ["h"], ["_c"]), "lists")
 
     def near(y, x):
         small, large = F.least(y("_k"), x("_k")), F.greatest(y("_k"), x("_k"))
@@ -63,8 +65,11 @@ def nearest_earlier(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
         return (small >= large * threshold - _SLACK) & (1 + F.least(y("_k") - y("_p"), x("_k") - x("_p")) >= common)
 
     def verify(pairs):
-        v = pairs.join(sets.select(F.col("_c").alias("_y"), F.col("_set").alias("_s")), "_y") \
-            .join(sets.select(F.col("_c").alias("_x"), F.col("_set").alias("_t")), "_x")
+        # Only the sets of these pairs are moved; a small list of classes goes to the sets.
+        ids, _ = broadcast_if_small(pairs.select(F.explode(F.array("_y", "_x")).alias("_c")).distinct())
+        asked = written(sets.select("_c", "_set").join(ids, "_c", "left_semi"), "asked")
+        v = pairs.join(asked.select(F.col("_c").alias("_y"), F.col("_set").alias("_s")), "_y") \
+            .join(asked.select(F.col("_c").alias("_x"), F.col("_set").alias("_t")), "_x")
         inter = F.size(F.array_intersect("_s", "_t"))
         return v.where(inter >= F.lit(threshold) * (F.size("_s") + F.size("_t") - inter))
 
@@ -80,11 +85,11 @@ def dedup_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     digest = F.struct(F.size("_set").alias("k"), F.xxhash64(F.lit(1), "_set").alias("a"), F.xxhash64(F.lit(2), "_set").alias("b"))
     of = sets.groupBy(id_col).agg(F.min(digest).alias("_d"))
     classes = of.groupBy("_d").agg(F.min(id_col).alias("_c"))
-    of = of.join(classes, "_d").select(id_col, "_c").checkpoint(eager=True)
+    of = written(of.join(classes, "_d").select(id_col, "_c"), "classes")
     first = of.where(F.col(id_col) == F.col("_c")).select("_c")
     own = sets.join(first, sets[id_col] == first["_c"], "left_semi").groupBy(F.col(id_col).alias("_c")).agg(
-        F.min_by("_set", digest).alias("_set"))
-    near = nearest_earlier(own.checkpoint(eager=True), threshold)
+        F.min_by("_set", digest).alias("_set")).select("_c", F.size("_set").alias("_k"), "_set")
+    near = nearest_earlier(written(own, "sets"), threshold)
     best = of.join(near, "_c", "left").withColumn("_best", F.least("_c", "match"))
     found = best.where(F.col("_best") < F.col(id_col)).select(id_col, F.col("_best").alias("duplicate_of"))
     return df.select(id_col).join(found, id_col, "left")

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postwise.operators.keys import assign_dense_ids
+from postwise.session import written
 
 STEP = 8
 
@@ -36,7 +37,7 @@ def walk(entries: DataFrame, item: str, carried: list[str], near: Callable[[Call
          within: Callable[[Callable, Callable], Column] | None = None, first: int = 1) -> DataFrame:
     """(item, match): an entry before the item's own, in a list of both, that ``verify`` confirms.
 
-    ``entries`` come from :func:`numbered`, checkpointed. ``near(y, x)`` is a cheap necessary condition on the
+    ``entries`` come from :func:`numbered`, written. ``near(y, x)`` is a cheap necessary condition on the
     ``carried`` columns of an item and of an earlier entry (``y`` and ``x`` give them by name), ``verify`` keeps
     the true ones of distinct pairs (y, x).
     With ``smallest`` lists are read from their beginning and the match is the smallest item of all; else from
@@ -64,7 +65,8 @@ def walk(entries: DataFrame, item: str, carried: list[str], near: Callable[[Call
             go = F.col("_best").isNull() | (F.col("_x") < F.col("_best")) if smallest else F.col("_best").isNull()
             if within is not None:
                 go = go & within(y, x)
-            active = active.where(go).select("_y", *[f"_y_{c}" for c in carried], "_g", "_start").checkpoint(eager=True)
+            active = active.where(go).select("_y", *[f"_y_{c}" for c in carried], "_g", "_start")
+            active = written(active, "active")
         if active.isEmpty():
             break
         last = F.least(F.lit(low + width), F.col("_g") - F.col("_start")) - 1
@@ -76,12 +78,12 @@ def walk(entries: DataFrame, item: str, carried: list[str], near: Callable[[Call
         pairs = pairs.select("_y", "_x").distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["_y", "_x"], "left_anti")
-        pairs = pairs.checkpoint(eager=True)
+        pairs = written(pairs, "pairs")
         checked = pairs if checked is None else checked.unionByName(pairs)
         found = verify(pairs).select("_y", F.col("_x").alias("_best"))
         if best is not None:
             found = found.unionByName(best)
-        best = found.groupBy("_y").agg(F.min("_best").alias("_best")).checkpoint(eager=True)
+        best = written(found.groupBy("_y").agg(F.min("_best").alias("_best")), "best")
         low, width = low + width, width * STEP
     if best is None:
         return entries.select(F.col(item), F.col(item).alias("match")).limit(0)

@@ -105,3 +105,35 @@ def test_awkward_documents(spark):
     got = sorted((r.doc_id or -1, r.duplicate_of) for r in dedup_documents(df).collect() if r.duplicate_of is not None)
     assert got == [(2, 1), (7, 6), (7, 6), (9, 8)]
     assert dedup_documents(df.limit(0)).count() == 0
+
+
+def test_sets_are_dealt_once_and_moved_only_for_pairs(spark, tmp_path):
+    """Shingles go to their counts and to the join with them in one shuffle; a comparison moves only the sets it asks for."""
+    import re
+
+    from postwise.operators import docdedup
+
+    rows = [(i, 40, [7, 8, *range(100 * i, 100 * i + 38)]) for i in range(1, 60)]
+    rows += [(60, 40, rows[10][2][:39] + [1]), (61, 40, rows[20][2][:39] + [2])]
+    path = f"{tmp_path}/sets"
+    spark.createDataFrame(rows, "_c long, _k int, _set array<long>").write.parquet(path)
+    sets = spark.read.parquet(path)
+    q = docdedup.prefixes(sets, 0.8)
+    q.collect()
+    final = q._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in re.split("== Initial Plan ==", final)[0]
+    asked, put = [], docdedup.written
+
+    def kept(df, name):
+        out = put(df, name)
+        if name == "asked":
+            asked.append(sorted(r[0] for r in out.select("_c").collect()))
+        return out
+
+    docdedup.written = kept
+    try:
+        got = {r["_c"]: r["match"] for r in docdedup.nearest_earlier(sets, 0.8).collect()}
+    finally:
+        docdedup.written = put
+    assert got == {60: 11, 61: 21}
+    assert asked and all(len(a) <= 4 for a in asked)
