@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postwise.llm.common import with_row_id
-from postwise.llm.tokens import RANKS, TOKENIZER, encode_whole, tokenizer_path
+from postwise.llm.tokens import RANKS, TOKENIZER, encode_arrays, tokenizer_path
 
 END_ID = 0
 BLOCK = 4096
@@ -52,6 +52,38 @@ ESCAPE_BITS = 32
 AT_ONCE = 16 * BLOCK
 
 
+def _costs() -> tuple[np.ndarray, list[np.ndarray]]:
+    """All costs of a word, ascending: bits an id (in 1/64) above the selector's own number; and the places among
+    them of each selector's costs, by the number of its escapes."""
+    by_selector = []
+    for k, (count, width) in enumerate(zip(COUNTS.tolist(), WIDTHS.tolist())):
+        escapes = np.arange(count + 1 if width else 1)  # a run of zeros has none
+        by_selector.append((64 + ESCAPE_BITS * escapes) * 64 // count << 4 | k)
+    never = 1 << 32
+    costs = np.unique(np.concatenate([*by_selector, [never]]))
+    places = [np.full(256, len(costs) - 1, np.uint16) for _ in by_selector]
+    for place, cost in zip(places, by_selector):
+        place[:len(cost)] = np.searchsorted(costs, cost)
+    return costs, places
+
+
+_COSTS, _COST_OF = _costs()
+
+
+def _window_sums(x: np.ndarray, count: int) -> np.ndarray:
+    """Sums of every ``count`` (255 at most) neighbours in an array of zeros and ones of 8 bits, by doubling."""
+    out, part, size, done = None, x, 1, 0
+    while True:
+        if count & 1:
+            out = part if out is None else out[:len(part) - done] + part[done:]
+            done += size
+        count >>= 1
+        if not count:
+            return out
+        part = part[:-size] + part[size:]
+        size *= 2
+
+
 def _encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words, escapes, and the number of each per block, of up to AT_ONCE ids."""
     n = len(ids)
@@ -61,23 +93,20 @@ def _encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     full = np.zeros(blocks * BLOCK, np.uint32)
     full[:n] = ids
     v[:, :BLOCK] = full.reshape(blocks, BLOCK)
-    # Bits an id (in 1/64) for each selector that would begin here, above the selector's own number.
-    best = np.full((blocks, BLOCK), np.iinfo(np.uint32).max, np.uint32)
-    sums = np.zeros((blocks, BLOCK + pad + 1), np.int32)
+    best = np.full((blocks, BLOCK), len(_COSTS) - 1, np.uint16)
+    flat = v.reshape(-1)
+    sums = np.zeros(len(flat), np.uint8)
     for k, (count, width) in enumerate(zip(COUNTS.tolist(), WIDTHS.tolist())):
-        escapes = np.arange(count + 1)
-        cost = ((64 + ESCAPE_BITS * escapes) * 64 // count << 4 | k).astype(np.uint32)
         if width < 32:
-            wide = v >= np.uint32((1 << width) - 1 or 1)
+            wide = flat >= np.uint32((1 << width) - 1 or 1)
             if wide.size - np.count_nonzero(wide) - pad * blocks < count // 3:
                 continue  # its words would be mostly escapes
-            np.cumsum(wide, axis=1, dtype=np.int32, out=sums[:, 1:])
-            if not width:
-                cost[1:] = np.iinfo(np.uint32).max
-            np.minimum(best, cost[sums[:, count:count + BLOCK] - sums[:, :BLOCK]], out=best)
+            # A window that begins in a block ends in the zeros behind it.
+            sums[:len(flat) - count + 1] = _window_sums(wide.view(np.uint8), count)
+            np.minimum(best, _COST_OF[k].take(sums.reshape(v.shape)[:, :BLOCK]), out=best)
         else:
-            np.minimum(best, cost[0], out=best)
-    choice = (best & np.uint32(15)).astype(np.uint8)
+            np.minimum(best, _COST_OF[k][0], out=best)
+    choice = (_COSTS[best] & 15).astype(np.uint8)
     words_at, words_in = [], np.zeros(blocks, np.int64)
     step = COUNTS[choice]
     for b in range(blocks):
@@ -89,7 +118,6 @@ def _encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
             at += jumps[at]
         words_in[b] = len(words_at) - before
     at = np.array(words_at, np.int64)
-    flat = v.reshape(-1)
     chosen = choice[at // (BLOCK + pad), at % (BLOCK + pad)]
     words = chosen.astype(np.uint64) << np.uint64(60)
     escaped = np.zeros(len(flat), bool)
@@ -203,12 +231,11 @@ def _frames(path: str, ranks: str, end_id: int, batches: Iterator[pd.DataFrame])
     for b in batches:
         for at in range(0, len(b), 256):
             part = b.iloc[at:at + 256]
-            encoded = encode_whole(list(part["text"]), path, ranks)
+            encoded = encode_arrays(list(part["text"]), path, ranks)
             for doc, x in zip(part["doc_id"], encoded):
-                x.append(end_id)
                 docs.append(None if pd.isna(doc) else int(doc))
-                ids.append(np.array(x, np.uint32))
-                held += len(x)
+                ids.append(np.append(x, np.uint32(end_id)))
+                held += len(x) + 1
                 if held >= FRAME:
                     yield put()
                     start, frame = start + held, frame + 1

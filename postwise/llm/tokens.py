@@ -9,6 +9,8 @@ import re
 import sys
 import types
 
+import numpy as np
+
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 #: Entries of a worker's cache; it is emptied when full.
@@ -118,7 +120,7 @@ def _whole(path: str, ranks_path: str):
         encoding = counter(ranks_path)[0].encoding
         if len(encoding._mergeable_ranks) + len(special) != tokenizer.get_vocab_size():
             raise ValueError(f"{ranks_path} does not hold the vocabulary of {path}")
-        state["whole", path, ranks_path] = (encoding.encode_ordinary, special, tokenizer)
+        state["whole", path, ranks_path] = (encoding, special, tokenizer)
     return state["whole", path, ranks_path]
 
 
@@ -134,12 +136,25 @@ def encode_whole(texts: list[str | None], path: str, ranks_path: str) -> list[li
     quarter of the time and gives equal ids (tested); texts that hold a special token's string go to
     the tokenizer itself.
     """
-    ordinary, special, tokenizer = _whole(path, ranks_path)
+    encoding, special, tokenizer = _whole(path, ranks_path)
     out = []
     for t in texts:
         t = t or ""
         if any(s in t for s in special):
             out.append(tokenizer.encode(t, add_special_tokens=False).ids)
         else:
-            out.append(ordinary(t))
+            out.append(encoding.encode_ordinary(t))
+    return out
+
+
+def encode_arrays(texts: list[str | None], path: str, ranks_path: str) -> list[np.ndarray]:
+    """The ids of :func:`encode_whole` as arrays of 32 bits, which the library fills without a list of numbers."""
+    encoding, special, tokenizer = _whole(path, ranks_path)
+    out = []
+    for t in texts:
+        t = t or ""
+        if any(s in t for s in special):
+            out.append(np.array(tokenizer.encode(t, add_special_tokens=False).ids, np.uint32))
+        else:
+            out.append(encoding.encode_to_numpy(t, disallowed_special=()))
     return out

@@ -94,6 +94,19 @@ def test_whole_texts_have_the_tokenizers_ids():
     assert tokens.encode_whole(texts, path, ranks) == want
 
 
+def test_ids_come_as_arrays_and_windows_are_summed_in_8_bits():
+    path, ranks = tokens.tokenizer_path(tokens.TOKENIZER), tokens.tokenizer_path(tokens.RANKS)
+    texts = [None, "", " ", "some words\n here", "ünï <|endoftext|>", "한국어 漢字 😀 \r\n\x85\xa0x　y", "x" * 3000]
+    got = tokens.encode_arrays(texts, path, ranks)
+    assert all(x.dtype == np.uint32 for x in got)
+    assert [x.tolist() for x in got] == tokens.encode_whole(texts, path, ranks)
+    x = (np.random.default_rng(3).random(700) < 0.8).astype(np.uint8)
+    for n in (*range(1, 20), 30, 60, 120, 240, 255):
+        sums = token_files._window_sums(x, n)
+        assert sums.dtype == np.uint8
+        assert sums.tolist() == np.convolve(x.astype(int), np.ones(n, int), "valid").tolist()
+
+
 def test_token_files_of_rows(spark):
     rows = [(5, "some words here\n"), (None, "null id"), (3, None), (4, ""), (5, "another five"), (5, "some words here\n"),
             (-2, "first"), (9, "long text " * 60_000), (7, "ünï <|endoftext|>")]
