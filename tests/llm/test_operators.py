@@ -512,3 +512,18 @@ def test_long_lines_with_spread_edits_are_linked(spark):
     assert (x ^ y).bit_count() > 22 and lines.edit_distance(a, b, 84) <= 83
     got = lines.deduplicated(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()
     assert {r.doc_id for r in got if r.text} == {1}
+
+
+def test_equal_weights_are_drawn_once(spark):
+    """A term of equal weight in two texts makes one row to draw, and every signature equals the one drawn by itself."""
+    from postwise.llm import fingerprints as P
+
+    terms = spark.createDataFrame([(1, t, a, b) for t, a, b in [(5, 1, 1), (6, 2, 2), (7, 3, 0), (8, 0, 4), (9, 1, 2), (10, 7, None)]]
+                                  + [(2, 5, 0, 0)], "k int, term long, a long, b long")
+    both = P.signatures(terms, ["k"], {"x": "a", "y": "b"}, samples=8)
+    got = {r.k: (r.x, r.y) for r in both.collect()}
+    alone = [{r.k: r.s for r in P.signatures(terms, ["k"], {"s": c}, samples=8).collect()} for c in "ab"]
+    assert got[1] == (alone[0][1], alone[1][1]) and got[1][0] != got[1][1]
+    assert got[2] == ([None] * 8, [None] * 8) == (alone[0][2], alone[1][2])
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and plan.count("min(CASE") == 16 and "xxhash64(_t" in plan
