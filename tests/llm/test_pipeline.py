@@ -37,5 +37,5 @@ def test_run_is_registered(spark):
     import __spark_entry__ as E
     names = E.queries()
     assert names["pipeline"] is P.run
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
     assert "pipeline" not in E.oracle_sql()
