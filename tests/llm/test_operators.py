@@ -395,6 +395,44 @@ def test_large_group_of_near_copies(spark):
     assert {x.group_id for x in r} == {0}
 
 
+def test_far_copies_of_one_original_are_not_all_compared(spark, monkeypatch):
+    """Copies that are too far from the original and from each other share bands; two of them are near copies."""
+    base = [f"w{i}" for i in range(150)]
+    rng = np.random.default_rng(5)
+    rows = [(0, " ".join(base))]
+    for k in range(1, 121):
+        ws = list(base)
+        for at in rng.choice(29, 4, replace=False):
+            ws[5 * at + 2] = f"x{k}_{at}"
+        rows.append((k, " ".join(ws)))
+    rows.append((200, rows[7][1] + " end"))
+    seen, verify = [], bagminhash._verify
+    monkeypatch.setattr(bagminhash, "_verify", lambda pairs, *a: (seen.append(pairs.count()), verify(pairs, *a))[1])
+    r = bagminhash.duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: x.group_id for x in r} == {k: 7 if k == 200 else k for k, _ in rows}
+    assert sum(seen) < 12 * len(rows)  # of 7381 pairs
+
+
+def test_similar_bags_share_a_first_shingle():
+    rng = np.random.default_rng(11)
+    any_order = rng.integers(2, 256, 1 << bagminhash.TABLE).astype(np.uint8)
+    met = 0
+    for _ in range(400):
+        base = [str(w) for w in rng.integers(0, 60, int(rng.integers(1, 300)))]
+        other = list(base)
+        for _ in range(int(rng.integers(0, 5))):
+            at, kind = int(rng.integers(0, len(other))), int(rng.integers(0, 3))
+            other[at:at + (kind != 1)] = [] if kind == 0 and len(other) > 1 else ["x"] * int(rng.integers(1, 30))
+        a, b = (bagminhash.bag(" ".join(t)) for t in (base, other))
+        if bagminhash.overlap(a, b) < 0.8:
+            continue
+        met += 1
+        counts = np.roll(any_order, int(rng.integers(1, 1000)))
+        x, y = ({int(k): int(s) for k, s in zip(*bagminhash.first_shingles(v, counts, 0.8))} for v in (a, b))
+        assert any(x[k] + y[k] == 1 or x[k] == y[k] == 2 for k in x.keys() & y.keys())
+    assert met > 100
+
+
 # ---- 10 WARC ---------------------------------------------------------------------------
 
 def test_warc_derivatives(spark):
