@@ -565,3 +565,48 @@ def test_equal_weights_are_drawn_once(spark):
     assert got[2] == ([None] * 8, [None] * 8) == (alone[0][2], alone[1][2])
     plan = both._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" in plan and plan.count("min(CASE") == 16 and "xxhash64(_t" in plan
+
+
+def test_line_keys_are_shuffled_once_and_not_stored(spark, docs):
+    """Keys go to the class table as two bytes each, and as rows through one exchange; no table of the lines holds them."""
+    shared = lines.keys_met_again(docs)
+    plan = shared._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "Join" not in plan
+    physical = shared._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("hashpartitioning") == 1
+    seen, _ = lines.line_groups(docs)
+    assert "keys" not in seen.columns
+    common = np.zeros(0, np.int64)
+    batch = pd.DataFrame({"text": ["\n".join(f"one two three four five six seven eight nine ten {i}" for i in range(3000))]})
+    keys = sum(len(k) for _, k, _ in lines._keys(0.8, common, iter([batch])))
+    out = pd.concat(lines._classes(0.8, common, iter([batch])))
+    assert sum(map(len, out["places"])) == 2 * keys and len(out) <= 1 << (lines.TABLE - 16)
+
+
+def test_needed_keys_are_the_first_runs(spark):
+    """Of 20 words the first 13 of 18 runs of three, the common ones last; a line's keys do not depend on its neighbours."""
+    rng = np.random.default_rng(8)
+    many = [" ".join(map(str, rng.integers(0, 10**6, n))) for n in (1, 3, 4, 7, 9, 10, 11, 20, 60)]
+    owner, every = lines.line_keys(many)
+    of = [every[owner == i] for i in range(len(many))]
+    assert len(of[7]) == 18
+    common = np.sort(np.concatenate([k[:6] for k in of]))
+    owner, key = lines.line_keys(many, 0.8, common)
+    for i, line in enumerate(many):
+        alone = lines.line_keys([line], 0.8, common)[1]
+        assert alone.tolist() == key[owner == i].tolist() and set(alone) <= set(of[i].tolist())
+    assert key[owner == 7].tolist() == of[7][6:].tolist() + of[7][:1].tolist()
+
+
+def test_edit_distance_is_given_up_only_above_the_limit():
+    rng = np.random.default_rng(4)
+    for _ in range(100):
+        a = "".join(rng.choice(list("abcdef gh"), int(rng.integers(100, 400))))
+        b = list(a)
+        for at in rng.integers(0, len(a), int(rng.integers(0, 60))):
+            b[at] = "" if rng.random() < 0.5 else "zz"
+        b = "".join(b)
+        d = lines.edit_distance(a, b, 1000)
+        for limit in (d - 1, d, d + 1):
+            if limit >= 0:
+                assert lines.edit_distance(a, b, limit) == min(d, limit + 1)
