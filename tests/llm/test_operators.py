@@ -610,3 +610,10 @@ def test_edit_distance_is_given_up_only_above_the_limit():
         for limit in (d - 1, d, d + 1):
             if limit >= 0:
                 assert lines.edit_distance(a, b, limit) == min(d, limit + 1)
+
+
+def test_central_members_are_the_same_for_whole_groups(spark):
+    rows = [(k, i, i % 7) for k in range(30) for i in range(k % 5, 40, k % 4 + 2)]
+    shared = spark.createDataFrame(rows, "key long, id long, len long").withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    got = [sorted(map(tuple, links.leader_pairs(shared, ("len",), whole).collect())) for whole in (False, True)]
+    assert got[0] == got[1] and len(got[0]) == len(rows) - 30
