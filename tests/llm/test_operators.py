@@ -4,6 +4,7 @@ very long texts, repeated rows, equal ids, extra columns with the operators' own
 import hashlib
 import html as html_lib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -617,3 +618,40 @@ def test_central_members_are_the_same_for_whole_groups(spark):
     shared = spark.createDataFrame(rows, "key long, id long, len long").withColumn("n", F.count("*").over(Window.partitionBy("key")))
     got = [sorted(map(tuple, links.leader_pairs(shared, ("len",), whole).collect())) for whole in (False, True)]
     assert got[0] == got[1] and len(got[0]) == len(rows) - 30
+
+
+def test_pairs_compared_abreast_are_those_of_the_plain_distance():
+    """Texts of all sizes and alphabets, near the limit: the same pairs as one by one, and no similar pair's codes refuse it."""
+    rng = random.Random(7)
+    ta, tb = [], []
+    for k in range(1500):
+        letters = ("ab", "abcdefgh ", "\xe4\xf6漢字\U0001f600x")[k % 3]
+        size = rng.choice((1, 4, 5, 30, 64, 65, 319, 320, 330, 650))
+        x = [rng.choice(letters) for _ in range(size)]
+        y = x[size // 10:] + [rng.choice(letters) for _ in range(size // 10)] if k % 4 == 0 else list(x)
+        for _ in range(max(0, size // 5 + rng.randrange(-3, 6))):
+            at = rng.randrange(len(y) + 1)
+            y[at:at + rng.randrange(2)] = [rng.choice(letters)] * rng.randrange(2)
+        ta.append("".join(x)), tb.append("".join(y) or "a")
+    most = [int(0.2 * max(len(x), len(y)) + 1e-9) for x, y in zip(ta, tb)]
+    want = [abs(len(x) - len(y)) <= k and lines.edit_distance(x, y, k) <= k for x, y, k in zip(ta, tb, most)]
+    assert 300 < sum(want) < 1300
+    assert lines.similar_pairs(ta, tb, 0.8).tolist() == want
+    pairs = pd.DataFrame({"a": range(1500), "b": range(1500), "la": [len(x) for x in ta], "lb": [len(x) for x in tb],
+                          "ca": lines.line_codes(ta), "cb": lines.line_codes(tb)})
+    near = {*pd.concat(lines._near_codes(0.8, iter([pairs[:700], pairs[700:]])))["a"]}
+    assert near >= {k for k, x in enumerate(want) if x}
+
+
+def test_unlike_lines_are_refused_without_their_texts(spark):
+    """Lines that share a run of words and nothing else: their texts are not fetched, a bit a character refuses them."""
+    rng = random.Random(3)
+    texts = ["one shared run " + " ".join("".join(rng.choice("abcdefghiklmnopqrst") for _ in range(7)) for _ in range(30)) for _ in range(40)]
+    codes = lines.line_codes(texts)
+    assert max(map(len, codes)) <= -(-max(map(len, texts)) // 8)
+    a, b = zip(*[(i, j) for i in range(40) for j in range(i)])
+    pairs = pd.DataFrame({"a": a, "b": b, "la": [len(texts[i]) for i in a], "lb": [len(texts[j]) for j in b],
+                          "ca": [codes[i] for i in a], "cb": [codes[j] for j in b]})
+    assert sum(map(len, lines._near_codes(0.8, iter([pairs])))) <= len(pairs) // 20
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.text for r in lines.deduplicated(docs).collect()} == {*texts}
