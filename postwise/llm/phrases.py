@@ -51,6 +51,8 @@ CLEAN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + ENDS, b"abcdefghijklmn
 #: Rows sent to Spark at a time.
 ROWS = 100_000
 
+#: A row group of the index holds a shard or a few, whatever the number of a task's shards, as its writer and its readers hold a whole one.
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1"}
 INDEX = "langs array<string>, lang_words array<long>, words binary, word_lang binary, bwt binary, reversed binary"
 NGRAMS = "lang string, phrase string, n long, opens long, closes long"
 
@@ -133,7 +135,7 @@ def build_index(docs: DataFrame, max_words: int = MAX_WORDS, shard_bytes: int =
     """The indexes of (lang, text), a row per shard, written to the shared folder."""
     d = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text")
     with rows_at_a_time(docs.sparkSession, 1000):
-        return materialise(d.mapInPandas(lambda x: _shards(max_words, shard_bytes, x), INDEX), "phrases")
+        return materialise(d.mapInPandas(lambda x: _shards(max_words, shard_bytes, x), INDEX), "phrases", **ROW_GROUPS)
 
 
 class Intervals:
@@ -171,9 +173,9 @@ class Shard:
 
     def single(self) -> Intervals:
         """The intervals of single words: number w - 1 for word w."""
-        low = self.begin[1:-1]
-        n = np.arange(len(self.words))
-        return Intervals(low, np.diff(self.begin)[1:], low.copy(), n + 1, n, n, self.symbol.astype(np.int32) - 1)
+        low = self.begin[1:-1].astype(np.int32)
+        n = np.arange(len(self.words), dtype=np.int32)
+        return Intervals(low, np.diff(self.begin)[1:].astype(np.int32), low, n + 1, n, n, self.symbol.astype(np.int32) - 1)
 
     def extend(self, p: Intervals) -> Intervals:
         """All n-grams one word longer: each interval's step back over every word before it."""
@@ -181,19 +183,31 @@ class Shard:
         valid = (self.symbol != 0) & (rest >= 0)
         new = valid.copy()
         new[1:] &= (rest[1:] != rest[:-1]) | (self.symbol[1:] != self.symbol[:-1])
-        low = np.flatnonzero(new)
-        label = np.where(valid, np.cumsum(new, dtype=np.int32) - 1, np.int32(-1))
-        size = np.bincount(label[valid], minlength=len(low))
-        first, rest = self.symbol[low].astype(np.int64), rest[low]
+        low = np.flatnonzero(new).astype(np.int32)
+        label = np.cumsum(new, dtype=np.int32)
+        label -= 1
+        label[~valid] = -1
+        size = np.bincount(label[valid], minlength=len(low)).astype(np.int32)
+        first, rest = self.symbol[low].astype(np.int32), rest[low]
+        del valid, new
         # In the reversed index an interval's rows are sorted by the word before it, ends of pieces first.
-        by = np.lexsort([first, rest])
-        upto = np.cumsum(size[by]) - size[by]
+        by = np.lexsort([first, rest]).astype(np.int32)
+        ordered = rest[by]
         opens = np.ones(len(by), bool)
-        opens[1:] = rest[by][1:] != rest[by][:-1]
-        shift = np.empty(len(by), np.int64)
-        shift[by] = upto - upto[opens][np.cumsum(opens) - 1] if len(by) else upto
-        ends = self.opens[p.low + p.size] - self.opens[p.low]
-        return Intervals(low, size, p.low_back[rest] + ends[rest] + shift, first, rest, p.label[low], label)
+        opens[1:] = ordered[1:] != ordered[:-1]
+        del ordered
+        upto = np.cumsum(size[by], dtype=np.int32)
+        upto -= size[by]
+        group = np.cumsum(opens, dtype=np.int32)
+        group -= 1
+        upto -= upto[opens][group]
+        del opens, group
+        back = np.empty(len(by), np.int32)
+        back[by] = upto
+        del by, upto
+        back += p.low_back[rest]
+        back += (self.opens[p.low + p.size] - self.opens[p.low])[rest]
+        return Intervals(low, size, back, first, rest, p.label[low], label)
 
     def count(self, lang: str, phrase: str) -> int:
         """Occurrences of a phrase (up to the index's depth), by backward search."""
@@ -240,27 +254,36 @@ def _ngrams(length: int, bits: np.ndarray | None, batches: Iterator[pa.RecordBat
 
 
 def _shard_ngrams(shard: Shard, length: int, bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """The n-grams are held as numbers; their phrases are written out for ROWS of them at a time."""
     names = pa.array(shard.langs, pa.string())
     words = pa.array(shard.words, pa.binary()).cast(pa.string())
-    p, phrases = shard.single(), words
-    keep = np.arange(len(p.size))
+    p = shard.single()
+    keep = np.arange(len(p.size), dtype=np.int32)
+    chain = []  # for each length, the first words and the numbers of the n-grams without them
     hashes = word_hash = shard.hashes() if length > 1 else None
     for n in range(2, length + 1):
+        chain.append((p.first, p.rest))
         p = shard.extend(p)
-        keep = np.arange(len(p.size))
-        if n == length:
-            at = hashes >> np.uint64(64 - BITS)
-            frequent = (bits[(at >> np.uint64(3)).astype(np.intp)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            keep = np.flatnonzero(frequent[p.rest] & frequent[p.front])
-        phrases = pc.binary_join_element_wise(words.take(pa.array(p.first[keep] - 1)), phrases.take(pa.array(p.rest[keep])), " ")
-        hashes = longer_hash(word_hash[p.first[keep] - 1], hashes[p.rest[keep]])
-    low, size, back = p.low[keep], p.size[keep], p.low_back[keep]
-    columns = [names.take(pa.array(shard.word_lang[p.first[keep] - 1])), phrases, pa.array(size.astype(np.int64)),
-               pa.array((shard.opens[low + size] - shard.opens[low]).astype(np.int64)),
-               pa.array((shard.closes[back + size] - shard.closes[back]).astype(np.int64))]
-    out = pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n", "opens", "closes"])
-    for at in range(0, out.num_rows, ROWS):
-        yield out.slice(at, ROWS)
+        if n < length:
+            hashes = longer_hash(word_hash[p.first - 1], hashes[p.rest])
+            continue
+        at = hashes >> np.uint64(64 - BITS)
+        frequent = (bits[(at >> np.uint64(3)).astype(np.intp)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        keep = np.flatnonzero(frequent[p.rest] & frequent[p.front]).astype(np.int32)
+        del at, frequent
+    p.label = hashes = word_hash = None
+    for start in range(0, len(keep), ROWS):
+        some = keep[start:start + ROWS]
+        first, rest = p.first[some] - 1, p.rest[some]
+        parts = [words.take(pa.array(first))]
+        for firsts, rests in reversed(chain):
+            parts.append(words.take(pa.array(firsts[rest] - 1)))
+            rest = rests[rest]
+        low, size, back = p.low[some], p.size[some], p.low_back[some]
+        columns = [names.take(pa.array(shard.word_lang[first])), pc.binary_join_element_wise(*parts, " ") if chain else parts[0],
+                   pa.array(size.astype(np.int64)), pa.array((shard.opens[low + size] - shard.opens[low]).astype(np.int64)),
+                   pa.array((shard.closes[back + size] - shard.closes[back]).astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n", "opens", "closes"])
 
 
 def _summed(index: DataFrame, length: int, bits: np.ndarray | None, min_count: int) -> DataFrame:

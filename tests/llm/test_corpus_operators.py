@@ -297,3 +297,31 @@ def test_search_stops_early_and_loses_no_ties():
             want = [r for r in ranked if len(ranked) < 5 or -r[0] >= -ranked[min(4, len(ranked) - 1)][0]]
             assert sorted((-s, r) for r, s in best.tolist()) == [(int(s), int(r)) for s, r in want]
     assert saved > 30
+
+
+def test_index_row_groups_hold_a_shard_or_two_each(spark):
+    """Six shards of one task: no row group, which writers and readers hold whole, has more than two of them."""
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(3)
+    rows = [(k, "en", " ".join(map(str, rng.integers(0, 100_000, 600_000)))) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1)
+    files = spark.read.parquet(phrases.build_index(docs).written_to).inputFiles()
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in files]
+    sizes = [g.row_group(k).num_rows for g in groups for k in range(g.num_row_groups)]
+    assert sum(sizes) >= 6 and max(sizes) <= 2
+
+
+def test_phrases_of_a_shard_are_written_out_a_part_at_a_time(monkeypatch):
+    """While the first rows of a shard are sent, the texts of the others are not held."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    row = phrases.build_row({"en": [" ".join(map(str, rng.integers(0, 1000, 100_000))).encode()]}, 3)
+    monkeypatch.setattr(phrases, "ROWS", 1000)
+    before = pa.total_allocated_bytes()
+    out = phrases._shard_ngrams(phrases.Shard(row), 3, np.full((1 << phrases.BITS) // 8, 255, np.uint8))
+    sizes = [next(out).num_rows]
+    assert pa.total_allocated_bytes() - before < 500_000
+    sizes += [b.num_rows for b in out]
+    assert sum(sizes) > 90_000 and max(sizes) == 1000
